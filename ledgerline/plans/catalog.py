@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import etl
+from ..operators import etl, reports
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,51 @@ def q_dedupe_latest(spark, sf_dir):
     return etl.dedupe_latest(fx.versions(spark, sf_dir), fx.V_KEYS, fx.V_ORDER)
 
 
+# ---------------------------------------------------------------- reports (L = ledger, T = silver T)
+def q_daily_flows(spark, sf_dir):
+    return reports.daily_flows(fx.ledger(spark, sf_dir))
+
+
+def q_daily_pnl(spark, sf_dir):
+    return reports.daily_pnl(fx.ledger(spark, sf_dir))
+
+
+def q_daily_pnl_calendar7(spark, sf_dir):
+    return reports.daily_pnl_calendar7(fx.ledger(spark, sf_dir))
+
+
+def q_net_flow_by_category(spark, sf_dir):
+    return reports.net_flow_by_category(reports.daily_pnl(fx.ledger(spark, sf_dir)))
+
+
+def q_monthly_balance_sheet(spark, sf_dir):
+    return reports.balance_sheet_view(fx.ledger(spark, sf_dir))
+
+
+def q_mom_change(spark, sf_dir):
+    return reports.mom_change(fx.ledger(spark, sf_dir))
+
+
+def q_daily_kpis(spark, sf_dir):
+    return reports.daily_kpis(silver_t(spark, sf_dir), fx.T_AS_OF).drop("_fraud_q")
+
+
+def q_top_category(spark, sf_dir):
+    return reports.top_category(silver_t(spark, sf_dir), fx.T_AS_OF)
+
+
+def q_transaction_summary(spark, sf_dir):
+    return reports.transaction_summary(silver_t(spark, sf_dir), fx.T_AS_OF)
+
+
+def q_executive_summary_30d(spark, sf_dir):
+    return reports.executive_summary(silver_t(spark, sf_dir), fx.T_AS_OF, 30)
+
+
+def q_kpi_vs_previous_period(spark, sf_dir):
+    return reports.kpi_vs_previous_period(fx.ledger(spark, sf_dir), fx.L_AS_OF, 30)
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
@@ -80,4 +125,15 @@ QUERIES: dict[str, Query] = {
     "derived_columns": q_derived_columns,
     "silver_transactions": q_silver_transactions,
     "dedupe_latest": q_dedupe_latest,
+    "daily_flows": q_daily_flows,
+    "daily_pnl": q_daily_pnl,
+    "daily_pnl_calendar7": q_daily_pnl_calendar7,
+    "net_flow_by_category": q_net_flow_by_category,
+    "monthly_balance_sheet": q_monthly_balance_sheet,
+    "mom_change": q_mom_change,
+    "daily_kpis": q_daily_kpis,
+    "top_category": q_top_category,
+    "transaction_summary": q_transaction_summary,
+    "executive_summary_30d": q_executive_summary_30d,
+    "kpi_vs_previous_period": q_kpi_vs_previous_period,
 }
