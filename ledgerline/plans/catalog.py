@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import etl, reports
+from ..config import Thresholds
+from ..operators import etl, fraud, reports
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,82 @@ def q_kpi_vs_previous_period(spark, sf_dir):
     return reports.kpi_vs_previous_period(fx.ledger(spark, sf_dir), fx.L_AS_OF, 30)
 
 
+# ---------------------------------------------------------------- fraud scoring (T)
+# The test data never exceeds 10 transactions per hour (max 2-3), so the
+# oracle-checked scoring runs with velocity_per_hour = 0 to exercise the rule.
+ORACLE_THRESHOLDS = Thresholds(velocity_per_hour=0)
+
+
+def scored_t(spark, sf_dir, thresholds: Thresholds = ORACLE_THRESHOLDS) -> DataFrame:
+    return fraud.score_transactions(silver_t(spark, sf_dir), thresholds)
+
+
+SCORE_COLUMNS = [
+    "transaction_id",
+    "account_id",
+    "recent_count",
+    "is_new_merchant",
+    "score_points",
+    "total_score",
+    "is_fraud",
+    "action",
+]
+
+
+def _scores(df: DataFrame) -> DataFrame:
+    return df.select(*SCORE_COLUMNS, F.array_join("triggered_rules", ",").alias("triggered_rules"))
+
+
+def q_velocity_1h(spark, sf_dir):
+    return fraud.velocity_counts(silver_t(spark, sf_dir)).select(
+        "transaction_id", "account_id", "created_at", "recent_count"
+    )
+
+
+def q_new_merchant(spark, sf_dir):
+    return fraud.first_merchant_visits(silver_t(spark, sf_dir)).select(
+        "transaction_id", "account_id", "merchant_id", "is_new_merchant"
+    )
+
+
+def _rule_query(idx: int) -> Query:
+    def q(spark, sf_dir):
+        s = F.col("signals")[idx]
+        return scored_t(spark, sf_dir).select(
+            "transaction_id",
+            s["rule"].alias("rule"),
+            s["triggered"].alias("triggered"),
+            s["score"].alias("score"),
+            s["reason"].alias("reason"),
+        )
+
+    return q
+
+
+def q_fraud_scores(spark, sf_dir):
+    return _scores(scored_t(spark, sf_dir))
+
+
+def q_fraud_scores_default(spark, sf_dir):
+    return _scores(scored_t(spark, sf_dir, Thresholds()))
+
+
+def q_fraud_alerts(spark, sf_dir):
+    return fraud.fraud_alerts(scored_t(spark, sf_dir))
+
+
+def q_fraud_notifications(spark, sf_dir):
+    return fraud.fraud_notifications(fraud.fraud_alerts(scored_t(spark, sf_dir)))
+
+
+def q_batch_outcomes(spark, sf_dir):
+    return fraud.batch_outcomes(scored_t(spark, sf_dir))
+
+
+def q_alerts_by_action(spark, sf_dir):
+    return reports.alerts_by_action(fraud.fraud_alerts(scored_t(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
@@ -136,4 +213,18 @@ QUERIES: dict[str, Query] = {
     "transaction_summary": q_transaction_summary,
     "executive_summary_30d": q_executive_summary_30d,
     "kpi_vs_previous_period": q_kpi_vs_previous_period,
+    "velocity_1h": q_velocity_1h,
+    "new_merchant": q_new_merchant,
+    "rule_high_amount": _rule_query(0),
+    "rule_unusual_hour": _rule_query(1),
+    "rule_international": _rule_query(2),
+    "rule_velocity": _rule_query(3),
+    "rule_new_merchant": _rule_query(4),
+    "rule_card_not_present": _rule_query(5),
+    "fraud_scores": q_fraud_scores,
+    "fraud_scores_default": q_fraud_scores_default,
+    "fraud_alerts": q_fraud_alerts,
+    "fraud_notifications": q_fraud_notifications,
+    "batch_outcomes": q_batch_outcomes,
+    "alerts_by_action": q_alerts_by_action,
 }
