@@ -70,3 +70,13 @@ def count_when(cond: Column) -> Column:
 def sum_when(cond: Column, value: Column) -> Column:
     """SUM(CASE WHEN cond THEN value ELSE 0 END)."""
     return F.sum(F.when(cond, value).otherwise(F.lit(0)))
+
+
+def div_round_half_even(num: Column, den: Column) -> Column:
+    """round(num / den) half to even for non-negative integers; NULL when den = 0."""
+    num = num.cast("decimal(38,0)")
+    den = den.cast("decimal(38,0)")
+    q0 = intdiv(num, den)
+    r2 = (num - q0 * den) * 2
+    q = F.when(r2 > den, q0 + 1).when((r2 == den) & (F.pmod(q0, F.lit(2)) == 1), q0 + 1).otherwise(q0)
+    return F.when(den == 0, F.lit(None).cast("bigint")).otherwise(q.cast("bigint"))

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Thresholds
-from ..operators import etl, fraud, reports
+from ..config import Thresholds, load_suite
+from ..operators import etl, fraud, quality, reports
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,39 @@ def q_alerts_by_action(spark, sf_dir):
     return reports.alerts_by_action(fraud.fraud_alerts(scored_t(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- data quality
+def unvalidated_t(spark, sf_dir) -> DataFrame:
+    """T masked and enriched but neither validated nor deduplicated (DQ on raw input)."""
+    raw = etl.mask_pii(fx.transactions_raw(spark, sf_dir))
+    return etl.add_derived_columns(etl.enrich_category(etl.normalize_currency(raw)))
+
+
+def _dq_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("unexpected_values", F.array_join("unexpected_values", ","))
+
+
+def q_dq_results(spark, sf_dir):
+    return _dq_out(quality.validate(silver_t(spark, sf_dir), load_suite()))
+
+
+def q_dq_results_raw(spark, sf_dir):
+    return _dq_out(quality.validate(unvalidated_t(spark, sf_dir), load_suite()))
+
+
+def q_dq_summary(spark, sf_dir):
+    return quality.summarize(quality.validate(silver_t(spark, sf_dir), load_suite()))
+
+
+def q_dq_by_date(spark, sf_dir):
+    by = ["transaction_date"]
+    return _dq_out(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by))
+
+
+def q_dq_summary_by_date(spark, sf_dir):
+    by = ["transaction_date"]
+    return quality.summarize(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by), by=by)
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
@@ -227,4 +260,9 @@ QUERIES: dict[str, Query] = {
     "fraud_notifications": q_fraud_notifications,
     "batch_outcomes": q_batch_outcomes,
     "alerts_by_action": q_alerts_by_action,
+    "dq_results": q_dq_results,
+    "dq_results_raw": q_dq_results_raw,
+    "dq_summary": q_dq_summary,
+    "dq_by_date": q_dq_by_date,
+    "dq_summary_by_date": q_dq_summary_by_date,
 }
