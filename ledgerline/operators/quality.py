@@ -224,5 +224,6 @@ def metrics_rows(summary: DataFrame, dataset: str, ts: Column | None = None) ->
                 F.struct(F.lit("FailedChecks").alias("metric"), F.col("failed").cast("double").alias("value"), F.lit("Count").alias("unit")),
                 F.struct(F.lit("PassRatePct").alias("metric"), F.col("pass_rate").alias("value"), F.lit("Percent").alias("unit")),
             )
-        ).alias("m")
-    ).select("m.*", F.lit(dataset).alias("dataset"), ts.alias("ts"))
+        ).alias("m"),
+        ts.alias("ts"),
+    ).select("m.*", F.lit(dataset).alias("dataset"), "ts")

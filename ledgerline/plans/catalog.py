@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite
-from ..operators import etl, fraud, quality, reports
+from ..operators import alarms, dims, etl, fraud, governance, quality, reports
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,6 +225,74 @@ def q_dq_summary_by_date(spark, sf_dir):
     return quality.summarize(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by), by=by)
 
 
+# ---------------------------------------------------------------- upsert (T split by residue)
+def _silver_of(raw: DataFrame) -> DataFrame:
+    valid, _ = etl.split_valid(etl.mask_pii(raw))
+    return etl.to_silver(valid)
+
+
+def upsert_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    target = _silver_of(fx.transactions_raw(spark, sf_dir, fx.UPSERT_TARGET_PRED))
+    staging = _silver_of(fx.upsert_staging_raw(spark, sf_dir))
+    return target, staging
+
+
+def q_fact_upsert(spark, sf_dir):
+    return etl.upsert(*upsert_pair(spark, sf_dir))
+
+
+def q_fact_update_half(spark, sf_dir):
+    return etl.upsert_update_half(*upsert_pair(spark, sf_dir))
+
+
+def q_fact_insert_half(spark, sf_dir):
+    return etl.upsert_insert_half(*upsert_pair(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- dimensions, governance, alarms
+def q_dim_date(spark, sf_dir):
+    return dims.dim_date_for(fx.ledger(spark, sf_dir))
+
+
+def q_dim_merchants(spark, sf_dir):
+    return dims.dim_merchants(silver_t(spark, sf_dir))
+
+
+def q_dim_fraud_alerts(spark, sf_dir):
+    return dims.dim_fraud_alerts(fraud.fraud_alerts(scored_t(spark, sf_dir)))
+
+
+def q_fact_join_dims(spark, sf_dir):
+    s = silver_t(spark, sf_dir)
+    return dims.fact_join_dims(s, dims.dim_date_for(s), dims.dim_merchants(s))
+
+
+def q_audit_events(spark, sf_dir):
+    return governance.fraud_alert_events(fraud.fraud_alerts(scored_t(spark, sf_dir)))
+
+
+def q_audit_by_actor_day(spark, sf_dir):
+    return governance.audit_by_actor_day(governance.fraud_alert_events(fraud.fraud_alerts(scored_t(spark, sf_dir))))
+
+
+RETENTION_AS_OF = "2024-04-15"
+
+
+def q_ttl_expiry(spark, sf_dir):
+    return governance.retention_status(fraud.fraud_alerts(scored_t(spark, sf_dir)), RETENTION_AS_OF)
+
+
+def q_fraud_rate_alarm(spark, sf_dir):
+    return alarms.fraud_rate_alarm(scored_t(spark, sf_dir))
+
+
+def q_dq_failure_alarm(spark, sf_dir):
+    by = ["transaction_date"]
+    summary = quality.summarize(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by), by=by)
+    metrics = quality.metrics_rows(summary, "transactions", F.col("transaction_date").cast("timestamp"))
+    return alarms.dq_failure_alarm(metrics)
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
@@ -265,4 +333,16 @@ QUERIES: dict[str, Query] = {
     "dq_summary": q_dq_summary,
     "dq_by_date": q_dq_by_date,
     "dq_summary_by_date": q_dq_summary_by_date,
+    "fact_upsert": q_fact_upsert,
+    "fact_update_half": q_fact_update_half,
+    "fact_insert_half": q_fact_insert_half,
+    "dim_date": q_dim_date,
+    "dim_merchants": q_dim_merchants,
+    "dim_fraud_alerts": q_dim_fraud_alerts,
+    "fact_join_dims": q_fact_join_dims,
+    "audit_events": q_audit_events,
+    "audit_by_actor_day": q_audit_by_actor_day,
+    "ttl_expiry": q_ttl_expiry,
+    "fraud_rate_alarm": q_fraud_rate_alarm,
+    "dq_failure_alarm": q_dq_failure_alarm,
 }
