@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite
 from ..operators import alarms, dims, etl, fraud, governance, quality, reports
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..streaming import fraud_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -293,6 +295,17 @@ def q_dq_failure_alarm(spark, sf_dir):
     return alarms.dq_failure_alarm(metrics)
 
 
+# ---------------------------------------------------------------- streaming (JOB4)
+def q_fraud_stream(spark, sf_dir):
+    """Silver T encoded as stream records, scored by the Structured Streaming job
+    (availableNow), read back from its sink."""
+    root = scratch_path(spark, "fraud-stream")
+    src, out, ck = f"{root}/source", f"{root}/out", f"{root}/checkpoint"
+    fraud_stream.encode_payloads(silver_t(spark, sf_dir)).write.json(src)
+    fraud_stream.run_available_now(spark, src, out, ck, thresholds=ORACLE_THRESHOLDS)
+    return _scores(fraud_stream.read_output(spark, out, "scored"))
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
@@ -345,4 +358,5 @@ QUERIES: dict[str, Query] = {
     "ttl_expiry": q_ttl_expiry,
     "fraud_rate_alarm": q_fraud_rate_alarm,
     "dq_failure_alarm": q_dq_failure_alarm,
+    "fraud_stream": q_fraud_stream,
 }
