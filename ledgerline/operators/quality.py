@@ -136,7 +136,7 @@ def _plan_one(df: DataFrame, idx: int, exp: str, kw: dict[str, Any], by: Sequenc
         sample = df.where(bad).select(F.lit(idx).cast("int").alias("idx"), *by, c.cast("string").alias("v")).distinct()
         return _Planned(aggs, _res(idx, exp, col, _ge(share, mostly), "valid_share", share), sample)
     if exp == "expect_column_values_to_be_between":
-        num = F.try_cast(c, "double") if not isinstance(df.schema[col].dataType, T.NumericType) else c.cast("double")
+        num = c.try_cast("double") if not isinstance(df.schema[col].dataType, T.NumericType) else c.cast("double")
         ok = F.lit(True)
         if kw.get("min_value") is not None:
             ok = ok & (num >= F.lit(float(kw["min_value"])))

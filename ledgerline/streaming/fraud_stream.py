@@ -110,7 +110,8 @@ def make_state_fn(window_s: int = C.VELOCITY_WINDOW_SECONDS, dedupe_horizon_s: i
         wm_us = int(state.getCurrentWatermarkMs()) * 1000
         seen = st["s"]
         dup = pdf["transaction_id"].isin(list(seen.keys())) | pdf["transaction_id"].duplicated(keep="first")
-        late = (pdf["_us"] < wm_us) if wm_us > 0 else pd.Series(False, index=pdf.index)
+        # a re-delivered id was already scored: report it as a duplicate even when it is also late
+        late = ((pdf["_us"] < wm_us) & ~dup) if wm_us > 0 else pd.Series(False, index=pdf.index)
         live = ~(dup | late)
         # velocity: events of this account in (t - W, t), history + this batch
         hist = np.asarray(sorted(st["t"]), dtype="int64")
@@ -127,7 +128,7 @@ def make_state_fn(window_s: int = C.VELOCITY_WINDOW_SECONDS, dedupe_horizon_s: i
         out.loc[live, "recent_count"] = recent.astype("int32")
         out.loc[live, "is_new_merchant"] = is_new.to_numpy()
         out["is_late"] = late.to_numpy()
-        out["is_duplicate"] = dup.to_numpy() & ~late.to_numpy()
+        out["is_duplicate"] = dup.to_numpy()
         # update bounded state
         top = int(allt.max()) if allt.size else 0
         st["t"] = [int(x) for x in allt if x > top - W]
