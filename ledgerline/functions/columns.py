@@ -80,3 +80,24 @@ def div_round_half_even(num: Column, den: Column) -> Column:
     r2 = (num - q0 * den) * 2
     q = F.when(r2 > den, q0 + 1).when((r2 == den) & (F.pmod(q0, F.lit(2)) == 1), q0 + 1).otherwise(q0)
     return F.when(den == 0, F.lit(None).cast("bigint")).otherwise(q.cast("bigint"))
+
+
+def cents_long(c: str | Column) -> Column:
+    """decimal(.,2) money -> exact bigint cents (fast fixed-width aggregation buffers).
+
+    bigint cents hold sums up to ~9.2e16 dollars; ANSI mode raises on
+    overflow rather than wrapping.
+    """
+    return (col_(c) * F.lit(100)).cast("bigint")
+
+
+def sum_cents_when(cond: Column, value: Column) -> Column:
+    """SUM(CASE WHEN cond THEN money ELSE 0 END) in bigint cents (NULL money ignored)."""
+    return F.sum(F.when(cond, cents_long(value)).otherwise(F.lit(0).cast("bigint")))
+
+
+def cents_to_money(c: str | Column) -> Column:
+    """bigint cents -> exact decimal(.,2)."""
+    from decimal import Decimal
+
+    return col_(c).cast("decimal(20,0)") * F.lit(Decimal("0.01"))

@@ -202,18 +202,22 @@ def apply_rules(
     signals = F.array(*[_signal(name, t, w / F.lit(100.0), r) for name, (t, w, r) in rules.items()])
     pts = sum((F.when(t, w).otherwise(F.lit(0)) for (t, w, _) in rules.values()), F.lit(0))
     pts = F.least(pts, F.lit(C.MAX_POINTS))
-    return (
-        df.withColumn("signals", signals)
-        .withColumn("score_points", pts.cast("int"))
-        .withColumn("total_score", F.col("score_points").cast("double") / F.lit(100.0))
-        .withColumn("is_fraud", F.col("score_points") >= F.lit(th.flag_points))
-        .withColumn(
-            "action",
-            F.when(F.col("score_points") >= F.lit(th.block_points), F.lit("BLOCK"))
-            .when(F.col("score_points") >= F.lit(th.flag_points), F.lit("FLAG"))
-            .otherwise(F.lit("ALLOW")),
-        )
-        .withColumn("triggered_rules", F.transform(F.filter("signals", lambda s: s["triggered"]), lambda s: s["rule"]))
+    action = (
+        F.when(pts >= F.lit(th.block_points), F.lit("BLOCK"))
+        .when(pts >= F.lit(th.flag_points), F.lit("FLAG"))
+        .otherwise(F.lit("ALLOW"))
+    )
+    out = df.withColumns(
+        {
+            "signals": signals,
+            "score_points": pts.cast("int"),
+            "total_score": pts.cast("double") / F.lit(100.0),
+            "is_fraud": pts >= F.lit(th.flag_points),
+            "action": action,
+        }
+    )
+    return out.withColumn(
+        "triggered_rules", F.transform(F.filter("signals", lambda s: s["triggered"]), lambda s: s["rule"])
     )
 
 

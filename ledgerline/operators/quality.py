@@ -59,8 +59,8 @@ class _Planned:
     sample: DataFrame | None = None  # (idx, *by, v) bad values for in-set checks
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
-    dt = df.schema[c].dataType
+def _is_missing(types: dict, c: str) -> Column:
+    dt = types[c]
     m = F.col(c).isNull()
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         m = m | F.isnan(F.col(c))
@@ -93,7 +93,7 @@ def _rounded(num: Column, den: Column, dp: int) -> Column:
     return div_round_half_even(num, den).cast("double") / F.lit(float(10**dp))
 
 
-def _plan_one(df: DataFrame, idx: int, exp: str, kw: dict[str, Any], by: Sequence[str]) -> _Planned:
+def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any], by: Sequence[str]) -> _Planned:
     col = kw.get("column")
     p = f"_m{idx}_"
     n = F.col("_n")
@@ -106,29 +106,29 @@ def _plan_one(df: DataFrame, idx: int, exp: str, kw: dict[str, Any], by: Sequenc
             ok = ok & (n <= F.lit(hi))
         return _Planned([], _res(idx, exp, col, ok, "observed_value", n))
     if exp == "expect_column_to_exist":
-        return _Planned([], _res(idx, exp, col, col in df.columns))
+        return _Planned([], _res(idx, exp, col, col in types))
     if exp not in KNOWN:
         return _Planned([], _res(idx, exp, col, True, skipped=True))
-    if col is None or col not in df.columns:
+    if col is None or col not in types:
         return _Planned([], _res(idx, exp, col, False, error=f"column '{col}' missing"))
 
     c = F.col(col)
     mostly = float(kw.get("mostly", 1.0))
     if exp == "expect_column_values_to_not_be_null":
-        aggs = [F.count_if(_is_missing(df, col)).alias(p + "null")]
+        aggs = [F.count_if(_is_missing(types, col)).alias(p + "null")]
         nulls = F.col(p + "null")
         ok = _ge(F.lit(1.0) - _share(nulls, n), mostly)
         return _Planned(aggs, _res(idx, exp, col, ok, "null_percent", _rounded(nulls * 10000, n, 2)))
     if exp == "expect_column_values_to_be_unique":
         aggs = [
             F.count_distinct(c).alias(p + "nd"),
-            F.coalesce(F.max(F.when(_is_missing(df, col), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).alias(p + "hn"),
+            F.coalesce(F.max(F.when(_is_missing(types, col), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).alias(p + "hn"),
         ]
         dup = n - F.col(p + "nd") - F.col(p + "hn")
         return _Planned(aggs, _res(idx, exp, col, dup == 0, "duplicate_count", dup))
     if exp == "expect_column_values_to_be_in_set":
         vals = list(kw.get("value_set", []))
-        present = ~_is_missing(df, col)
+        present = ~_is_missing(types, col)
         member = c.isin(*vals) if vals else F.lit(False)
         bad = present & ~F.coalesce(member, F.lit(False))
         aggs = [F.count_if(present).alias(p + "nn"), F.count_if(present & F.coalesce(member, F.lit(False))).alias(p + "in")]
@@ -136,7 +136,7 @@ def _plan_one(df: DataFrame, idx: int, exp: str, kw: dict[str, Any], by: Sequenc
         sample = df.where(bad).select(F.lit(idx).cast("int").alias("idx"), *by, c.cast("string").alias("v")).distinct()
         return _Planned(aggs, _res(idx, exp, col, _ge(share, mostly), "valid_share", share), sample)
     if exp == "expect_column_values_to_be_between":
-        num = c.try_cast("double") if not isinstance(df.schema[col].dataType, T.NumericType) else c.cast("double")
+        num = c.try_cast("double") if not isinstance(types[col], T.NumericType) else c.cast("double")
         ok = F.lit(True)
         if kw.get("min_value") is not None:
             ok = ok & (num >= F.lit(float(kw["min_value"])))
@@ -148,7 +148,7 @@ def _plan_one(df: DataFrame, idx: int, exp: str, kw: dict[str, Any], by: Sequenc
         return _Planned(aggs, _res(idx, exp, col, _ge(share, mostly), "pass_rate", _rounded(F.col(p + "ok") * 10000, n, 4)))
     if exp == "expect_column_values_to_match_regex":
         pattern = kw.get("regex", "")
-        present = ~_is_missing(df, col)
+        present = ~_is_missing(types, col)
         m = F.coalesce(c.cast("string").rlike(f"^(?:{pattern})"), F.lit(False))
         aggs = [F.count_if(present).alias(p + "nn"), F.count_if(present & m).alias(p + "mt")]
         nn, mt = F.col(p + "nn"), F.col(p + "mt")
@@ -168,8 +168,9 @@ def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sampl
     metric_value, skipped, error, unexpected_values (array<string>).
     """
     by = list(by)
+    types = {f.name: f.dataType for f in df.schema.fields}  # one schema round-trip
     plans = [
-        _plan_one(df, i, e["expectation_type"], e.get("kwargs", {}) or {}, by)
+        _plan_one(df, types, i, e["expectation_type"], e.get("kwargs", {}) or {}, by)
         for i, e in enumerate(suite.get("expectations", []))
     ]
     aggs = [F.count(F.lit(1)).alias("_n")] + [a for pl in plans for a in pl.aggs]

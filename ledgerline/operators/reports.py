@@ -18,13 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
-    avg_money,
+    cents_long,
+    cents_to_money,
     count_when,
     div_round_half_away,
-    money_pct_round,
     pct_round,
-    sum_when,
-    to_cents,
+    sum_cents_when,
     units_to_decimal,
 )
 
@@ -47,28 +46,44 @@ def _as_of(as_of) -> Column:
 
 # ---------------------------------------------------------------- AGG1 / AGG2
 def daily_flows(fact: DataFrame) -> DataFrame:
-    """AGG1+AGG2: per (account, date, category) flows, counts, net flow and debit ratio %.
+    """AGG1+AGG2: per (account, date, category) flows, counts, net flow and debit ratio %."""
+    return _flows_cents(fact).drop("_net_c")
 
-    FLT4: FAILED and PENDING rows are excluded.
+
+def _flows_cents(fact: DataFrame) -> DataFrame:
+    """daily_flows plus the net flow in bigint cents (``_net_c``).
+
+    FLT4: FAILED and PENDING rows are excluded.  Sums run in exact bigint
+    cents and are turned back into decimal(.,2) money at the end.
     """
     g = (
         fact.where(~_c.status.isin("FAILED", "PENDING"))
         .groupBy("account_id", "transaction_date", "category")
         .agg(
-            sum_when(_c.type == "CREDIT", _c.amt).alias("total_credits"),
-            sum_when(_c.type == "DEBIT", _c.amt).alias("total_debits"),
-            sum_when(_c.type == "REFUND", _c.amt).alias("total_refunds"),
-            sum_when(_c.type == "TRANSFER", _c.amt).alias("total_transfers"),
+            sum_cents_when(_c.type == "CREDIT", _c.amt).alias("_cr"),
+            sum_cents_when(_c.type == "DEBIT", _c.amt).alias("_db"),
+            sum_cents_when(_c.type == "REFUND", _c.amt).alias("_rf"),
+            sum_cents_when(_c.type == "TRANSFER", _c.amt).alias("_tr"),
             F.count(F.lit(1)).alias("transaction_count"),
             count_when(_c.status == "FLAGGED").alias("flagged_count"),
             count_when(_c.status == "REVERSED").alias("reversed_count"),
         )
     )
-    return g.withColumn(
-        "net_flow_usd", F.col("total_credits") - F.col("total_debits") + F.col("total_refunds")
-    ).withColumn(
-        "debit_ratio_pct",
-        money_pct_round(F.col("total_debits"), F.col("total_credits") + F.col("total_debits"), 2),
+    net = F.col("_cr") - F.col("_db") + F.col("_rf")
+    return g.select(
+        "account_id",
+        "transaction_date",
+        "category",
+        cents_to_money("_cr").alias("total_credits"),
+        cents_to_money("_db").alias("total_debits"),
+        cents_to_money("_rf").alias("total_refunds"),
+        cents_to_money("_tr").alias("total_transfers"),
+        "transaction_count",
+        "flagged_count",
+        "reversed_count",
+        net.alias("_net_c"),
+        cents_to_money(net).alias("net_flow_usd"),
+        pct_round(F.col("_db"), F.col("_cr") + F.col("_db"), 2).alias("debit_ratio_pct"),
     )
 
 
@@ -102,21 +117,20 @@ def daily_pnl(fact: DataFrame) -> DataFrame:
     day with k categories fans out (K10).  Rows within a day are ordered by
     net flow, which makes the frame deterministic.
     """
-    flows = daily_flows(fact)
+    flows = _flows_cents(fact)
     w = (
         Window.partitionBy("account_id")
-        .orderBy(F.col("transaction_date").asc(), F.col("net_flow_usd").asc_nulls_first())
+        .orderBy(F.col("transaction_date").asc(), F.col("_net_c").asc_nulls_first())
         .rowsBetween(-6, 0)
     )
     rolling = (
-        flows.select("account_id", "transaction_date", "net_flow_usd")
+        flows.select("account_id", "transaction_date", "_net_c")
         .distinct()
-        .withColumn("rolling_7d_net_flow", F.sum("net_flow_usd").over(w))
-        .drop("net_flow_usd")
+        .select("account_id", "transaction_date", cents_to_money(F.sum("_net_c").over(w)).alias("rolling_7d_net_flow"))
     )
     return (
         flows.join(rolling, ["account_id", "transaction_date"], "inner")
-        .withColumn("pnl_status", pnl_status(F.col("net_flow_usd")))
+        .withColumn("pnl_status", pnl_status(F.col("_net_c")))
         .select(*PNL_COLUMNS)
     )
 
@@ -128,22 +142,27 @@ def daily_pnl_calendar7(fact: DataFrame) -> DataFrame:
         fact.where(~_c.status.isin("FAILED", "PENDING"))
         .groupBy("account_id", "transaction_date")
         .agg(
-            sum_when(_c.type == "CREDIT", _c.amt).alias("_c"),
-            sum_when(_c.type == "DEBIT", _c.amt).alias("_d"),
-            sum_when(_c.type == "REFUND", _c.amt).alias("_r"),
+            sum_cents_when(_c.type == "CREDIT", _c.amt).alias("_c"),
+            sum_cents_when(_c.type == "DEBIT", _c.amt).alias("_d"),
+            sum_cents_when(_c.type == "REFUND", _c.amt).alias("_r"),
             F.count(F.lit(1)).alias("transaction_count"),
         )
-        .withColumn("net_flow_usd", F.col("_c") - F.col("_d") + F.col("_r"))
-        .withColumn("_day", F.unix_date("transaction_date"))
+        .select(
+            "account_id",
+            "transaction_date",
+            "transaction_count",
+            (F.col("_c") - F.col("_d") + F.col("_r")).alias("_net"),
+            F.unix_date("transaction_date").alias("_day"),
+        )
     )
     w = Window.partitionBy("account_id").orderBy("_day").rangeBetween(-6, 0)
     return d.select(
         "account_id",
         "transaction_date",
-        "net_flow_usd",
+        cents_to_money("_net").alias("net_flow_usd"),
         "transaction_count",
-        F.sum("net_flow_usd").over(w).alias("rolling_7d_net_flow"),
-        pnl_status(F.col("net_flow_usd")).alias("pnl_status"),
+        cents_to_money(F.sum("_net").over(w)).alias("rolling_7d_net_flow"),
+        pnl_status(F.col("_net")).alias("pnl_status"),
     )
 
 
@@ -154,47 +173,43 @@ def monthly_balance_sheet(fact: DataFrame, ordered: bool = True) -> DataFrame:
         fact.where(_c.status == "SETTLED")
         .groupBy("account_id", F.trunc("transaction_date", "MM").alias("report_month"))
         .agg(
-            sum_when(_c.type == "CREDIT", _c.amt).alias("gross_income"),
-            sum_when(_c.type == "DEBIT", _c.amt).alias("gross_expenses"),
-            sum_when((_c.type == "TRANSFER") & (_c.amt > 0), _c.amt).alias("transfers_in"),
-            sum_when((_c.type == "TRANSFER") & (_c.amt < 0), F.abs(_c.amt)).alias("transfers_out"),
-            sum_when(_c.type == "REFUND", _c.amt).alias("refunds_received"),
+            sum_cents_when(_c.type == "CREDIT", _c.amt).alias("_inc"),
+            sum_cents_when(_c.type == "DEBIT", _c.amt).alias("_exp"),
+            sum_cents_when((_c.type == "TRANSFER") & (_c.amt > 0), _c.amt).alias("_tin"),
+            sum_cents_when((_c.type == "TRANSFER") & (_c.amt < 0), F.abs(_c.amt)).alias("_tout"),
+            sum_cents_when(_c.type == "REFUND", _c.amt).alias("_ref"),
             F.count_distinct("transaction_id").alias("total_transactions"),
             F.count_distinct("merchant_id").alias("unique_merchants"),
             F.max(_c.amt).alias("largest_single_transaction"),
-            F.sum(_c.amt).alias("_sum_amt"),
+            F.sum(cents_long(_c.amt)).alias("_sum_amt"),
             F.count(_c.amt).alias("_n_amt"),
         )
     )
-    m = m.withColumn(
-        "net_position",
-        (F.col("gross_income") + F.col("transfers_in") + F.col("refunds_received"))
-        - (F.col("gross_expenses") + F.col("transfers_out")),
-    ).withColumn("operating_net", F.col("gross_income") - F.col("gross_expenses"))
+    net = (F.col("_inc") + F.col("_tin") + F.col("_ref")) - (F.col("_exp") + F.col("_tout"))
     w = Window.partitionBy("account_id").orderBy("report_month")
-    m = m.withColumn("prev_month_net_position", F.lag("net_position").over(w)).withColumn(
-        "prev_month_expenses", F.lag("gross_expenses").over(w)
+    m = m.select("*", net.alias("_net")).select(
+        "*", F.lag("_net").over(w).alias("_pnet"), F.lag("_exp").over(w).alias("_pexp")
     )
-    base_n = F.coalesce(F.col("prev_month_net_position"), F.col("net_position"))
-    base_e = F.coalesce(F.col("prev_month_expenses"), F.col("gross_expenses"))
+    base_n = F.coalesce(F.col("_pnet"), F.col("_net"))
+    base_e = F.coalesce(F.col("_pexp"), F.col("_exp"))
     out = m.select(
         "account_id",
         "report_month",
-        "gross_income",
-        "gross_expenses",
-        "transfers_in",
-        "transfers_out",
-        "refunds_received",
-        "net_position",
-        "operating_net",
+        cents_to_money("_inc").alias("gross_income"),
+        cents_to_money("_exp").alias("gross_expenses"),
+        cents_to_money("_tin").alias("transfers_in"),
+        cents_to_money("_tout").alias("transfers_out"),
+        cents_to_money("_ref").alias("refunds_received"),
+        cents_to_money("_net").alias("net_position"),
+        cents_to_money(F.col("_inc") - F.col("_exp")).alias("operating_net"),
         "total_transactions",
         "unique_merchants",
         "largest_single_transaction",
-        avg_money(F.col("_sum_amt"), F.col("_n_amt")).alias("avg_transaction_amount"),
-        money_pct_round(F.col("net_position") - base_n, F.abs(base_n), 2).alias("mom_net_position_change_pct"),
-        money_pct_round(F.col("gross_expenses") - base_e, base_e, 2).alias("mom_expense_change_pct"),
-        "prev_month_net_position",
-        "prev_month_expenses",
+        units_to_decimal(div_round_half_away(F.col("_sum_amt"), F.col("_n_amt")), 2).alias("avg_transaction_amount"),
+        pct_round(F.col("_net") - base_n, F.abs(base_n), 2).alias("mom_net_position_change_pct"),
+        pct_round(F.col("_exp") - base_e, base_e, 2).alias("mom_expense_change_pct"),
+        cents_to_money("_pnet").alias("prev_month_net_position"),
+        cents_to_money("_pexp").alias("prev_month_expenses"),
     )
     if ordered:
         out = out.orderBy(F.col("account_id").asc(), F.col("report_month").desc())
@@ -245,12 +260,16 @@ def _fraud_rate_units(flagged: Column, total: Column) -> Column:
     return div_round_half_away(flagged.cast("decimal(38,0)") * F.lit(100000), total)
 
 
-def daily_kpis(fact: DataFrame, as_of=None, lookback_days: int = 90) -> DataFrame:
-    """AGG6: per-day KPIs over the trailing window (FLT6)."""
-    base = fact.where(F.col("transaction_date") >= F.date_sub(_as_of(as_of), lookback_days))
+def _trailing(fact: DataFrame, as_of, lookback_days: int) -> DataFrame:
+    return fact.where(F.col("transaction_date") >= F.date_sub(_as_of(as_of), lookback_days))
+
+
+def _kpis(base: DataFrame) -> DataFrame:
+    """Per-day KPI aggregates; money kept in cents (``_vol_c``) and the fraud rate in
+    thousandths of a percent (``_fraud_q``) for exact downstream rounding."""
     k = base.groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("total_count"),
-        F.sum(_c.amt).alias("total_volume_usd"),
+        F.sum(cents_long(_c.amt)).alias("_vol_c"),
         F.count(_c.amt).alias("_n_amt"),
         F.max(_c.amt).alias("max_amount_usd"),
         count_when(_c.status == "FLAGGED").alias("flagged_count"),
@@ -260,40 +279,50 @@ def daily_kpis(fact: DataFrame, as_of=None, lookback_days: int = 90) -> DataFram
         F.count_distinct("currency").alias("currency_count"),
     )
     q = _fraud_rate_units(F.col("flagged_count"), F.col("total_count"))
-    return (
-        k.withColumn("avg_amount_usd", avg_money(F.col("total_volume_usd"), F.col("_n_amt")))
-        .withColumn("_fraud_q", q)
-        .withColumn("fraud_rate_pct", q.cast("double") / F.lit(1000.0))
-        .drop("_n_amt")
+    return k.select(
+        "transaction_date",
+        "total_count",
+        cents_to_money("_vol_c").alias("total_volume_usd"),
+        units_to_decimal(div_round_half_away(F.col("_vol_c"), F.col("_n_amt")), 2).alias("avg_amount_usd"),
+        "max_amount_usd",
+        "flagged_count",
+        "reversed_count",
+        "international_count",
+        "high_value_count",
+        "currency_count",
+        (q.cast("double") / F.lit(1000.0)).alias("fraud_rate_pct"),
+        "_vol_c",
+        q.alias("_fraud_q"),
     )
 
 
-def top_category(fact: DataFrame, as_of=None, lookback_days: int = 90, tie_break: bool = False) -> DataFrame:
-    """AGG7+WIN5+SRT3: the highest-volume category per day (RANK, so ties repeat a day).
+def daily_kpis(fact: DataFrame, as_of=None, lookback_days: int = 90) -> DataFrame:
+    """AGG6: per-day KPIs over the trailing window (FLT6)."""
+    return _kpis(_trailing(fact, as_of, lookback_days)).drop("_vol_c")
 
-    ``tie_break=True`` keeps one row per day (volume desc, then category).
-    """
-    base = fact.where(F.col("transaction_date") >= F.date_sub(_as_of(as_of), lookback_days))
-    cr = base.groupBy("transaction_date", "category").agg(F.sum(_c.amt).alias("category_volume"))
-    w = Window.partitionBy("transaction_date").orderBy(F.col("category_volume").desc_nulls_last())
+
+def _top(base: DataFrame, tie_break: bool) -> DataFrame:
+    cr = base.groupBy("transaction_date", "category").agg(F.sum(cents_long(_c.amt)).alias("_v"))
     if tie_break:
-        w = Window.partitionBy("transaction_date").orderBy(
-            F.col("category_volume").desc_nulls_last(), F.col("category").asc_nulls_last()
-        )
+        w = Window.partitionBy("transaction_date").orderBy(F.col("_v").desc_nulls_last(), F.col("category").asc_nulls_last())
         rk = F.row_number().over(w)
     else:
-        rk = F.rank().over(w)
+        rk = F.rank().over(Window.partitionBy("transaction_date").orderBy(F.col("_v").desc_nulls_last()))
     return (
-        cr.withColumn("_rnk", rk)
+        cr.select("*", rk.alias("_rnk"))
         .where(F.col("_rnk") == 1)
-        .select(
-            "transaction_date",
-            F.col("category").alias("top_category"),
-            F.col("category_volume").alias("top_category_volume"),
-        )
+        .select("transaction_date", F.col("category").alias("top_category"), cents_to_money("_v").alias("top_category_volume"))
     )
 
 
+def top_category(fact: DataFrame, as_of=None, lookback_days: int = 90, tie_break: bool = False) -> DataFrame:
+    """AGG7+WIN5+SRT3: the highest-volume category per day (RANK, so ties repeat a day).
+
+    ``tie_break=True`` keeps one row per day (volume desc, then category).
+    """
+    return _top(_trailing(fact, as_of, lookback_days), tie_break)
+
+
 SUMMARY_COLUMNS = [
     "transaction_date",
     "total_count",
@@ -317,20 +346,14 @@ def transaction_summary(
     fact: DataFrame, as_of=None, lookback_days: int = 90, tie_break: bool = False, ordered: bool = True
 ) -> DataFrame:
     """REP3: daily KPIs + top category + 7-row rolling averages, newest first."""
-    k = daily_kpis(fact, as_of, lookback_days)
-    t = top_category(fact, as_of, lookback_days, tie_break)
-    j = k.join(t, "transaction_date", "left")
+    base = _trailing(fact, as_of, lookback_days)
+    j = _kpis(base).join(_top(base, tie_break), "transaction_date", "left")
     # One row per day (plus rank ties): a single ordered partition is bounded by the calendar.
     w = Window.orderBy(F.col("transaction_date").asc(), F.col("top_category").asc_nulls_first()).rowsBetween(-6, 0)
-    vol_c = to_cents(F.col("total_volume_usd"))
-    roll_vol = units_to_decimal(
-        div_round_half_away(F.sum(vol_c).over(w), F.count(vol_c).over(w)), 2
-    )
-    roll_fr = div_round_half_away(F.sum("_fraud_q").over(w), F.count("_fraud_q").over(w)).cast("double") / F.lit(
-        1000.0
-    )
+    roll_vol = units_to_decimal(div_round_half_away(F.sum("_vol_c").over(w), F.count("_vol_c").over(w)), 2)
+    roll_fr = div_round_half_away(F.sum("_fraud_q").over(w), F.count("_fraud_q").over(w)).cast("double") / F.lit(1000.0)
     out = j.select(
-        *[c for c in SUMMARY_COLUMNS if c not in ("rolling_7d_avg_volume", "rolling_7d_fraud_rate")],
+        *SUMMARY_COLUMNS[:-2],
         roll_vol.alias("rolling_7d_avg_volume"),
         roll_fr.alias("rolling_7d_fraud_rate"),
     )
@@ -342,10 +365,10 @@ def transaction_summary(
 # ---------------------------------------------------------------- REP4 (AGG8)
 def executive_summary(fact: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """REP4: single-row summary of the trailing ``days`` (FAILED excluded)."""
-    f = fact.where((F.col("transaction_date") >= F.date_sub(_as_of(as_of), days)) & (_c.status != "FAILED"))
+    f = _trailing(fact, as_of, days).where(_c.status != "FAILED")
     g = f.agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(_c.amt).alias("total_volume_usd"),
+        F.sum(cents_long(_c.amt)).alias("_vol_c"),
         F.count(_c.amt).alias("_n_amt"),
         count_when(_c.status == "FLAGGED").alias("total_flagged"),
         count_when(_c.status == "REVERSED").alias("total_reversed"),
@@ -354,8 +377,8 @@ def executive_summary(fact: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     )
     return g.select(
         "total_transactions",
-        "total_volume_usd",
-        avg_money(F.col("total_volume_usd"), F.col("_n_amt")).alias("avg_transaction_usd"),
+        cents_to_money("_vol_c").alias("total_volume_usd"),
+        units_to_decimal(div_round_half_away(F.col("_vol_c"), F.col("_n_amt")), 2).alias("avg_transaction_usd"),
         "total_flagged",
         "total_reversed",
         (_fraud_rate_units(F.col("total_flagged"), F.col("total_transactions")).cast("double") / F.lit(1000.0)).alias(
@@ -372,36 +395,31 @@ def kpi_vs_previous_period(fact: DataFrame, as_of=None, period_days: int = 30) -
     (period 0 ends on as_of), each compared with the period before it."""
     asof = _as_of(as_of)
     p = F.floor(F.datediff(asof, F.col("transaction_date")) / F.lit(period_days)).cast("int")
-    g = (
-        fact.withColumn("period_index", p)
-        .groupBy("period_index")
-        .agg(
-            F.count(F.lit(1)).alias("total_count"),
-            F.sum(_c.amt).alias("total_volume_usd"),
-            count_when(_c.status == "FLAGGED").alias("flagged_count"),
-        )
-        .withColumn("_fraud_q", _fraud_rate_units(F.col("flagged_count"), F.col("total_count")))
+    g = fact.groupBy(p.alias("period_index")).agg(
+        F.count(F.lit(1)).alias("total_count"),
+        F.sum(cents_long(_c.amt)).alias("_vol_c"),
+        count_when(_c.status == "FLAGGED").alias("flagged_count"),
     )
     # One row per period: a single ordered partition is bounded by the time span.
     w = Window.orderBy(F.col("period_index").desc())
-    g = (
-        g.withColumn("prev_total_count", F.lag("total_count").over(w))
-        .withColumn("prev_total_volume_usd", F.lag("total_volume_usd").over(w))
-        .withColumn("_prev_fraud_q", F.lag("_fraud_q").over(w))
+    q = _fraud_rate_units(F.col("flagged_count"), F.col("total_count"))
+    g = g.select("*", q.alias("_q")).select(
+        "*",
+        F.lag("total_count").over(w).alias("prev_total_count"),
+        F.lag("_vol_c").over(w).alias("_pvol"),
+        F.lag("_q").over(w).alias("_pq"),
     )
     return g.select(
         "period_index",
         F.date_sub(asof, F.col("period_index") * period_days + (period_days - 1)).alias("period_start"),
         F.date_sub(asof, F.col("period_index") * period_days).alias("period_end"),
         "total_count",
-        "total_volume_usd",
-        (F.col("_fraud_q").cast("double") / F.lit(1000.0)).alias("fraud_rate_pct"),
+        cents_to_money("_vol_c").alias("total_volume_usd"),
+        (F.col("_q").cast("double") / F.lit(1000.0)).alias("fraud_rate_pct"),
         "prev_total_count",
-        "prev_total_volume_usd",
-        (F.col("_prev_fraud_q").cast("double") / F.lit(1000.0)).alias("prev_fraud_rate_pct"),
-        money_pct_round(
-            F.col("total_volume_usd") - F.col("prev_total_volume_usd"), F.col("prev_total_volume_usd"), 2
-        ).alias("volume_change_pct"),
+        cents_to_money("_pvol").alias("prev_total_volume_usd"),
+        (F.col("_pq").cast("double") / F.lit(1000.0)).alias("prev_fraud_rate_pct"),
+        pct_round(F.col("_vol_c") - F.col("_pvol"), F.col("_pvol"), 2).alias("volume_change_pct"),
         pct_round(F.col("total_count") - F.col("prev_total_count"), F.col("prev_total_count"), 2).alias(
             "count_change_pct"
         ),

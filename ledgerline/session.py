@@ -19,6 +19,9 @@ CORE_CONF: dict[str, str] = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Per-Column call-site capture (for error messages) costs several JVM
+    # round-trips per expression while plans are built; batch jobs skip it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
