@@ -287,3 +287,18 @@ def retention_status(df: DataFrame, as_of: str, ttl_col: str = "ttl") -> DataFra
 def compact_expired(df: DataFrame, as_of: str, ttl_col: str = "ttl") -> DataFrame:
     """STR7 compaction: keep only rows still within their TTL."""
     return retention_status(df, as_of, ttl_col).where(~F.col("is_expired")).drop("is_expired")
+
+
+# ---------------------------------------------------------------- SNK12 / SNK13 sinks
+def append_audit(events: DataFrame, path: str) -> None:
+    """SNK12: append events to the audit table, one folder per event day.
+
+    Event ids are content hashes, so a retried append can be de-duplicated by
+    ``event_id`` downstream; the append itself is a plain file write.
+    """
+    events.sortWithinPartitions("event_date").write.mode("append").partitionBy("event_date").json(path)
+
+
+def append_lineage(records: DataFrame, path: str) -> None:
+    """SNK13: append lineage rows (Parquet keeps the nested inputs/outputs arrays)."""
+    records.write.mode("append").parquet(path)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
-from ..config import Thresholds
+from ..config import Thresholds, load_thresholds
 from ..operators import fraud
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
 
@@ -161,10 +161,17 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def make_sink(out_dir: str):
-    """SNK6-SNK9 in one foreachBatch: scored, alerts, notifications, late/duplicate rejects."""
+def make_sink(out_dir: str, thresholds_path: str | None = None):
+    """SNK6-SNK9 in one foreachBatch: scored, alerts, notifications, late/duplicate rejects.
+
+    With ``thresholds_path`` the rules are applied here, re-reading the
+    thresholds file for every micro-batch (SRC8: thresholds change without a
+    restart); otherwise the batch arrives already scored.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if thresholds_path is not None:
+            batch = fraud.apply_rules(batch, load_thresholds(thresholds_path))
         batch = batch.persist()
         try:
             scored = batch.where(~F.col("is_late") & ~F.col("is_duplicate"))
@@ -194,6 +201,7 @@ def start_fraud_stream(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     watermark: str = "10 minutes",
+    thresholds_path: str | None = None,
 ):
     """Start the scoring and rejects queries; returns both StreamingQuery handles."""
     reader = spark.readStream.schema(STREAM_RECORD_SCHEMA)
@@ -201,7 +209,8 @@ def start_fraud_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     records = reader.json(source_dir)
     parsed = decode_and_parse(records)
-    scored = fraud.apply_rules(with_account_state(parsed, watermark), thresholds)
+    featured = with_account_state(parsed, watermark)
+    scored = featured if thresholds_path is not None else fraud.apply_rules(featured, thresholds)
 
     def trig(w):
         if available_now:
@@ -216,7 +225,8 @@ def start_fraud_stream(
     spark.conf.set(key, "false")
     try:
         q1 = trig(
-            scored.writeStream.foreachBatch(make_sink(out_dir)).option("checkpointLocation", f"{checkpoint_dir}/scoring")
+            scored.writeStream.foreachBatch(make_sink(out_dir, thresholds_path))
+            .option("checkpointLocation", f"{checkpoint_dir}/scoring")
         ).start()
     finally:
         spark.conf.set(key, prev)

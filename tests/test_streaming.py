@@ -83,3 +83,18 @@ def test_late_rows_are_rejected(spark, tmp_dir):
     fs.run_available_now(spark, src, out, ck, watermark="10 minutes")
     reasons = {r.transaction_id: r.reason for r in fs.read_output(spark, out, "rejects_state").collect()}
     assert reasons == {"3": "late"}
+
+
+def test_thresholds_reloaded_per_micro_batch(spark, tmp_dir):
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    th = f"{tmp_dir}/thresholds.json"
+    with open(th, "w") as f:
+        json.dump({"high_amount_usd": 10000}, f)
+    _write(src, "p1", [("s1", _payload(_txn(1, "a", 0, amount="15000.00")))])
+    fs.run_available_now(spark, src, out, ck, thresholds_path=th)
+    with open(th, "w") as f:
+        json.dump({"high_amount_usd": 20000}, f)
+    _write(src, "p2", [("s2", _payload(_txn(2, "a", 5, amount="15000.00")))])
+    fs.run_available_now(spark, src, out, ck, thresholds_path=th)
+    got = {r.transaction_id: r.action for r in fs.read_output(spark, out, "scored").collect()}
+    assert got == {"1": "FLAG", "2": "ALLOW"}
