@@ -5,8 +5,9 @@ Batch forms of the stream's keyed state:
 * ``velocity_counts`` (WIN8/JOIN6): number of the account's transactions in
   the open interval (t - 1 h, t).  Computed with a RANGE window partitioned
   by (account, time bucket); each bucket also receives a narrow "halo" copy of
-  the previous bucket's last hour, so the window never needs a whole account
-  in one task — a hot account is split into many buckets.
+  the previous bucket's last hour (emitted in the same pass with ``explode``),
+  so the window never needs a whole account in one task — a hot account is
+  split into many buckets.
 * ``first_merchant_visits`` (JOIN5): first (ts, id) per (account, merchant)
   via a map-side-combined ``min(struct)``, joined back on all four keys
   (the hash spreads on the unique transaction id, so no key skews the join).
@@ -45,14 +46,25 @@ def velocity_counts(
     W = window_s * 1_000_000
     B = bucket_s * 1_000_000
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    base = df.withColumn("_us", us).withColumn("_b", intdiv(F.col("_us") - F.pmod(F.col("_us"), F.lit(B)), F.lit(B)))
-    halo = base.where(F.col("_us") >= (F.col("_b") + 1) * B - W).select(
-        F.col(account_col), F.col("_us"), (F.col("_b") + 1).alias("_b"), F.lit(False).alias("_primary")
+    cols = df.columns
+    base = df.select("*", us.alias("_us")).withColumn(
+        "_b", intdiv(F.col("_us") - F.pmod(F.col("_us"), F.lit(B)), F.lit(B))
+    )
+    # One pass: rows in the last `window` of their bucket are emitted twice,
+    # the copy (key + time only) landing in the next bucket as history.
+    in_halo = F.col("_us") >= (F.col("_b") + 1) * B - W
+    copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    e = base.select("*", F.explode(copies).alias("_copy"))
+    primary = F.col("_copy") == 0
+    e = e.select(
+        *[F.col(c) if c == account_col else F.when(primary, F.col(c)).alias(c) for c in cols],
+        "_us",
+        (F.col("_b") + F.col("_copy")).alias("_b"),
+        primary.alias("_primary"),
     )
-    u = base.withColumn("_primary", F.lit(True)).unionByName(halo, allowMissingColumns=True)
     w = Window.partitionBy(account_col, "_b").orderBy("_us").rangeBetween(-(W - 1), -1)
     cnt = F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.count(F.lit(1)).over(w))
-    return u.withColumn(out_col, cnt.cast("int")).where("_primary").drop("_us", "_b", "_primary")
+    return e.withColumn(out_col, cnt.cast("int")).where("_primary").drop("_us", "_b", "_primary")
 
 
 # ---------------------------------------------------------------- JOIN5 new merchant
@@ -63,11 +75,17 @@ def first_merchant_visits(
     ts_col: str = "created_at",
     id_col: str = "transaction_id",
     out_col: str = "is_new_merchant",
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out_col``: true iff no earlier (ts, id) exists for the same
-    (account, merchant).  NULL merchant -> false."""
+    (account, merchant).  NULL merchant -> false.
+
+    ``history`` (default ``df``) is the frame the first visits are computed
+    from — pass the raw input when ``df`` carries expensive derived columns.
+    """
+    src = history if history is not None else df
     firsts = (
-        df.where(F.col(merchant_col).isNotNull() & F.col(account_col).isNotNull())
+        src.where(F.col(merchant_col).isNotNull() & F.col(account_col).isNotNull())
         .groupBy(account_col, merchant_col)
         .agg(F.min(F.struct(F.col(ts_col).alias("t"), F.col(id_col).alias("i"))).alias("_f"))
         .select(
@@ -229,7 +247,7 @@ def score_transactions(
 ) -> DataFrame:
     """FR10 (batch): velocity -> new merchant -> rules, over whole tables."""
     v = velocity_counts(txns, ts_col=ts_col, bucket_s=bucket_s)
-    n = first_merchant_visits(v, ts_col=ts_col)
+    n = first_merchant_visits(v, ts_col=ts_col, history=txns)
     return apply_rules(n, thresholds)
 
 

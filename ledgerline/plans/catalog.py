@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite
 from ..operators import alarms, dims, etl, fraud, governance, quality, reports
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import fixtures as fx
 from ..streaming import fraud_stream
 
@@ -27,8 +27,15 @@ def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid
 
 
-def silver_t(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.to_silver(bronze_t(spark, sf_dir))
+def silver_t(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Silver T.  ``materialize=True`` cuts the lineage with a reliable checkpoint
+    (shared checkpoint folder) for plans that read silver in several branches,
+    so the dedupe shuffle runs once instead of once per branch."""
+    df = etl.to_silver(bronze_t(spark, sf_dir))
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
+    return df
 
 
 def q_mask_pii(spark, sf_dir):
@@ -125,7 +132,7 @@ ORACLE_THRESHOLDS = Thresholds(velocity_per_hour=0)
 
 
 def scored_t(spark, sf_dir, thresholds: Thresholds = ORACLE_THRESHOLDS) -> DataFrame:
-    return fraud.score_transactions(silver_t(spark, sf_dir), thresholds)
+    return fraud.score_transactions(silver_t(spark, sf_dir, materialize=True), thresholds)
 
 
 SCORE_COLUMNS = [
@@ -151,7 +158,7 @@ def q_velocity_1h(spark, sf_dir):
 
 
 def q_new_merchant(spark, sf_dir):
-    return fraud.first_merchant_visits(silver_t(spark, sf_dir)).select(
+    return fraud.first_merchant_visits(silver_t(spark, sf_dir, materialize=True)).select(
         "transaction_id", "account_id", "merchant_id", "is_new_merchant"
     )
 
@@ -206,7 +213,7 @@ def _dq_out(df: DataFrame) -> DataFrame:
 
 
 def q_dq_results(spark, sf_dir):
-    return _dq_out(quality.validate(silver_t(spark, sf_dir), load_suite()))
+    return _dq_out(quality.validate(silver_t(spark, sf_dir, materialize=True), load_suite()))
 
 
 def q_dq_results_raw(spark, sf_dir):
@@ -265,7 +272,7 @@ def q_dim_fraud_alerts(spark, sf_dir):
 
 
 def q_fact_join_dims(spark, sf_dir):
-    s = silver_t(spark, sf_dir)
+    s = silver_t(spark, sf_dir, materialize=True)
     return dims.fact_join_dims(s, dims.dim_date_for(s), dims.dim_merchants(s))
 
 
