@@ -3,13 +3,15 @@
 ``metric_alarm`` aggregates a metric per tumbling event-time window and
 raises an alarm when the statistic breaches the threshold in
 ``n_periods`` consecutive (adjacent) windows; windows without data break a
-streak.  The streak check is a window over one row per period — bounded by
-the time span, not by the data volume.
+streak.  The streak check is fully distributed: every breaching window
+"votes" for itself and the next ``n_periods - 1`` window starts, and a window
+alarms when it collects ``n_periods`` votes (an aggregate plus an equi-join
+on the unique window start — no single-partition window over the timeline).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_when, div_round_half_away
@@ -18,13 +20,16 @@ _STATS = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.cou
 
 
 def _streak(g: DataFrame, breach: Column, period_s: int, n_periods: int) -> DataFrame:
-    w = Window.orderBy("period_start").rowsBetween(-(n_periods - 1), 0)
-    span = F.unix_seconds("period_start") - F.unix_seconds(F.first("period_start").over(w))
-    g = g.withColumn("breach", breach)
-    return g.withColumn(
-        "alarm",
-        (F.sum(F.col("breach").cast("int")).over(w) == n_periods) & (span == (n_periods - 1) * period_s),
+    g = g.withColumn("breach", F.coalesce(breach, F.lit(False)))
+    votes = (
+        g.where("breach")
+        .select(F.explode(F.sequence(F.lit(0), F.lit(n_periods - 1))).alias("_k"), "period_start")
+        .select((F.col("period_start") + F.make_dt_interval(secs=F.col("_k") * period_s)).alias("_target"))
+        .groupBy("_target")
+        .agg(F.count(F.lit(1)).alias("_votes"))
     )
+    j = g.join(votes, g["period_start"] == votes["_target"], "left")
+    return j.withColumn("alarm", F.coalesce(F.col("_votes"), F.lit(0)) == n_periods).drop("_target", "_votes")
 
 
 def metric_alarm(

@@ -97,6 +97,10 @@ def q_net_flow_by_category(spark, sf_dir):
     return reports.net_flow_by_category(reports.daily_pnl(fx.ledger(spark, sf_dir)))
 
 
+def q_pnl_detail(spark, sf_dir):
+    return reports.pnl_detail(reports.daily_pnl(fx.ledger(spark, sf_dir)))
+
+
 def q_monthly_balance_sheet(spark, sf_dir):
     return reports.balance_sheet_view(fx.ledger(spark, sf_dir))
 
@@ -327,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "daily_pnl": q_daily_pnl,
     "daily_pnl_calendar7": q_daily_pnl_calendar7,
     "net_flow_by_category": q_net_flow_by_category,
+    "pnl_detail": q_pnl_detail,
     "monthly_balance_sheet": q_monthly_balance_sheet,
     "mom_change": q_mom_change,
     "daily_kpis": q_daily_kpis,
