@@ -16,11 +16,6 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_cents(c: str | Column) -> Column:
-    """decimal(.,2) money -> exact integer cents (bigint)."""
-    return (col_(c) * F.lit(100)).cast("decimal(38,0)")
-
-
 def intdiv(a: Column, b: Column) -> Column:
     """Integral division (truncates toward zero), exact for integers."""
     return F.call_function("div", a, b)
@@ -41,37 +36,17 @@ def units_to_decimal(q: Column, dp: int, precision: int = 18) -> Column:
     return (q.cast("decimal(20,0)") / F.lit(10**dp)).cast(f"decimal({precision},{dp})")
 
 
-def avg_money(sum_col: Column, n_col: Column) -> Column:
-    """ROUND(AVG(money), 2), exact, from an exact decimal sum and a row count."""
-    return units_to_decimal(div_round_half_away(to_cents(sum_col), n_col), 2)
-
-
-def avg_units(sum_units: Column, n_col: Column, dp: int) -> Column:
-    """Average of values held as integer 10^-dp units, rounded to dp, as double."""
-    return div_round_half_away(sum_units, n_col).cast("double") / F.lit(float(10**dp))
-
-
 def pct_round(num: Column, den: Column, dp: int) -> Column:
     """ROUND(num / NULLIF(den, 0) * 100, dp), exact, for integer num/den, as double."""
     scaled = num.cast("decimal(38,0)") * F.lit(10 ** (dp + 2)).cast("decimal(38,0)")
     return div_round_half_away(scaled, den).cast("double") / F.lit(float(10**dp))
 
 
-def money_pct_round(num_money: Column, den_money: Column, dp: int) -> Column:
-    """pct_round for decimal(.,2) money operands."""
-    return pct_round(to_cents(num_money), to_cents(den_money), dp)
-
-
 def count_when(cond: Column) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END) — NULL conditions count as false."""
     return F.count(F.when(cond, F.lit(1)))
 
 
-def sum_when(cond: Column, value: Column) -> Column:
-    """SUM(CASE WHEN cond THEN value ELSE 0 END)."""
-    return F.sum(F.when(cond, value).otherwise(F.lit(0)))
-
-
 def div_round_half_even(num: Column, den: Column) -> Column:
     """round(num / den) half to even for non-negative integers; NULL when den = 0."""
     num = num.cast("decimal(38,0)")

@@ -109,10 +109,6 @@ def first_merchant_visits(
 
 
 # ---------------------------------------------------------------- FR1-FR6 rules
-def _num_str(x) -> str:
-    return str(x)
-
-
 def _signal(rule: str, triggered: Column, score: Column, reason: Column) -> Column:
     return F.struct(
         F.lit(rule).alias("rule"),
@@ -128,7 +124,7 @@ def rule_high_amount(th: Thresholds) -> tuple[Column, Column, Column]:
     trig = amt > F.lit(float(th.high_amount_usd))
     reason = F.when(
         trig,
-        F.concat(F.lit("Amount $"), F.col("amount_usd").cast("string"), F.lit(f" exceeds ${_num_str(th.high_amount_usd)}")),
+        F.concat(F.lit("Amount $"), F.col("amount_usd").cast("string"), F.lit(f" exceeds ${th.high_amount_usd}")),
     ).otherwise(F.lit(""))
     return trig, F.when(trig, F.lit(C.POINTS_HIGH_AMOUNT)).otherwise(F.lit(0)), reason
 
@@ -174,7 +170,7 @@ def rule_velocity(th: Thresholds, recent_col: str = "recent_count") -> tuple[Col
     trig = n > F.lit(int(th.velocity_per_hour))
     reason = F.when(
         trig,
-        F.concat(n.cast("string"), F.lit(f" transactions in 1 hour (limit: {_num_str(th.velocity_per_hour)})")),
+        F.concat(n.cast("string"), F.lit(f" transactions in 1 hour (limit: {th.velocity_per_hour})")),
     ).otherwise(F.lit(""))
     return trig, F.when(trig, F.lit(C.POINTS_VELOCITY)).otherwise(F.lit(0)), reason
 
