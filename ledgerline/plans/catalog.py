@@ -34,7 +34,7 @@ def silver_t(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Dat
     df = etl.to_silver(bronze_t(spark, sf_dir))
     if materialize:
         ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        df = df.checkpoint(eager=True)  # reliable checkpoint, not localCheckpoint
     return df
 
 

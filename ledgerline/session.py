@@ -60,7 +60,10 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir()
     if d:
         return d
@@ -75,6 +78,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = checkpoint_dir(spark)
     if d:
+        try:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
         return d
     d = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("LEDGERLINE_LOCAL_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
@@ -85,3 +93,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/ledgerline/{name}-{uuid.uuid4().hex}"
+
+
+def suggest_shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024 * 1024, cores: int | None = None) -> int:
+    """Initial shuffle partitions for a job reading ``input_bytes``: about one
+    ``target_bytes`` partition each, at least the core count.  AQE then
+    coalesces small partitions and splits skewed ones at run time."""
+    n = max(1, -(-int(input_bytes) // int(target_bytes)))
+    return max(n, cores or 1)

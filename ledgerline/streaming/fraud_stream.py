@@ -93,15 +93,24 @@ def _state_output_schema(in_schema: T.StructType) -> T.StructType:
     )
 
 
-def make_state_fn(window_s: int = C.VELOCITY_WINDOW_SECONDS, dedupe_horizon_s: int = 86400, idle_timeout_ms: int = 3_600_000):
+def make_state_fn(
+    window_s: int = C.VELOCITY_WINDOW_SECONDS,
+    dedupe_horizon_s: int = 86400,
+    idle_timeout_ms: int = 3_600_000,
+    merchant_horizon_s: int | None = None,
+):
+    """Per-account state: event times of the last window, merchants seen
+    (with last-seen time; forgotten after ``merchant_horizon_s`` when set) and
+    recently processed ids (kept ``dedupe_horizon_s``)."""
     W = window_s * 1_000_000
     H = dedupe_horizon_s * 1_000_000
+    MH = merchant_horizon_s * 1_000_000 if merchant_horizon_s else None
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        st = json.loads(state.get[0]) if state.exists else {"t": [], "m": [], "s": {}}
+        st = json.loads(state.get[0]) if state.exists else {"t": [], "m": {}, "s": {}}
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if pdf.empty:
             return
@@ -119,9 +128,14 @@ def make_state_fn(window_s: int = C.VELOCITY_WINDOW_SECONDS, dedupe_horizon_s: i
         allt = np.sort(np.concatenate([hist, cur]))
         recent = np.searchsorted(allt, cur, side="left") - np.searchsorted(allt, cur - W, side="right")
         # new merchant: first live occurrence in the batch and never seen before
-        merch = set(st["m"])
-        m = pdf.loc[live, "merchant_id"]
-        is_new = m.notna() & ~m.isin(list(merch)) & ~m.duplicated(keep="first")
+        # new merchant: no earlier sighting at this merchant (within the horizon, if set)
+        merch: dict = st["m"]
+        lv = pdf.loc[live, ["merchant_id", "_us"]]
+        m = lv["merchant_id"]
+        prev = lv.groupby("merchant_id", sort=False)["_us"].shift(1).astype("float64")
+        seen = m.map(lambda k: merch.get(k, np.nan) if isinstance(k, str) else np.nan).astype("float64")
+        prev = prev.fillna(seen)  # float64 micros are exact for 285 years
+        is_new = m.notna() & (prev.isna() if MH is None else (prev.isna() | (prev <= lv["_us"] - MH)))
         out = pdf.copy()
         out["recent_count"] = 0
         out["is_new_merchant"] = False
@@ -132,7 +146,10 @@ def make_state_fn(window_s: int = C.VELOCITY_WINDOW_SECONDS, dedupe_horizon_s: i
         # update bounded state
         top = int(allt.max()) if allt.size else 0
         st["t"] = [int(x) for x in allt if x > top - W]
-        st["m"] = sorted(merch.union(m.dropna().tolist()))
+        for mid, u in zip(m, cur):
+            if mid is not None and mid == mid:  # skip NULL / NaN
+                merch[str(mid)] = int(u)
+        st["m"] = {k: v for k, v in merch.items() if MH is None or v > top - MH}
         for i, u in zip(pdf.loc[live, "transaction_id"], cur):
             seen[str(i)] = int(u)
         st["s"] = {k: v for k, v in seen.items() if v > top - H}

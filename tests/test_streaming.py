@@ -98,3 +98,46 @@ def test_thresholds_reloaded_per_micro_batch(spark, tmp_dir):
     fs.run_available_now(spark, src, out, ck, thresholds_path=th)
     got = {r.transaction_id: r.action for r in fs.read_output(spark, out, "scored").collect()}
     assert got == {"1": "FLAG", "2": "ALLOW"}
+
+
+def test_state_function_merchant_horizon():
+    import pandas as pd
+
+    class FakeState:
+        def __init__(self):
+            self.exists, self.hasTimedOut, self.value = False, False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, v):
+            self.value, self.exists = v, True
+
+        def setTimeoutDuration(self, ms):
+            pass
+
+        def remove(self):
+            self.exists = False
+
+    fn = fs.make_state_fn(merchant_horizon_s=3600)
+    st = FakeState()
+
+    def batch(rows):
+        pdf = pd.DataFrame(rows, columns=fs.STATEFUL_FIELDS)
+        return next(fn(("a",), iter([pdf]), st))
+
+    def row(i, minute, merchant):
+        ts = pd.Timestamp("2024-01-01 00:00") + pd.Timedelta(minutes=minute)
+        return [str(i), "a", 1, "DEBIT", 0, False, "US", merchant, "d", ts, f"s{i}"]
+
+    out = batch([row(1, 0, "M1"), row(2, 30, "M1")])
+    assert out["is_new_merchant"].tolist() == [True, False]
+    assert out["recent_count"].tolist() == [0, 1]
+    out = batch([row(3, 200, "M1")])  # M1 last seen 170 minutes ago > 1 h horizon
+    assert out["is_new_merchant"].tolist() == [True]
+    assert out["recent_count"].tolist() == [0]
+    assert json.loads(st.value[0])["t"] == [int(pd.Timestamp("2024-01-01 03:20").value // 1000)]
