@@ -116,20 +116,36 @@ def daily_pnl(fact: DataFrame) -> DataFrame:
     (account, date, net_flow) values, joined back on (account, date) — so a
     day with k categories fans out (K10).  Rows within a day are ordered by
     net flow, which makes the frame deterministic.
+
+    Plan: one aggregate (partial, shuffle 1), then the aggregated rows are
+    hash-partitioned by account once (shuffle 2) and everything else is
+    windows inside those partitions — no second scan and no join:
+    one representative row per distinct (account, date, net); a running
+    count of representatives gives each its index; a RANGE frame of 7 on that
+    index (non-representatives contribute 0) is the rolling sum; each row
+    then takes the list of its day's rolling values (at most one per
+    category) and explodes it, which is the join's fan-out.
     """
-    flows = _flows_cents(fact)
-    w = (
-        Window.partitionBy("account_id")
-        .orderBy(F.col("transaction_date").asc(), F.col("_net_c").asc_nulls_first())
-        .rowsBetween(-6, 0)
+    flows = _flows_cents(fact).repartition("account_id")
+    acct = Window.partitionBy("account_id")
+    order = [F.col("transaction_date").asc(), F.col("_net_c").asc_nulls_first(), F.col("category").asc_nulls_first()]
+    is_rep = F.row_number().over(
+        Window.partitionBy("account_id", "transaction_date", "_net_c").orderBy(F.col("category").asc_nulls_first())
+    ) == 1
+    f = flows.withColumn("_rep", is_rep)
+    f = f.withColumn(
+        "_ri", F.sum(F.col("_rep").cast("long")).over(acct.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     )
-    rolling = (
-        flows.select("account_id", "transaction_date", "_net_c")
-        .distinct()
-        .select("account_id", "transaction_date", cents_to_money(F.sum("_net_c").over(w)).alias("rolling_7d_net_flow"))
+    roll = F.sum(F.when(F.col("_rep"), F.col("_net_c")).otherwise(F.lit(0).cast("bigint"))).over(
+        acct.orderBy("_ri").rangeBetween(-6, 0)
     )
+    # a NULL net still forms its own distinct row; a NULL in its frame makes no difference to SUM
+    f = f.withColumn("_roll", F.when(F.col("_rep"), F.struct(roll.alias("v"))))
+    day = Window.partitionBy("account_id", "transaction_date")
+    f = f.withColumn("_rolls", F.collect_list("_roll").over(day))
     return (
-        flows.join(rolling, ["account_id", "transaction_date"], "inner")
+        f.select("*", F.explode("_rolls").alias("_r"))
+        .withColumn("rolling_7d_net_flow", cents_to_money(F.col("_r.v")))
         .withColumn("pnl_status", pnl_status(F.col("_net_c")))
         .select(*PNL_COLUMNS)
     )
