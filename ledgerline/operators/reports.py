@@ -280,19 +280,37 @@ def _trailing(fact: DataFrame, as_of, lookback_days: int) -> DataFrame:
     return fact.where(F.col("transaction_date") >= F.date_sub(_as_of(as_of), lookback_days))
 
 
-def _kpis(base: DataFrame) -> DataFrame:
-    """Per-day KPI aggregates; money kept in cents (``_vol_c``) and the fraud rate in
-    thousandths of a percent (``_fraud_q``) for exact downstream rounding."""
-    k = base.groupBy("transaction_date").agg(
-        F.count(F.lit(1)).alias("total_count"),
+def _day_category(base: DataFrame) -> DataFrame:
+    """The one scan of REP3: per (date, category) partial measures.  Per-day
+    KPIs and the top category are both derived from this small aggregate; the
+    distinct-currency count travels as a per-group currency set (bounded by the
+    number of currencies)."""
+    return base.groupBy("transaction_date", "category").agg(
+        F.count(F.lit(1)).alias("_n"),
         F.sum(cents_long(_c.amt)).alias("_vol_c"),
         F.count(_c.amt).alias("_n_amt"),
-        F.max(_c.amt).alias("max_amount_usd"),
-        count_when(_c.status == "FLAGGED").alias("flagged_count"),
-        count_when(_c.status == "REVERSED").alias("reversed_count"),
-        count_when(F.col("is_international")).alias("international_count"),
-        count_when(F.col("is_high_value")).alias("high_value_count"),
-        F.count_distinct("currency").alias("currency_count"),
+        F.max(_c.amt).alias("_max"),
+        count_when(_c.status == "FLAGGED").alias("_fl"),
+        count_when(_c.status == "REVERSED").alias("_rv"),
+        count_when(F.col("is_international")).alias("_in"),
+        count_when(F.col("is_high_value")).alias("_hv"),
+        F.collect_set("currency").alias("_cur"),
+    )
+
+
+def _kpis_from(dc: DataFrame) -> DataFrame:
+    """Per-day KPI aggregates; money kept in cents (``_vol_c``) and the fraud rate in
+    thousandths of a percent (``_fraud_q``) for exact downstream rounding."""
+    k = dc.groupBy("transaction_date").agg(
+        F.sum("_n").alias("total_count"),
+        F.sum("_vol_c").alias("_vol_c"),
+        F.sum("_n_amt").alias("_n_amt"),
+        F.max("_max").alias("max_amount_usd"),
+        F.sum("_fl").alias("flagged_count"),
+        F.sum("_rv").alias("reversed_count"),
+        F.sum("_in").alias("international_count"),
+        F.sum("_hv").alias("high_value_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_cur")))).cast("long").alias("currency_count"),
     )
     q = _fraud_rate_units(F.col("flagged_count"), F.col("total_count"))
     return k.select(
@@ -312,22 +330,31 @@ def _kpis(base: DataFrame) -> DataFrame:
     )
 
 
+def _kpis(base: DataFrame) -> DataFrame:
+    return _kpis_from(_day_category(base))
+
+
 def daily_kpis(fact: DataFrame, as_of=None, lookback_days: int = 90) -> DataFrame:
     """AGG6: per-day KPIs over the trailing window (FLT6)."""
     return _kpis(_trailing(fact, as_of, lookback_days)).drop("_vol_c")
 
 
 def _top(base: DataFrame, tie_break: bool) -> DataFrame:
-    cr = base.groupBy("transaction_date", "category").agg(F.sum(cents_long(_c.amt)).alias("_v"))
+    return _top_from(_day_category(base), tie_break)
+
+
+def _top_from(dc: DataFrame, tie_break: bool) -> DataFrame:
     if tie_break:
-        w = Window.partitionBy("transaction_date").orderBy(F.col("_v").desc_nulls_last(), F.col("category").asc_nulls_last())
+        w = Window.partitionBy("transaction_date").orderBy(F.col("_vol_c").desc_nulls_last(), F.col("category").asc_nulls_last())
         rk = F.row_number().over(w)
     else:
-        rk = F.rank().over(Window.partitionBy("transaction_date").orderBy(F.col("_v").desc_nulls_last()))
+        rk = F.rank().over(Window.partitionBy("transaction_date").orderBy(F.col("_vol_c").desc_nulls_last()))
     return (
-        cr.select("*", rk.alias("_rnk"))
+        dc.select("transaction_date", "category", "_vol_c", rk.alias("_rnk"))
         .where(F.col("_rnk") == 1)
-        .select("transaction_date", F.col("category").alias("top_category"), cents_to_money("_v").alias("top_category_volume"))
+        .select(
+            "transaction_date", F.col("category").alias("top_category"), cents_to_money("_vol_c").alias("top_category_volume")
+        )
     )
 
 
@@ -362,8 +389,39 @@ def transaction_summary(
     fact: DataFrame, as_of=None, lookback_days: int = 90, tie_break: bool = False, ordered: bool = True
 ) -> DataFrame:
     """REP3: daily KPIs + top category + 7-row rolling averages, newest first."""
-    base = _trailing(fact, as_of, lookback_days)
-    j = _kpis(base).join(_top(base, tie_break), "transaction_date", "left")
+    # Single chain: (date, category) aggregate -> windows over each date give
+    # the day's KPIs on every category row and the category rank; keeping the
+    # rank-1 rows is the KPI x top-category join (rank ties fan out the same way).
+    dc = _day_category(_trailing(fact, as_of, lookback_days))
+    day = Window.partitionBy("transaction_date")
+    if tie_break:
+        rk = F.row_number().over(day.orderBy(F.col("_vol_c").desc_nulls_last(), F.col("category").asc_nulls_last()))
+    else:
+        rk = F.rank().over(day.orderBy(F.col("_vol_c").desc_nulls_last()))
+    per_day = dc.select(
+        "transaction_date",
+        F.col("category").alias("top_category"),
+        cents_to_money("_vol_c").alias("top_category_volume"),
+        rk.alias("_rnk"),
+        F.sum("_n").over(day).alias("total_count"),
+        F.sum("_vol_c").over(day).alias("_day_vol_c"),
+        F.sum("_n_amt").over(day).alias("_n_amt"),
+        F.max("_max").over(day).alias("max_amount_usd"),
+        F.sum("_fl").over(day).alias("flagged_count"),
+        F.sum("_rv").over(day).alias("reversed_count"),
+        F.sum("_in").over(day).alias("international_count"),
+        F.sum("_hv").over(day).alias("high_value_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_cur").over(day)))).cast("long").alias("currency_count"),
+    ).where(F.col("_rnk") == 1)
+    q = _fraud_rate_units(F.col("flagged_count"), F.col("total_count"))
+    j = per_day.select(
+        "*",
+        cents_to_money("_day_vol_c").alias("total_volume_usd"),
+        units_to_decimal(div_round_half_away(F.col("_day_vol_c"), F.col("_n_amt")), 2).alias("avg_amount_usd"),
+        (q.cast("double") / F.lit(1000.0)).alias("fraud_rate_pct"),
+        F.col("_day_vol_c").alias("_vol_c"),
+        q.alias("_fraud_q"),
+    )
     # One row per day (plus rank ties): a single ordered partition is bounded by the calendar.
     w = Window.orderBy(F.col("transaction_date").asc(), F.col("top_category").asc_nulls_first()).rowsBetween(-6, 0)
     roll_vol = units_to_decimal(div_round_half_away(F.sum("_vol_c").over(w), F.count("_vol_c").over(w)), 2)
