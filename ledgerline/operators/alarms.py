@@ -3,15 +3,17 @@
 ``metric_alarm`` aggregates a metric per tumbling event-time window and
 raises an alarm when the statistic breaches the threshold in
 ``n_periods`` consecutive (adjacent) windows; windows without data break a
-streak.  The streak check is fully distributed: every breaching window
-"votes" for itself and the next ``n_periods - 1`` window starts, and a window
-alarms when it collects ``n_periods`` votes (an aggregate plus an equi-join
-on the unique window start — no single-partition window over the timeline).
+streak.  The streak check is a RANGE window partitioned by day: a window
+alarms when the ``(n_periods - 1) * period`` seconds before it, itself
+included, hold ``n_periods`` breaching windows (window starts are unique, so
+that means all of them).  Windows in the last part of a day are also copied
+into the next day's partition, so streaks across midnight are seen; no
+single-partition window over the whole timeline and no self-join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_when, div_round_half_away
@@ -19,17 +21,18 @@ from ..functions.columns import count_when, div_round_half_away
 _STATS = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 
 
-def _streak(g: DataFrame, breach: Column, period_s: int, n_periods: int) -> DataFrame:
-    g = g.withColumn("breach", F.coalesce(breach, F.lit(False)))
-    votes = (
-        g.where("breach")
-        .select(F.explode(F.sequence(F.lit(0), F.lit(n_periods - 1))).alias("_k"), "period_start")
-        .select((F.col("period_start") + F.make_dt_interval(secs=F.col("_k") * period_s)).alias("_target"))
-        .groupBy("_target")
-        .agg(F.count(F.lit(1)).alias("_votes"))
-    )
-    j = g.join(votes, g["period_start"] == votes["_target"], "left")
-    return j.withColumn("alarm", F.coalesce(F.col("_votes"), F.lit(0)) == n_periods).drop("_target", "_votes")
+def _streak(g: DataFrame, breach: Column, period_s: int, n_periods: int, bucket_s: int = 86400) -> DataFrame:
+    span = (n_periods - 1) * period_s
+    bucket_s = max(bucket_s, span + period_s)
+    cols = g.columns
+    sec = F.unix_seconds("period_start")
+    g = g.select("*", F.coalesce(breach, F.lit(False)).alias("breach"), sec.alias("_s"))
+    g = g.withColumn("_bk", F.floor(F.col("_s") / F.lit(bucket_s)).cast("long"))
+    halo = (F.col("_s") >= (F.col("_bk") + 1) * bucket_s - span) & F.lit(n_periods > 1)
+    e = g.select("*", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"))
+    w = Window.partitionBy(F.col("_bk") + F.col("_copy")).orderBy("_s").rangeBetween(-span, 0)
+    alarm = F.sum(F.col("breach").cast("int")).over(w) == n_periods
+    return e.select(*cols, "breach", alarm.alias("alarm"), "_copy").where(F.col("_copy") == 0).drop("_copy")
 
 
 def metric_alarm(
