@@ -127,14 +127,13 @@ def make_state_fn(
         cur = pdf.loc[live, "_us"].to_numpy(dtype="int64")
         allt = np.sort(np.concatenate([hist, cur]))
         recent = np.searchsorted(allt, cur, side="left") - np.searchsorted(allt, cur - W, side="right")
-        # new merchant: first live occurrence in the batch and never seen before
         # new merchant: no earlier sighting at this merchant (within the horizon, if set)
         merch: dict = st["m"]
         lv = pdf.loc[live, ["merchant_id", "_us"]]
         m = lv["merchant_id"]
         prev = lv.groupby("merchant_id", sort=False)["_us"].shift(1).astype("float64")
-        seen = m.map(lambda k: merch.get(k, np.nan) if isinstance(k, str) else np.nan).astype("float64")
-        prev = prev.fillna(seen)  # float64 micros are exact for 285 years
+        in_state = m.map(lambda k: merch.get(k, np.nan) if isinstance(k, str) else np.nan).astype("float64")
+        prev = prev.fillna(in_state)  # float64 micros are exact for 285 years
         is_new = m.notna() & (prev.isna() if MH is None else (prev.isna() | (prev <= lv["_us"] - MH)))
         out = pdf.copy()
         out["recent_count"] = 0
