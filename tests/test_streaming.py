@@ -140,4 +140,6 @@ def test_state_function_merchant_horizon():
     out = batch([row(3, 200, "M1")])  # M1 last seen 170 minutes ago > 1 h horizon
     assert out["is_new_merchant"].tolist() == [True]
     assert out["recent_count"].tolist() == [0]
-    assert json.loads(st.value[0])["t"] == [int(pd.Timestamp("2024-01-01 03:20").value // 1000)]
+    saved = json.loads(st.value[0])
+    assert saved["t"] == [int(pd.Timestamp("2024-01-01 03:20").value // 1000)]
+    assert sorted(saved["s"]) == ["1", "2", "3"] and sorted(saved["m"]) == ["M1"]
