@@ -241,14 +241,14 @@ def upstream_runs(lineage: DataFrame, uri: str, mode: str = "contains") -> DataF
     return lineage.where(cond)
 
 
-def upstream_of(lineage: DataFrame, uris: DataFrame, mode: str = "exact") -> DataFrame:
-    """JOIN8 in bulk: for each uri in ``uris(uri)``, the runs that produced it (explode + equi join)."""
+def upstream_of(lineage: DataFrame, uris: DataFrame) -> DataFrame:
+    """JOIN8 in bulk: for each ``uris(uri)``, the runs that produced exactly that
+    URI — outputs exploded, then an equi join on the URI (no nested-loop join;
+    substring matching is offered for a single URI by ``upstream_runs``)."""
     outs = lineage.select("lineage_id", "job_name", "run_id", F.explode("outputs").alias("o")).select(
         "lineage_id", "job_name", "run_id", F.col("o.uri").alias("produced_uri")
     )
-    if mode == "exact":
-        return uris.join(outs, uris["uri"] == outs["produced_uri"], "inner")
-    return uris.join(outs, outs["produced_uri"].contains(uris["uri"]), "inner")
+    return uris.join(outs, uris["uri"] == outs["produced_uri"], "inner")
 
 
 def stage_lineage(spark: SparkSession, stage: str, run_id: str, src: str, dst: str) -> DataFrame:
