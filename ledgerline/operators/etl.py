@@ -142,7 +142,7 @@ def dedupe_latest(
 ) -> DataFrame:
     """WIN1: keep one row per key — the greatest by ``order_desc`` (NULLs lowest).
 
-    Expressed as ``max(struct(order..., row))`` per key rather than a
+    Expressed as ``max_by(row, struct(order...))`` per key rather than a
     ``row_number`` window: the aggregate is combined map-side, so a key
     holding a large share of all copies never lands whole in one task.
     ``hash_tiebreak`` appends an xxhash64 of the whole row, making the pick
@@ -154,9 +154,9 @@ def dedupe_latest(
     order: list[Column] = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_desc)]
     if hash_tiebreak:
         order.append(F.xxhash64(*[F.col(c) for c in all_cols]).alias("_oh"))
-    packed = F.struct(*order, F.struct(*[F.col(c) for c in others]).alias("_row"))
-    out = df.groupBy(*keys).agg(F.max(packed).alias("_m"))
-    pos = {c: (F.col(c) if c in keys else F.col(f"_m._row.{c}").alias(c)) for c in all_cols}
+    row = F.struct(*[F.col(c) for c in others])
+    out = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row"))
+    pos = {c: (F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)) for c in all_cols}
     return out.select(*[pos[c] for c in all_cols])
 
 
