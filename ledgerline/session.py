@@ -32,6 +32,7 @@ def build_session(
     app_name: str = "ledgerline",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    event_log_dir: str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with ledgerline's settings.
 
@@ -45,6 +46,8 @@ def build_session(
         b = b.config(k, v)
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if event_log_dir:  # stage/task timings for offline analysis (no UI server)
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
