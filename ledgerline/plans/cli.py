@@ -14,7 +14,7 @@ from ..session import build_session
 from . import jobs
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     p = argparse.ArgumentParser(prog="ledgerline")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="job", required=True)
@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         out = jobs.validate_job(spark, a.input, a.output, a.dataset, a.config, a.run_date)
     print(json.dumps(out, default=str))
-    spark.stop()
+    if stop_session:
+        spark.stop()
     if a.job == "validate":
         return 0 if out.get("overall_success") else 1
     return 0

@@ -45,3 +45,19 @@ def test_ingest_transform_load_validate(spark, tmp_dir):
     s = jobs.validate_job(spark, f"{tmp_dir}/silver", f"{tmp_dir}/dq", run_date="2024-02-01")
     assert s["total"] == 18 and s["passed"] + s["failed"] == 18
     assert spark.read.json(f"{tmp_dir}/dq/results").count() == 18
+
+
+def test_cli_pipeline_and_validation_exit_code(spark, tmp_dir, capsys):
+    from ledgerline.plans.cli import main
+
+    d = tmp_dir
+    assert main(["generate", "--records", "500", "--accounts", "20", "--days", "10", "--output", f"{d}/raw"], stop_session=False) == 0
+    assert main(["ingest", "--source", f"{d}/raw", "--bronze", f"{d}/b", "--quarantine", f"{d}/q"], stop_session=False) == 0
+    assert main(["transform", "--bronze", f"{d}/b", "--silver", f"{d}/s"], stop_session=False) == 0
+    code = main(["validate", "--input", f"{d}/s", "--output", f"{d}/dq", "--run-date", "2024-01-01"], stop_session=False)
+    last = capsys.readouterr().out.strip().splitlines()[-1]
+    import json
+
+    summary = json.loads(last)
+    assert code == (0 if summary["overall_success"] else 1)
+    assert summary["total"] == 18
