@@ -225,6 +225,44 @@ def lineage_record(
     return spark.createDataFrame([row], LINEAGE_SCHEMA)
 
 
+def partition_lineage(
+    df: DataFrame,
+    part_col: str,
+    job_name: str,
+    job_type: str,
+    input_root: str,
+    output_root: str,
+    run_id: str,
+    recorded_at: str,
+    metadata: dict[str, Any] | None = None,
+) -> DataFrame:
+    """LIN1 per partition: one lineage row for every partition value a job wrote
+    (``input_root/col=v`` -> ``output_root/col=v``), derived from the data with
+    a distinct — a file-per-partition lineage table for partitioned layers."""
+    if job_type not in C.ASSET_TYPES:
+        raise ValueError(f"unknown asset type {job_type}")
+    v = F.col(part_col).cast("string")
+    parts = df.select(v.alias("_v")).distinct().where(F.col("_v").isNotNull())
+    ts = F.to_timestamp(F.lit(recorded_at))
+
+    def asset(root: str) -> Column:
+        return F.array(
+            F.struct(F.lit("S3_PATH").alias("type"), F.concat(F.lit(f"{root.rstrip('/')}/{part_col}="), F.col("_v")).alias("uri"))
+        )
+
+    return parts.select(
+        F.concat(F.lit(f"{job_name}#{run_id}#"), F.col("_v")).alias("lineage_id"),
+        F.lit(job_name).alias("job_name"),
+        F.lit(job_type).alias("job_type"),
+        F.lit(run_id).alias("run_id"),
+        ts.alias("recorded_at"),
+        asset(input_root).alias("inputs"),
+        asset(output_root).alias("outputs"),
+        F.lit(json.dumps(metadata or {})).alias("metadata"),
+        (F.unix_seconds(ts) + F.lit(C.TTL_LINEAGE_S)).alias("ttl"),
+    )
+
+
 def get_lineage(lineage: DataFrame, lineage_id: str) -> DataFrame:
     """LIN2: lookup by id (empty frame when absent); metadata parsed to a map."""
     return lineage.where(F.col("lineage_id") == lineage_id).withColumn(

@@ -288,6 +288,28 @@ def q_audit_by_actor_day(spark, sf_dir):
     return governance.audit_by_actor_day(governance.fraud_alert_events(fraud.fraud_alerts(scored_t(spark, sf_dir))))
 
 
+LINEAGE_RUN = ("transform-job", "GLUE_JOB", "bronze/transactions", "silver/transactions", "run-1", "2024-01-31 00:00:00")
+
+
+def _silver_lineage(spark, sf_dir):
+    job, jtype, src, dst, run, at = LINEAGE_RUN
+    return governance.partition_lineage(silver_t(spark, sf_dir), "transaction_date", job, jtype, src, dst, run, at)
+
+
+def q_lineage_records(spark, sf_dir):
+    return _silver_lineage(spark, sf_dir).select(
+        "lineage_id", "job_name", "job_type", "run_id", "recorded_at",
+        F.col("inputs")[0]["uri"].alias("input_uri"), F.col("outputs")[0]["uri"].alias("output_uri"), "ttl",
+    )
+
+
+def q_lineage_upstream(spark, sf_dir):
+    """JOIN8/LIN3: for every written silver partition, the run that produced it."""
+    lin = _silver_lineage(spark, sf_dir)
+    uris = lin.select(F.explode("outputs").alias("o")).select(F.col("o.uri").alias("uri"))
+    return governance.upstream_of(lin, uris)
+
+
 RETENTION_AS_OF = "2024-04-15"
 
 
@@ -368,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "audit_events": q_audit_events,
     "audit_by_actor_day": q_audit_by_actor_day,
     "ttl_expiry": q_ttl_expiry,
+    "lineage_records": q_lineage_records,
+    "lineage_upstream": q_lineage_upstream,
     "fraud_rate_alarm": q_fraud_rate_alarm,
     "dq_failure_alarm": q_dq_failure_alarm,
     "fraud_stream": q_fraud_stream,
