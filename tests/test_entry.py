@@ -61,3 +61,14 @@ def test_parity_with_duckdb(spark, name):
     assert sorted(sdf.columns) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert digest(sdf.columns, s_rows)[0] == digest(o_cols, o_rows)[0]
+
+
+@pytest.mark.parametrize(
+    "name", ["silver_transactions", "fraud_scores", "daily_pnl", "transaction_summary", "dq_results", "fact_upsert", "fraud_rate_alarm"]
+)
+def test_batch_plans_stay_in_the_jvm(spark, name):
+    import __spark_entry__ as e
+
+    plan = e.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
