@@ -22,6 +22,8 @@ CORE_CONF: dict[str, str] = {
     # Per-Column call-site capture (for error messages) costs several JVM
     # round-trips per expression while plans are built; batch jobs skip it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Reliable checkpoints written by checkpoint() are deleted once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
