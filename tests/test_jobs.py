@@ -61,3 +61,19 @@ def test_cli_pipeline_and_validation_exit_code(spark, tmp_dir, capsys):
     summary = json.loads(last)
     assert code == (0 if summary["overall_success"] else 1)
     assert summary["total"] == 18
+
+
+def test_incremental_ingest_stream_reads_only_new_files(spark, tmp_dir):
+    raw, bronze, quar, ck = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/q", f"{tmp_dir}/ck"
+    generate(spark, 400, 10, 5, seed=1, end_date="2024-01-31").coalesce(1).write.option("header", "true").csv(f"{raw}/a")
+    for q in jobs.start_ingest_stream(spark, f"{raw}/*", bronze, quar, ck):
+        q.awaitTermination()
+    assert spark.read.parquet(bronze).count() == 400
+    for q in jobs.start_ingest_stream(spark, f"{raw}/*", bronze, quar, ck):  # nothing new
+        q.awaitTermination()
+    assert spark.read.parquet(bronze).count() == 400
+    generate(spark, 100, 10, 5, seed=2, end_date="2024-01-31").coalesce(1).write.option("header", "true").csv(f"{raw}/b")
+    for q in jobs.start_ingest_stream(spark, f"{raw}/*", bronze, quar, ck):
+        q.awaitTermination()
+    got = spark.read.parquet(bronze)
+    assert got.count() == 500 and got.select("transaction_id").distinct().count() == 500
