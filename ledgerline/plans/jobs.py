@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import load_suite
-from ..operators import etl, quality
+from ..operators import etl, governance, quality
 from ..schemas import CORRUPT_COLUMN
 from ..sources.files import read_layer, read_raw, read_raw_stream
 from ..sources.generator import generate
@@ -25,6 +25,37 @@ from ..sources.generator import generate
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def _record(
+    spark: SparkSession,
+    stage: str,
+    counts: dict[str, int],
+    src: str,
+    dst: str,
+    run_id: str | None,
+    audit_path: str | None,
+    lineage_path: str | None,
+) -> None:
+    """AUD1 + LIN4: after a successful run, append its ETL_RUN event and lineage row."""
+    import uuid
+
+    run_id = run_id or uuid.uuid4().hex
+    if audit_path:
+        ev = governance.etl_run_event(
+            spark,
+            f"{stage}-job",
+            run_id,
+            "SUCCEEDED",
+            counts.get("records_read", counts.get("records_written", 0)),
+            counts.get("records_written", 0),
+            counts.get("records_quarantined", 0),
+            src,
+            dst,
+        )
+        governance.append_audit(ev, audit_path)
+    if lineage_path:
+        governance.append_lineage(governance.stage_lineage(spark, stage, run_id, src, dst), lineage_path)
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -49,6 +80,9 @@ def ingest(
     fmt: str = "csv",
     strict: bool = False,
     salt: str | None = None,
+    run_id: str | None = None,
+    audit_path: str | None = None,
+    lineage_path: str | None = None,
 ) -> dict[str, int]:
     """JOB1: raw files -> mask -> metadata -> valid to bronze / rest to quarantine."""
     raw = read_raw(spark, source_path, fmt)
@@ -60,17 +94,37 @@ def ingest(
     _write_partitioned(valid, bronze_path, "transaction_date", "append")
     _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
     w, q = int(ov.get["rows"]), int(oq.get["rows"])
-    return {"records_read": w + q, "records_written": w, "records_quarantined": q}
+    counts = {"records_read": w + q, "records_written": w, "records_quarantined": q}
+    _record(spark, "ingest", counts, source_path, bronze_path, run_id, audit_path, lineage_path)
+    return counts
 
 
-def transform(spark: SparkSession, bronze_path: str, silver_path: str, default_rate: str | None = None) -> dict[str, int]:
+def transform(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    default_rate: str | None = None,
+    run_id: str | None = None,
+    audit_path: str | None = None,
+    lineage_path: str | None = None,
+) -> dict[str, int]:
     """JOB2: bronze -> normalise, enrich, dedupe, derive -> silver (dynamic partition overwrite)."""
     silver, obs = _observed(etl.to_silver(read_layer(spark, bronze_path), default_rate=default_rate), "silver")
     _write_partitioned(silver, silver_path, "transaction_date", "overwrite")
-    return {"records_written": int(obs.get["rows"])}
+    counts = {"records_written": int(obs.get["rows"])}
+    _record(spark, "transform", counts, bronze_path, silver_path, run_id, audit_path, lineage_path)
+    return counts
 
 
-def load(spark: SparkSession, silver_path: str, fact_out: str, fact_prev: str | None = None) -> dict[str, int]:
+def load(
+    spark: SparkSession,
+    silver_path: str,
+    fact_out: str,
+    fact_prev: str | None = None,
+    run_id: str | None = None,
+    audit_path: str | None = None,
+    lineage_path: str | None = None,
+) -> dict[str, int]:
     """JOB3: conform silver to the fact layout and upsert it into the previous
     fact version, writing a new version folder (readers switch to it after the
     write succeeds; the previous version stays intact for rollback)."""
@@ -81,7 +135,9 @@ def load(spark: SparkSession, silver_path: str, fact_out: str, fact_prev: str |
         merged = etl.dedupe_latest(staging, ["transaction_id"], ["updated_at"], hash_tiebreak=True)
     merged, obs = _observed(merged, "fact")
     _write_partitioned(merged, fact_out, "transaction_date", "overwrite")
-    return {"records_written": int(obs.get["rows"])}
+    counts = {"records_written": int(obs.get["rows"])}
+    _record(spark, "load", counts, silver_path, fact_out, run_id, audit_path, lineage_path)
+    return counts
 
 
 def validate_job(

@@ -77,3 +77,17 @@ def test_incremental_ingest_stream_reads_only_new_files(spark, tmp_dir):
         q.awaitTermination()
     got = spark.read.parquet(bronze)
     assert got.count() == 500 and got.select("transaction_id").distinct().count() == 500
+
+
+def test_jobs_append_audit_and_lineage(spark, tmp_dir):
+    d = tmp_dir
+    generate(spark, 200, 10, 5, seed=4, end_date="2024-01-31").write.option("header", "true").csv(f"{d}/raw")
+    jobs.ingest(spark, f"{d}/raw", f"{d}/b", f"{d}/q", run_id="r1", audit_path=f"{d}/audit", lineage_path=f"{d}/lin")
+    jobs.transform(spark, f"{d}/b", f"{d}/s", run_id="r1", audit_path=f"{d}/audit", lineage_path=f"{d}/lin")
+    audit = spark.read.json(f"{d}/audit")
+    assert sorted(r.subject for r in audit.collect()) == ["ingest-job#r1", "transform-job#r1"]
+    lin = spark.read.parquet(f"{d}/lin")
+    from ledgerline.operators import governance
+
+    up = governance.upstream_runs(lin, f"{d}/s", mode="exact").collect()
+    assert [r.job_name for r in up] == ["transform-job"]
