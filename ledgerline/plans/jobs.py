@@ -165,6 +165,7 @@ def validate_job(
         )
         summary = quality.summarize(results)
         quality.metrics_rows(summary, dataset).write.mode("append").parquet(f"{out_dir}/metrics")
+        governance.append_audit(governance.dq_result_events(results, dataset, run_date), f"{out_dir}/audit")
         row = summary.first().asDict()  # one row: the suite summary
     finally:
         results.unpersist()

@@ -34,7 +34,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
 from ..config import Thresholds, load_thresholds
-from ..operators import fraud
+from ..operators import fraud, governance
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -178,7 +178,8 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def make_sink(out_dir: str, thresholds_path: str | None = None):
-    """SNK6-SNK9 in one foreachBatch: scored, alerts, notifications, late/duplicate rejects.
+    """SNK6-SNK9 in one foreachBatch: scored, alerts, notifications, FRAUD_ALERT audit
+    events (AUD2) and late/duplicate rejects.
 
     With ``thresholds_path`` the rules are applied here, re-reading the
     thresholds file for every micro-batch (SRC8: thresholds change without a
@@ -195,6 +196,7 @@ def make_sink(out_dir: str, thresholds_path: str | None = None):
             _write_batch(scored, f"{out_dir}/scored", batch_id)
             _write_batch(alerts, f"{out_dir}/alerts", batch_id)
             _write_batch(fraud.fraud_notifications(alerts), f"{out_dir}/notifications", batch_id)
+            _write_batch(governance.fraud_alert_events(alerts), f"{out_dir}/audit", batch_id)
             rej = batch.where(F.col("is_late") | F.col("is_duplicate")).select(
                 "sequence_number",
                 "transaction_id",

@@ -45,6 +45,8 @@ def test_ingest_transform_load_validate(spark, tmp_dir):
     s = jobs.validate_job(spark, f"{tmp_dir}/silver", f"{tmp_dir}/dq", run_date="2024-02-01")
     assert s["total"] == 18 and s["passed"] + s["failed"] == 18
     assert spark.read.json(f"{tmp_dir}/dq/results").count() == 18
+    ev = spark.read.json(f"{tmp_dir}/dq/audit").first()
+    assert ev.event_type == "DATA_QUALITY_RESULT" and '"checks_failed"' in ev.payload
 
 
 def test_cli_pipeline_and_validation_exit_code(spark, tmp_dir, capsys):

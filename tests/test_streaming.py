@@ -57,6 +57,9 @@ def test_stream_rejects_duplicates_and_parity(spark, tmp_dir):
     assert rej == {"bad-b64": "decode", "bad-json": "json", "no-id": "missing_id"}
     dup = [r.reason for r in fs.read_output(spark, out, "rejects_state").collect()]
     assert dup == ["duplicate"]
+    alerts = {r.transaction_id for r in fs.read_output(spark, out, "alerts").collect()}
+    audit = {r.subject for r in fs.read_output(spark, out, "audit").collect()}
+    assert audit == alerts
 
     # second micro-batch: state carries over; a re-delivery of an old id is skipped again
     _write(src, "part2", [("s9", _payload(_txn(5, "a", 40))), ("again2", _payload(txns[1]))])
