@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     g.add_argument("--days", type=int, default=90)
     g.add_argument("--output", required=True)
     g.add_argument("--format", default="csv")
+    g.add_argument("--seed", type=int, default=42)
+    g.add_argument("--end-date", default=None, help="last transaction date (default: today)")
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
     i.add_argument("--bronze", required=True)
@@ -46,7 +48,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
 
     spark = build_session(a.master, app_name=f"ledgerline-{a.job}")
     if a.job == "generate":
-        jobs.generate_job(spark, a.output, a.records, a.accounts, a.days, a.format)
+        jobs.generate_job(spark, a.output, a.records, a.accounts, a.days, a.format, seed=a.seed, end_date=a.end_date)
         out: dict = {"written": a.records}
     elif a.job == "ingest":
         out = jobs.ingest(spark, a.source, a.bronze, a.quarantine, a.format)
