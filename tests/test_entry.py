@@ -72,3 +72,14 @@ def test_batch_plans_stay_in_the_jvm(spark, name):
     plan = e.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_query_outputs_have_no_internal_or_duplicate_columns(spark):
+    import __spark_entry__ as e
+
+    for name, fn in e.queries().items():
+        if name == "fraud_stream":  # runs a streaming query; its columns equal fraud_scores'
+            continue
+        cols = fn(spark, SF_SMALL).columns
+        assert len(cols) == len(set(cols)), name
+        assert not [c for c in cols if c.startswith("_")], name
