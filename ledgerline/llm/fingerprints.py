@@ -9,8 +9,8 @@ Likeness of two digests: each filter of the shorter one against its best match
 in the other, by common bits above what chance gives, over the most possible.
 
 Defined results: a null or empty text has the empty digest, like itself (1)
-and unlike others (0); a text that selects fewer than 16 windows has all its windows
-of 4 bytes as features instead, or itself if it is shorter; rows are fingerprinted each on its own, in descending doc_id, equal
+and unlike others (0); a text that selects no window has all its windows of 4 bytes
+as features, or itself if it is shorter; rows are fingerprinted each on its own, in descending doc_id, equal
 ids by ascending text, a null id after all others; an empty table gives no
 rows; columns other than the id and the text are not read.
 """
@@ -31,8 +31,7 @@ from .common import chunks, column, id_text, partitions, utf8
 WINDOW = 16
 NEIGHBOURS = 16
 VOTES = 5
-#: A text that selects fewer windows than this has all its windows of SHORT_WINDOW bytes as features.
-LEAST_FEATURES = 16
+#: A text that selects no window has all its windows of this size as features.
 SHORT_WINDOW = 4
 #: Windows of a lower entropy (of 1000) are never selected: runs of one byte are no mark of a document.
 LEAST_ENTROPY = 100
@@ -155,7 +154,7 @@ def digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
                 out.append(_digest(hashes[:0]))
                 continue
             own = hashes[edges[i] : edges[i + 1]]
-            if len(own) < LEAST_FEATURES:
+            if not len(own):
                 at = np.arange(o[i], max(o[i] + 1, o[i + 1] - SHORT_WINDOW + 1))
                 own = K.range_hash(sums, at, np.minimum(at + SHORT_WINDOW, o[i + 1]), K.BYTE_BASES[0])
             first = np.unique(own, return_index=True)[1]
