@@ -18,6 +18,9 @@ other than the id and the text are not read.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -31,7 +34,18 @@ from .common import chunks, column, cut, id_text, partitions, utf8
 CAPACITY = 1024
 END_ID = 2
 #: Text pieces whose ids a Python worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+
+
+#: Letters, then marks of ASCII: the tokenizer's pattern makes two pre-tokens of it, " letters" and the marks.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte: itself if it is visible, else the next from U+0100 on."""
+    visible = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
 class SpaceCachedTokenizer:
@@ -41,38 +55,75 @@ class SpaceCachedTokenizer:
     space that stands between two characters that are not white space always
     starts one: the ids of such a text are the ids of "first", " second",
     " third" and so on, one after another.  Other texts are encoded whole.
+    Letters with marks behind them go to the tokenizer's model directly.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.ids = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.remembered = remembered
-        self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
+        self.marked: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict, unseen: set, lead: str) -> None:
-        good = sorted(x for x in unseen if not lead or (x and not x[0].isspace()))
-        known.update(zip(good, self._encode([lead + x for x in good])))
-        known.update((x, None) for x in unseen.difference(good))
+    def _pre_token(self, text: str) -> bytes:
+        written = text.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.ids[t.id] for t in self.model.tokenize(written)])
+
+    def _plain(self, text: str, lead: str) -> bytes | None:
+        """Ids of ``lead`` and lines of letters with marks behind them; None if the text is anything else."""
+        out, marked = [], self.marked
+        for line in text.split("\n"):
+            plain = _PLAIN.fullmatch(line)
+            if not plain:
+                return None
+            letters, marks = plain.groups()
+            if letters.isascii():
+                found = self.model.tokenize("\u0120" + letters if lead else letters)
+                out += [self.ids[t.id] for t in found]
+            else:
+                out.append(self._pre_token(lead + letters))
+            for rest in (marks, "\n"):
+                if rest and rest not in marked:
+                    marked[rest] = self._pre_token(rest)
+            if marks:
+                out.append(marked[marks])
+            out.append(marked["\n"])
+            lead = ""
+        return b"".join(out[:-1])
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new texts that follow a space; None if they don't start a pre-token there."""
+        other = []
+        for w in words:
+            ids = self.later[w] = self._plain(w, " ")
+            if ids is None and w and not w[0].isspace():
+                other.append(w)
+        self.later.update(zip(other, self._encode([" " + w for w in other])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if max(len(self.first), len(self.later)) > self.remembered:
-            self.first, self.later = {}, {}
-        parts = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in parts}.difference(self.first), "")
-        self._learn(self.later, set().union(*(p[1:] for p in parts)).difference(self.later), " ")
-        out: list[bytes | None] = []
+        if len(self.later) > self.remembered:
+            self.later, self.marked = {}, {}
+        split = [t.split(" ") for t in texts]
+        words: set[str] = set()
+        words.update(*split)
+        self._learn(words.difference(self.later))
         get = self.later.__getitem__
-        for p in parts:
-            ids = [self.first[p[0]], *map(get, p[1:])]
-            out.append(None if None in ids else b"".join(ids))
-        whole = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = x
+        out: list[bytes] = []
+        for text, parts in zip(texts, split):
+            rest = iter(parts)
+            first = next(rest)
+            ids = self._plain(first, "")
+            try:
+                out.append((self._encode([first])[0] if ids is None else ids) + b"".join(map(get, rest)))
+            except TypeError:  # a None: a space that starts no pre-token
+                out += self._encode([text])
         return out
 
 
@@ -83,7 +134,10 @@ def _pieces(path, end_id, capacity):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = _tokenizers.setdefault(path, SpaceCachedTokenizer(path))
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        if path not in _tokenizers:
+            _tokenizers[path] = SpaceCachedTokenizer(path)
+        encode = _tokenizers[path]
         for b in batches:
             data, off = utf8(column(b, "text"))
             ids = column(b, "doc_id").to_pylist()
