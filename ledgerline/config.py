@@ -9,11 +9,14 @@ natural order.
 from __future__ import annotations
 
 import json
+import logging
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from pathlib import Path
 from typing import Any
 
+log = logging.getLogger(__name__)
+
 # ---------------------------------------------------------------------------
 # Fixed values — currency rates to USD (ISO 4217), as decimal(10,6).
 # ---------------------------------------------------------------------------
@@ -141,15 +144,25 @@ class Thresholds:
         return int(round(float(self.block_score) * 100))
 
 
-def load_thresholds(path: str | Path | None) -> Thresholds:
-    """SRC8: read a thresholds JSON file; fall back to defaults when absent or unreadable."""
+def _read_text(path: str | Path) -> str:
+    """A small text file; a path with a scheme is read through Spark's file systems."""
+    if "://" in str(path):
+        from pyspark.sql import SparkSession
+
+        return SparkSession.active().read.text(str(path), wholetext=True).first()[0]
+    return Path(path).read_text()
+
+
+def load_thresholds(path: str | Path | None, last: Thresholds | None = None) -> Thresholds:
+    """SRC8: read a thresholds JSON file; when it is absent or unreadable, log it and use
+    ``last`` (the values before, on a reload) or the defaults."""
     if path is None:
-        return Thresholds()
+        return last or Thresholds()
     try:
-        with open(path) as f:
-            return Thresholds.from_dict(json.load(f))
-    except (OSError, ValueError):
-        return Thresholds()
+        return Thresholds.from_dict(json.loads(_read_text(path)))
+    except Exception as e:
+        log.warning("thresholds %s can't be read, using %s: %s", path, "the last ones" if last else "the defaults", e)
+        return last or Thresholds()
 
 
 DEFAULT_SUITE_PATH = Path(__file__).resolve().parent.parent / "conf" / "expectations.json"
@@ -157,5 +170,4 @@ DEFAULT_SUITE_PATH = Path(__file__).resolve().parent.parent / "conf" / "expectat
 
 def load_suite(path: str | Path | None = None) -> dict[str, Any]:
     """SRC9: read an expectation suite (JSON) on the driver."""
-    with open(path or DEFAULT_SUITE_PATH) as f:
-        return json.load(f)
+    return json.loads(_read_text(path or DEFAULT_SUITE_PATH))

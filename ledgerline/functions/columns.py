@@ -58,12 +58,13 @@ def div_round_half_even(num: Column, den: Column) -> Column:
 
 
 def cents_long(c: str | Column) -> Column:
-    """decimal(.,2) money -> exact bigint cents (fast fixed-width aggregation buffers).
+    """Money -> bigint cents (fast fixed-width aggregation buffers), exact for decimal(.,2).
 
+    Doubles and finer decimals round half up to the cent first, never truncate.
     bigint cents hold sums up to ~9.2e16 dollars; ANSI mode raises on
     overflow rather than wrapping.
     """
-    return (col_(c) * F.lit(100)).cast("bigint")
+    return (col_(c).cast("decimal(18,2)") * F.lit(100)).cast("bigint")
 
 
 def sum_cents_when(cond: Column, value: Column) -> Column:

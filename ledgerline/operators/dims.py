@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
-# A calendar dimension holds one row per day: bounded by the calendar
-# (36,525 rows per century), never by the fact table, so broadcasting it is safe.
-DIM_DATE_MAX_DAYS = 36525
+# A calendar dimension holds one row per day, at most this many (three centuries):
+# dim_date_between fails beyond it, so broadcasting it is safe.
+DIM_DATE_MAX_DAYS = 3 * 36525
 
 
 def dim_date_between(df_bounds: DataFrame, fiscal_start_month: int = 1, holidays: Iterable[str] = ()) -> DataFrame:
     """DIM4: one row per day from ``lo`` to ``hi`` (a one-row frame with those two date columns)."""
-    days = df_bounds.select(F.explode(F.sequence(F.col("lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    fits = F.coalesce(F.datediff("hi", "lo") < DIM_DATE_MAX_DAYS, F.lit(True))
+    every_day = F.sequence(F.col("lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))
+    too_long = F.raise_error(F.lit(f"a date dimension has at most {DIM_DATE_MAX_DAYS} days; check the dates"))
+    days = df_bounds.select(F.explode(F.when(fits, every_day).otherwise(too_long)).alias("full_date"))
     m = F.month("full_date")
     fy_shift = F.when(F.lit(fiscal_start_month) > 1, F.when(m >= F.lit(fiscal_start_month), 1).otherwise(0)).otherwise(0)
     hol = list(holidays)
@@ -101,10 +104,13 @@ def dim_fraud_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def fact_join_dims(fact: DataFrame, dim_date: DataFrame, merchants: DataFrame) -> DataFrame:
-    """JOIN7: fact x date (broadcast — calendar-bounded) x merchants (left; size left to AQE)."""
+    """JOIN7: fact x date (broadcast: DIM_DATE_MAX_DAYS rows) x merchants (size left to AQE).
+
+    Both joins are left joins: a fact without a date or merchant stays.
+    """
     d = F.broadcast(dim_date.select("full_date", "year", "quarter", "month_name", F.col("is_weekend").alias("date_is_weekend")))
     m = merchants.select("merchant_id", "mcc_code", "is_high_risk")
-    j = fact.join(d, fact["transaction_date"] == d["full_date"], "inner").join(m, "merchant_id", "left")
+    j = fact.join(d, fact["transaction_date"] == d["full_date"], "left").join(m, "merchant_id", "left")
     return j.select(
         "transaction_id",
         "transaction_date",

@@ -3,7 +3,7 @@
 Batch forms of the stream's keyed state:
 
 * ``velocity_counts`` (WIN8/JOIN6): number of the account's transactions in
-  the open interval (t - 1 h, t).  Computed with a RANGE window partitioned
+  the open interval (t - 1 h, t).  Computed as a difference of running counts partitioned
   by (account, time bucket); each bucket also receives a narrow "halo" copy of
   the previous bucket's last hour (emitted in the same pass with ``explode``),
   so the window never needs a whole account in one task — a hot account is
@@ -62,8 +62,11 @@ def velocity_counts(
         (F.col("_b") + F.col("_copy")).alias("_b"),
         primary.alias("_primary"),
     )
-    w = Window.partitionBy(account_col, "_b").orderBy("_us").rangeBetween(-(W - 1), -1)
-    cnt = F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.count(F.lit(1)).over(w))
+    # Rows before t less rows up to t - window: two running counts over one sort, linear
+    # in the partition, where a sliding frame re-reads its rows for every row.
+    w = Window.partitionBy(account_col, "_b").orderBy("_us")
+    upto = lambda d: F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, d))
+    cnt = F.when(F.col("_us").isNull(), F.lit(0)).otherwise(upto(-1) - upto(-W))
     return e.withColumn(out_col, cnt.cast("int")).where("_primary").drop("_us", "_b", "_primary")
 
 

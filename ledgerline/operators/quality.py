@@ -21,6 +21,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,7 +131,8 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
     if exp == "expect_column_values_to_be_in_set":
         vals = list(kw.get("value_set", []))
         present = ~_is_missing(types, col)
-        member = c.isin(*vals) if vals else F.lit(False)
+        # a value that the column's type cannot hold is no member, not a failed cast
+        member = c.isin(*[F.lit(v).try_cast(types[col]) for v in vals]) if vals else F.lit(False)
         bad = present & ~F.coalesce(member, F.lit(False))
         aggs = [F.count_if(present).alias(p + "nn"), F.count_if(present & F.coalesce(member, F.lit(False))).alias(p + "in")]
         share = _share(F.col(p + "in"), F.col(p + "nn"))
@@ -148,6 +151,10 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
         return _Planned(aggs, _res(idx, exp, col, _ge(share, mostly), "pass_rate", _rounded(F.col(p + "ok") * 10000, n, 4)))
     if exp == "expect_column_values_to_match_regex":
         pattern = kw.get("regex", "")
+        try:
+            df.sparkSession._jvm.java.util.regex.Pattern.compile(f"^(?:{pattern})")
+        except Py4JError:
+            raise ValueError(f"invalid regex '{pattern}'") from None
         present = ~_is_missing(types, col)
         m = F.coalesce(c.cast("string").rlike(f"^(?:{pattern})"), F.lit(False))
         aggs = [F.count_if(present).alias(p + "nn"), F.count_if(present & m).alias(p + "mt")]
@@ -161,6 +168,14 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
     return _Planned(aggs, _res(idx, exp, col, ok, "observed_proportion", _rounded(F.col(p + "nd") * 1000000, den, 6)))
 
 
+def _plan_safely(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any], by: Sequence[str]) -> _Planned:
+    """A check that cannot be planned (bad regex, bound or value) fails alone, with its error."""
+    try:
+        return _plan_one(df, types, idx, exp, kw, by)
+    except (TypeError, ValueError, PySparkException) as e:
+        return _Planned([], _res(idx, exp, kw.get("column"), False, error=str(e).split("\n")[0]))
+
+
 def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sample_size: int = 5) -> DataFrame:
     """DQ10: one result row per expectation (per ``by`` group), in one aggregate job.
 
@@ -170,13 +185,16 @@ def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sampl
     by = list(by)
     types = {f.name: f.dataType for f in df.schema.fields}  # one schema round-trip
     plans = [
-        _plan_one(df, types, i, e["expectation_type"], e.get("kwargs", {}) or {}, by)
+        _plan_safely(df, types, i, e.get("expectation_type", ""), e.get("kwargs", {}) or {}, by)
         for i, e in enumerate(suite.get("expectations", []))
     ]
+    if not plans:  # DQ11: no rows, of the full schema
+        none = _plan_one(df, types, 0, "expect_table_row_count_to_be_between", {}, by)
+        n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else df.agg(F.count(F.lit(1)).alias("_n"))
+        empty = n.select(*by, none.result.alias("r")).select(*by, "r.*")
+        return empty.withColumn("unexpected_values", F.lit(None).cast("array<string>")).where("false")
     aggs = [F.count(F.lit(1)).alias("_n")] + [a for pl in plans for a in pl.aggs]
     metrics = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    if not plans:
-        return metrics.select(*by, F.lit(None).cast("int").alias("idx")).where("false")
     rows = metrics.select(*by, F.explode(F.array(*[pl.result for pl in plans])).alias("r")).select(*by, "r.*")
     samples = [pl.sample for pl in plans if pl.sample is not None]
     if samples:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite
 from ..operators import alarms, dims, etl, fraud, governance, quality, reports
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import drop_at_exit, scratch_path, shared_table
 from ..sources import fixtures as fx
 from ..streaming import fraud_stream
 
@@ -28,14 +28,11 @@ def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_t(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
-    """Silver T.  ``materialize=True`` cuts the lineage with a reliable checkpoint
-    (shared checkpoint folder) for plans that read silver in several branches,
-    so the dedupe shuffle runs once instead of once per branch."""
+    """Silver T.  ``materialize=True`` writes it as a Parquet table in the shared
+    checkpoint folder for plans that read silver in several branches, so the
+    dedupe shuffle runs once and each branch reads only its columns."""
     df = etl.to_silver(bronze_t(spark, sf_dir))
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)  # reliable checkpoint, not localCheckpoint
-    return df
+    return shared_table(df, "silver") if materialize else df
 
 
 def q_mask_pii(spark, sf_dir):
@@ -333,6 +330,7 @@ def q_fraud_stream(spark, sf_dir):
     """Silver T encoded as stream records, scored by the Structured Streaming job
     (availableNow), read back from its sink."""
     root = scratch_path(spark, "fraud-stream")
+    drop_at_exit(spark, root)
     src, out, ck = f"{root}/source", f"{root}/out", f"{root}/checkpoint"
     fraud_stream.encode_payloads(silver_t(spark, sf_dir)).write.json(src)
     fraud_stream.run_available_now(spark, src, out, ck, thresholds=ORACLE_THRESHOLDS)

@@ -61,12 +61,13 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _write_partitioned(df: DataFrame, path: str, col: str, mode: str) -> None:
+def _write_partitioned(df: DataFrame, path: str, col: str, mode: str, dynamic: bool = False) -> None:
+    """``mode`` overwrite replaces the whole table; with ``dynamic`` only the partitions that df has."""
     (
         df.sortWithinPartitions(col)
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(col)
         .parquet(path)
     )
@@ -107,11 +108,17 @@ def transform(
     run_id: str | None = None,
     audit_path: str | None = None,
     lineage_path: str | None = None,
+    only_new_dates: bool = False,
 ) -> dict[str, int]:
-    """JOB2: bronze -> normalise, enrich, dedupe, derive -> silver (dynamic partition overwrite)."""
-    silver, obs = _observed(etl.to_silver(read_layer(spark, bronze_path), default_rate=default_rate), "silver")
-    _write_partitioned(silver, silver_path, "transaction_date", "overwrite")
-    counts = {"records_written": int(obs.get["rows"])}
+    """JOB2: bronze -> normalise, enrich, dedupe, derive -> silver (full overwrite).
+
+    ``only_new_dates`` replaces only the dates that bronze has; right only where
+    no transaction's date moves and bronze holds each of its dates in full.
+    """
+    bronze, read = _observed(read_layer(spark, bronze_path), "bronze")
+    silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate), "silver")
+    _write_partitioned(silver, silver_path, "transaction_date", "overwrite", dynamic=only_new_dates)
+    counts = {"records_read": int(read.get["rows"]), "records_written": int(obs.get["rows"])}
     _record(spark, "transform", counts, bronze_path, silver_path, run_id, audit_path, lineage_path)
     return counts
 
@@ -127,15 +134,20 @@ def load(
 ) -> dict[str, int]:
     """JOB3: conform silver to the fact layout and upsert it into the previous
     fact version, writing a new version folder (readers switch to it after the
-    write succeeds; the previous version stays intact for rollback)."""
-    staging = etl.conform_fact(read_layer(spark, silver_path))
+    write succeeds; the previous version stays intact for rollback).  A version
+    folder that exists is refused."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(fact_out)
+    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        raise FileExistsError(f"a fact version needs a folder of its own: {fact_out}")
+    silver, read = _observed(read_layer(spark, silver_path), "silver")
+    staging = etl.conform_fact(silver)
     if fact_prev:
         merged = etl.upsert(read_layer(spark, fact_prev).select(*staging.columns), staging)
     else:
         merged = etl.dedupe_latest(staging, ["transaction_id"], ["updated_at"], hash_tiebreak=True)
     merged, obs = _observed(merged, "fact")
-    _write_partitioned(merged, fact_out, "transaction_date", "overwrite")
-    counts = {"records_written": int(obs.get["rows"])}
+    _write_partitioned(merged, fact_out, "transaction_date", "errorifexists")
+    counts = {"records_read": int(read.get["rows"]), "records_written": int(obs.get["rows"])}
     _record(spark, "load", counts, silver_path, fact_out, run_id, audit_path, lineage_path)
     return counts
 

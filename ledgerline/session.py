@@ -78,8 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Only when the session has none (local runs and tests) is a fresh folder
-    created and registered.
+    Only a local session that has none (tests) gets a fresh folder of its own;
+    on a cluster an unset ``spark.checkpoint.dir`` is an error.
     """
     d = checkpoint_dir(spark)
     if d:
@@ -89,6 +89,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             pass
         return d
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("LEDGERLINE_LOCAL_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
@@ -100,6 +103,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete ``path`` when the driver ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def shared_table(df, name: str):
+    """``df`` as a Parquet table in the shared checkpoint folder: cuts the lineage, and
+    readers of it still prune columns and push filters down.  Gone when the driver ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    drop_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def suggest_shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024 * 1024, cores: int | None = None) -> int:
     """Initial shuffle partitions for a job reading ``input_bytes``: about one
     ``target_bytes`` partition each, at least the core count.  AQE then

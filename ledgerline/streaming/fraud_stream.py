@@ -14,8 +14,10 @@ installed).  Two queries share the source:
 * the **rejects** query: undecodable base64, malformed JSON and missing ids
   go to the dead-letter sink with their sequence number and reason.
 
-State is bounded: event times older than the velocity window and ids older
-than ``dedupe_horizon_s`` are pruned each batch; idle accounts time out.
+State is bounded: event times older than the velocity window plus the watermark
+and ids older than ``dedupe_horizon_s`` are pruned each batch; the state of an
+idle account goes when all its horizons have passed in event time.  Late rows
+are scored with a flag and also listed among the rejects.
 Within a micro-batch an account's rows are ordered by (event time, id), so
 results equal the batch scorer when events arrive in event-time order.
 """
@@ -98,19 +100,41 @@ def make_state_fn(
     dedupe_horizon_s: int = 86400,
     idle_timeout_ms: int = 3_600_000,
     merchant_horizon_s: int | None = None,
+    watermark_s: int = 600,
 ):
-    """Per-account state: event times of the last window, merchants seen
-    (with last-seen time; forgotten after ``merchant_horizon_s`` when set) and
-    recently processed ids (kept ``dedupe_horizon_s``)."""
+    """Per-account state: the event times that a row in time can still count (window
+    plus ``watermark_s``, the stream's watermark), merchants seen (with last-seen
+    time; forgotten after ``merchant_horizon_s``, or never) and recently
+    processed ids (kept ``dedupe_horizon_s``).
+
+    An idle account is pruned by these same horizons in event time, and goes
+    only when nothing is left.  Rows behind the watermark are scored like the
+    others, from the history that is still kept, and flagged ``is_late``.
+    """
+    delay = watermark_s * 1_000_000
     W = window_s * 1_000_000
     H = dedupe_horizon_s * 1_000_000
     MH = merchant_horizon_s * 1_000_000 if merchant_horizon_s else None
 
+    def prune(st: dict, since: int, top: int) -> dict:
+        """``since``: no row in time is older; ``top``: the latest event time."""
+        return {
+            "t": [x for x in st["t"] if x > since - W],
+            "m": {k: v for k, v in st["m"].items() if MH is None or v > top - MH},
+            "s": {k: v for k, v in st["s"].items() if v > top - H},
+        }
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        st = json.loads(state.get[0]) if state.exists else {"t": [], "m": {}, "s": {}}
         if state.hasTimedOut:
-            state.remove()
+            wm_us = int(state.getCurrentWatermarkMs()) * 1000
+            st = prune(st, wm_us, wm_us)
+            if any(st.values()):
+                state.update((json.dumps(st),))
+                state.setTimeoutDuration(idle_timeout_ms)
+            else:
+                state.remove()
             return
-        st = json.loads(state.get[0]) if state.exists else {"t": [], "m": {}, "s": {}}
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if pdf.empty:
             return
@@ -121,7 +145,7 @@ def make_state_fn(
         dup = pdf["transaction_id"].isin(list(seen.keys())) | pdf["transaction_id"].duplicated(keep="first")
         # a re-delivered id was already scored: report it as a duplicate even when it is also late
         late = ((pdf["_us"] < wm_us) & ~dup) if wm_us > 0 else pd.Series(False, index=pdf.index)
-        live = ~(dup | late)
+        live = ~dup
         # velocity: events of this account in (t - W, t), history + this batch
         hist = np.asarray(sorted(st["t"]), dtype="int64")
         cur = pdf.loc[live, "_us"].to_numpy(dtype="int64")
@@ -144,15 +168,13 @@ def make_state_fn(
         out["is_duplicate"] = dup.to_numpy()
         # update bounded state
         top = int(allt.max()) if allt.size else 0
-        st["t"] = [int(x) for x in allt if x > top - W]
+        st["t"] = allt.tolist()
         for mid, u in zip(m, cur):
             if mid is not None and mid == mid:  # skip NULL / NaN
-                merch[str(mid)] = int(u)
-        st["m"] = {k: v for k, v in merch.items() if MH is None or v > top - MH}
+                merch[str(mid)] = max(int(u), merch.get(str(mid), int(u)))
         for i, u in zip(pdf.loc[live, "transaction_id"], cur):
             seen[str(i)] = int(u)
-        st["s"] = {k: v for k, v in seen.items() if v > top - H}
-        state.update((json.dumps(st),))
+        state.update((json.dumps(prune(st, max(wm_us, top - delay), top)),))
         state.setTimeoutDuration(idle_timeout_ms)
         out["recent_count"] = out["recent_count"].astype("int32")
         yield out[STATEFUL_FIELDS + ["recent_count", "is_new_merchant", "is_late", "is_duplicate"]]
@@ -163,6 +185,7 @@ def make_state_fn(
 def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", **kw) -> DataFrame:
     good = parsed.where(F.col("reject_reason").isNull()).select(*STATEFUL_FIELDS)
     good = good.withWatermark("created_at", watermark)
+    kw.setdefault("watermark_s", int(pd.Timedelta(watermark).total_seconds()))
     return good.groupBy("account_id").applyInPandasWithState(
         make_state_fn(**kw),
         _state_output_schema(good.schema),
@@ -186,12 +209,16 @@ def make_sink(out_dir: str, thresholds_path: str | None = None):
     restart); otherwise the batch arrives already scored.
     """
 
+    last: Thresholds | None = None
+
     def sink(batch: DataFrame, batch_id: int) -> None:
+        nonlocal last
         if thresholds_path is not None:
-            batch = fraud.apply_rules(batch, load_thresholds(thresholds_path))
+            last = load_thresholds(thresholds_path, last)
+            batch = fraud.apply_rules(batch, last)
         batch = batch.persist()
         try:
-            scored = batch.where(~F.col("is_late") & ~F.col("is_duplicate"))
+            scored = batch.where(~F.col("is_duplicate"))
             alerts = fraud.fraud_alerts(scored)
             _write_batch(scored, f"{out_dir}/scored", batch_id)
             _write_batch(alerts, f"{out_dir}/alerts", batch_id)

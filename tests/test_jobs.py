@@ -35,10 +35,10 @@ def test_ingest_transform_load_validate(spark, tmp_dir):
     bronze = spark.read.parquet(f"{tmp_dir}/bronze")
     assert bronze.where(F.length("account_id") != 64).count() == 0
     assert bronze.where(F.col("source_file").isNull()).count() == 0
-    assert jobs.transform(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver") == {"records_written": 3000}
-    assert jobs.load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/fact1") == {"records_written": 3000}
+    assert jobs.transform(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver") == {"records_read": 3000, "records_written": 3000}
+    assert jobs.load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/fact1") == {"records_read": 3000, "records_written": 3000}
     # reloading the same silver into the fact is idempotent
-    assert jobs.load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/fact2", f"{tmp_dir}/fact1") == {"records_written": 3000}
+    assert jobs.load(spark, f"{tmp_dir}/silver", f"{tmp_dir}/fact2", f"{tmp_dir}/fact1") == {"records_read": 3000, "records_written": 3000}
     f1 = spark.read.parquet(f"{tmp_dir}/fact1").drop("ingestion_timestamp")
     f2 = spark.read.parquet(f"{tmp_dir}/fact2").drop("ingestion_timestamp")
     assert f1.exceptAll(f2).count() == 0 and len(f1.columns) == 25
