@@ -111,7 +111,7 @@ def _digest(features: np.ndarray) -> Digest:
     width = FILTER_BITS.bit_length() - 1
     for k in range(HASHES):
         bits[base + ((features >> K.U(k * width)) & K.U(FILTER_BITS - 1)).astype(np.int64)] = 1
-    return Digest(n, np.packbits(bits, bitorder="little").view(np.uint64).reshape(filters, -1))
+    return Digest(n, np.packbits(bits, bitorder="little").view(np.uint64).reshape(filters, FILTER_BITS // 64))
 
 
 def likeness(a: Digest, b: Digest) -> float:

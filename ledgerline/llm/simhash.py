@@ -166,7 +166,7 @@ class _Forest:
 
 
 def _signature(fp: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fp.view(np.uint8).reshape(-1, 8)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fp).view(np.uint8).reshape(-1, 8)).astype(np.int16)
 
 
 def _ordered(fp: np.ndarray) -> np.ndarray:
