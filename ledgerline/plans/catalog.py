@@ -16,6 +16,7 @@ from ..operators import alarms, dims, etl, fraud, governance, quality, reports
 from ..session import drop_at_exit, scratch_path, shared_table
 from ..sources import fixtures as fx
 from ..streaming import fraud_stream
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,6 +326,46 @@ def q_dq_failure_alarm(spark, sf_dir):
     return alarms.dq_failure_alarm(metrics)
 
 
+# ---------------------------------------------------------------- jobs end to end (JOB1-JOB3)
+def job_layers(spark, sf_dir, last: str) -> str:
+    """Raw T as CSV files through the jobs up to ``last`` (ingest, transform or load); the folder of their outputs."""
+    root = scratch_path(spark, "jobs")
+    drop_at_exit(spark, root)
+    raw = fx.transactions_raw(spark, sf_dir)
+    raw.write.option("header", "true").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(f"{root}/raw")
+    jobs.ingest(spark, f"{root}/raw", f"{root}/bronze", f"{root}/quarantine")
+    if last != "ingest":
+        jobs.transform(spark, f"{root}/bronze", f"{root}/silver")
+    if last == "load":
+        jobs.load(spark, f"{root}/silver", f"{root}/fact")
+    return root
+
+
+def q_job_bronze(spark, sf_dir):
+    """JOB1's accepted rows, without the columns of the run."""
+    root = job_layers(spark, sf_dir, "ingest")
+    return jobs.read_layer(spark, f"{root}/bronze").select(*bronze_t(spark, sf_dir).columns)
+
+
+def q_job_quarantine(spark, sf_dir):
+    """JOB1's rejected rows, without the columns of the run."""
+    root = job_layers(spark, sf_dir, "ingest")
+    return jobs.read_layer(spark, f"{root}/quarantine").select(*q_quarantine_rows(spark, sf_dir).columns)
+
+
+def q_job_silver(spark, sf_dir):
+    """JOB1 and JOB2: what silver holds after an ingest and a transform."""
+    root = job_layers(spark, sf_dir, "transform")
+    return jobs.read_layer(spark, f"{root}/silver").select(*silver_t(spark, sf_dir).columns)
+
+
+def q_job_fact(spark, sf_dir):
+    """JOB1 to JOB3: the amounts of the first fact version."""
+    root = job_layers(spark, sf_dir, "load")
+    fact = jobs.read_layer(spark, f"{root}/fact")
+    return fact.select("transaction_id", "account_id", "transaction_date", "amount", "currency", "amount_usd", "category")
+
+
 # ---------------------------------------------------------------- streaming (JOB4)
 def q_fraud_stream(spark, sf_dir):
     """Silver T encoded as stream records, scored by the Structured Streaming job
@@ -392,5 +433,9 @@ QUERIES: dict[str, Query] = {
     "lineage_upstream": q_lineage_upstream,
     "fraud_rate_alarm": q_fraud_rate_alarm,
     "dq_failure_alarm": q_dq_failure_alarm,
+    "job_bronze": q_job_bronze,
+    "job_quarantine": q_job_quarantine,
+    "job_silver": q_job_silver,
+    "job_fact": q_job_fact,
     "fraud_stream": q_fraud_stream,
 }
