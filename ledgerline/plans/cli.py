@@ -1,4 +1,4 @@
-"""Command line for the batch jobs: ``python -m ledgerline.plans.cli <job> ...``.
+"""Command line for the jobs: ``python -m ledgerline.plans.cli <job> ...``.
 
 ``validate`` exits 0 when every expectation passes and 1 otherwise (DQ12).
 On a cluster, submit with ``spark-submit`` and leave ``--master`` unset.
@@ -11,6 +11,7 @@ import json
 import sys
 
 from ..session import build_session
+from ..streaming import fraud_stream
 from . import jobs
 
 
@@ -31,6 +32,13 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     i.add_argument("--bronze", required=True)
     i.add_argument("--quarantine", required=True)
     i.add_argument("--format", default="csv")
+    i.add_argument("--checkpoint", default=None, help="remember ingested files here and take only new ones")
+    st = sub.add_parser("stream")
+    st.add_argument("--source", required=True)
+    st.add_argument("--output", required=True)
+    st.add_argument("--checkpoint", required=True)
+    st.add_argument("--thresholds", default=None, help="JSON file that is read again for every micro-batch")
+    st.add_argument("--keep-running", action="store_true", help="wait for new files instead of stopping when all are done")
     t = sub.add_parser("transform")
     t.add_argument("--bronze", required=True)
     t.add_argument("--silver", required=True)
@@ -50,6 +58,17 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     if a.job == "generate":
         jobs.generate_job(spark, a.output, a.records, a.accounts, a.days, a.format, seed=a.seed, end_date=a.end_date)
         out: dict = {"written": a.records}
+    elif a.job == "ingest" and a.checkpoint:
+        for q in jobs.start_ingest_stream(spark, a.source, a.bronze, a.quarantine, a.checkpoint, a.format):
+            q.awaitTermination()
+        out = {"incremental": True}
+    elif a.job == "stream":
+        started = fraud_stream.start_fraud_stream(
+            spark, a.source, a.output, a.checkpoint, available_now=not a.keep_running, thresholds_path=a.thresholds
+        )
+        for q in started:
+            q.awaitTermination()
+        out = {"streamed": True}
     elif a.job == "ingest":
         out = jobs.ingest(spark, a.source, a.bronze, a.quarantine, a.format)
     elif a.job == "transform":

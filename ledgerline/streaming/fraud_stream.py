@@ -244,7 +244,7 @@ def start_fraud_stream(
     thresholds: Thresholds | dict | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     watermark: str = "10 minutes",
     thresholds_path: str | None = None,
 ):

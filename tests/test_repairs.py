@@ -171,3 +171,20 @@ def test_velocity_of_ties_and_borders(spark):
     assert got == want
     plan = fraud.velocity_counts(df)._jdf.queryExecution().executedPlan().toString()
     assert "RangeFrame, -" not in plan.replace("unboundedpreceding$(), -", "")
+
+
+def test_a_second_incremental_ingest_takes_only_new_files_and_the_stream_has_a_command(spark, tmp_dir):
+    from ledgerline.plans.cli import main
+    from ledgerline.sources.generator import generate
+
+    d = tmp_dir
+    raw = generate(spark, 40, 5, 5, seed=3, end_date="2024-01-31")
+    raw.coalesce(1).write.option("header", "true").csv(f"{d}/raw")
+    again = ["ingest", "--source", f"{d}/raw", "--bronze", f"{d}/b", "--quarantine", f"{d}/q", "--checkpoint", f"{d}/ck"]
+    for _ in range(2):
+        assert main(again, stop_session=False) == 0
+    assert spark.read.parquet(f"{d}/b").count() == 40
+    jobs.transform(spark, f"{d}/b", f"{d}/s")
+    fs.encode_payloads(spark.read.parquet(f"{d}/s")).write.json(f"{d}/records")
+    assert main(["stream", "--source", f"{d}/records", "--output", f"{d}/out", "--checkpoint", f"{d}/ck2"], stop_session=False) == 0
+    assert fs.read_output(spark, f"{d}/out", "scored").count() == 40
