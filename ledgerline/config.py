@@ -171,3 +171,24 @@ DEFAULT_SUITE_PATH = Path(__file__).resolve().parent.parent / "conf" / "expectat
 def load_suite(path: str | Path | None = None) -> dict[str, Any]:
     """SRC9: read an expectation suite (JSON) on the driver."""
     return json.loads(_read_text(path or DEFAULT_SUITE_PATH))
+
+
+# Job name, asset types with their URI schemes, and metadata of each stage's lineage (LIN4).
+STAGE_LINEAGE = {
+    "ingest": (
+        "financial-ingest-job", "GLUE_JOB", ("S3_PATH", ""), ("S3_PATH", ""),
+        {"layer": "raw→bronze", "format": "csv→parquet"},
+    ),
+    "transform": (
+        "financial-transform-job", "GLUE_JOB", ("S3_PATH", ""), ("S3_PATH", ""),
+        {"layer": "bronze→silver", "transformations": ["currency_normalize", "dedup", "enrich_category"]},
+    ),
+    "load": (
+        "financial-load-job", "GLUE_JOB", ("S3_PATH", ""), ("REDSHIFT_TABLE", "redshift://"),
+        {"layer": "silver→gold", "load_strategy": "upsert"},
+    ),
+    "fraud": (
+        "fraud-detection-lambda", "LAMBDA", ("KINESIS_STREAM", "kinesis://"), ("REDSHIFT_TABLE", "dynamodb://"),
+        {"processing_model": "real-time", "engine": "rule-based"},
+    ),
+}

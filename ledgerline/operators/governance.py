@@ -290,29 +290,11 @@ def upstream_of(lineage: DataFrame, uris: DataFrame) -> DataFrame:
 
 
 def stage_lineage(spark: SparkSession, stage: str, run_id: str, src: str, dst: str) -> DataFrame:
-    """LIN4: the four pipeline stages with fixed job names and metadata."""
-    if stage == "ingest":
-        return lineage_record(
-            spark, "ingest-job", "GLUE_JOB", [{"type": "S3_PATH", "uri": src}], [{"type": "S3_PATH", "uri": dst}], run_id,
-            {"layer": "raw→bronze", "format": "csv→parquet"},
-        )
-    if stage == "transform":
-        return lineage_record(
-            spark, "transform-job", "GLUE_JOB", [{"type": "S3_PATH", "uri": src}], [{"type": "S3_PATH", "uri": dst}], run_id,
-            {"layer": "bronze→silver", "transformations": "currency_normalize,dedup,enrich_category"},
-        )
-    if stage == "load":
-        return lineage_record(
-            spark, "load-job", "GLUE_JOB", [{"type": "S3_PATH", "uri": src}], [{"type": "REDSHIFT_TABLE", "uri": f"warehouse://{dst}"}],
-            run_id, {"layer": "silver→gold", "load_strategy": "upsert"},
-        )
-    if stage == "fraud":
-        return lineage_record(
-            spark, "fraud-scoring", "LAMBDA", [{"type": "KINESIS_STREAM", "uri": f"stream://{src}"}],
-            [{"type": "REDSHIFT_TABLE", "uri": f"table://{dst}"}], run_id,
-            {"processing_model": "streaming", "engine": "rule-based"},
-        )
-    raise ValueError(stage)
+    """LIN4: the lineage row of one of the four pipeline stages."""
+    job, job_type, (in_type, in_uri), (out_type, out_uri), metadata = C.STAGE_LINEAGE[stage]
+    inputs = [{"type": in_type, "uri": in_uri + src}]
+    outputs = [{"type": out_type, "uri": out_uri + dst}]
+    return lineage_record(spark, job, job_type, inputs, outputs, run_id, metadata)
 
 
 # ---------------------------------------------------------------- STR7 retention

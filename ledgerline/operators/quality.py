@@ -58,7 +58,7 @@ KNOWN = {
 class _Planned:
     aggs: list[Column]
     result: Column  # struct of RESULT_TYPE, over the metrics row
-    sample: DataFrame | None = None  # (idx, *by, v) bad values for in-set checks
+    sample: Column | None = None  # struct (idx, v) of a bad value of an in-set check, else null
 
 
 def _is_missing(types: dict, c: str) -> Column:
@@ -136,7 +136,7 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
         bad = present & ~F.coalesce(member, F.lit(False))
         aggs = [F.count_if(present).alias(p + "nn"), F.count_if(present & F.coalesce(member, F.lit(False))).alias(p + "in")]
         share = _share(F.col(p + "in"), F.col(p + "nn"))
-        sample = df.where(bad).select(F.lit(idx).cast("int").alias("idx"), *by, c.cast("string").alias("v")).distinct()
+        sample = F.when(bad, F.struct(F.lit(idx).cast("int").alias("idx"), c.cast("string").alias("v")))
         return _Planned(aggs, _res(idx, exp, col, _ge(share, mostly), "valid_share", share), sample)
     if exp == "expect_column_values_to_be_between":
         num = c.try_cast("double") if not isinstance(types[col], T.NumericType) else c.cast("double")
@@ -198,9 +198,9 @@ def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sampl
     rows = metrics.select(*by, F.explode(F.array(*[pl.result for pl in plans])).alias("r")).select(*by, "r.*")
     samples = [pl.sample for pl in plans if pl.sample is not None]
     if samples:
-        s = samples[0]
-        for extra in samples[1:]:
-            s = s.unionByName(extra)
+        # one pass over the input for all in-set checks
+        bad = F.explode(F.filter(F.array(*samples), lambda x: x.isNotNull()))
+        s = df.select(*by, bad.alias("b")).select("b.idx", *by, "b.v").distinct()
         w = Window.partitionBy("idx", *by).orderBy("v")
         s = (
             s.withColumn("_rk", F.row_number().over(w))

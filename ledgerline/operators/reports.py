@@ -183,24 +183,42 @@ def daily_pnl_calendar7(fact: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- REP2 (AGG4/5, WIN3/4, SRT1)
-def monthly_balance_sheet(fact: DataFrame, ordered: bool = True) -> DataFrame:
-    """REP2: settled flows per (account, month), net position, month-over-month %."""
-    m = (
-        fact.where(_c.status == "SETTLED")
-        .groupBy("account_id", F.trunc("transaction_date", "MM").alias("report_month"))
-        .agg(
-            sum_cents_when(_c.type == "CREDIT", _c.amt).alias("_inc"),
-            sum_cents_when(_c.type == "DEBIT", _c.amt).alias("_exp"),
-            sum_cents_when((_c.type == "TRANSFER") & (_c.amt > 0), _c.amt).alias("_tin"),
-            sum_cents_when((_c.type == "TRANSFER") & (_c.amt < 0), F.abs(_c.amt)).alias("_tout"),
-            sum_cents_when(_c.type == "REFUND", _c.amt).alias("_ref"),
-            F.count_distinct("transaction_id").alias("total_transactions"),
-            F.count_distinct("merchant_id").alias("unique_merchants"),
-            F.max(_c.amt).alias("largest_single_transaction"),
-            F.sum(cents_long(_c.amt)).alias("_sum_amt"),
-            F.count(_c.amt).alias("_n_amt"),
-        )
+def _account_months(fact: DataFrame, fact_unique: bool) -> DataFrame:
+    """One row per (account, month) of settled flows, in cents.
+
+    With ``fact_unique`` (a fact that the load job wrote has one row per
+    transaction) ids are counted, and the merchants by a first aggregation per
+    merchant, so that no row is expanded; otherwise both are distinct counts.
+    """
+    keys = ["account_id", "report_month"]
+    rows = fact.where(_c.status == "SETTLED").withColumn("report_month", F.trunc("transaction_date", "MM"))
+    flows = {
+        "_inc": sum_cents_when(_c.type == "CREDIT", _c.amt),
+        "_exp": sum_cents_when(_c.type == "DEBIT", _c.amt),
+        "_tin": sum_cents_when((_c.type == "TRANSFER") & (_c.amt > 0), _c.amt),
+        "_tout": sum_cents_when((_c.type == "TRANSFER") & (_c.amt < 0), F.abs(_c.amt)),
+        "_ref": sum_cents_when(_c.type == "REFUND", _c.amt),
+        "_sum_amt": F.sum(cents_long(_c.amt)),
+        "_n_amt": F.count(_c.amt),
+    }
+    sums = [c.alias(name) for name, c in flows.items()]
+    top = "largest_single_transaction"
+    if not fact_unique:
+        ids = F.count_distinct("transaction_id").alias("total_transactions")
+        merchants = F.count_distinct("merchant_id").alias("unique_merchants")
+        return rows.groupBy(*keys).agg(*sums, F.max(_c.amt).alias(top), ids, merchants)
+    ids = F.count("transaction_id").alias("total_transactions")
+    per_merchant = rows.groupBy(*keys, "merchant_id").agg(*sums, F.max(_c.amt).alias(top), ids)
+    return per_merchant.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in (*flows, "total_transactions")],
+        F.max(top).alias(top),
+        F.count("merchant_id").alias("unique_merchants"),
     )
+
+
+def monthly_balance_sheet(fact: DataFrame, ordered: bool = True, fact_unique: bool = False) -> DataFrame:
+    """REP2: settled flows per (account, month), net position, month-over-month %."""
+    m = _account_months(fact, fact_unique)
     net = (F.col("_inc") + F.col("_tin") + F.col("_ref")) - (F.col("_exp") + F.col("_tout"))
     w = Window.partitionBy("account_id").orderBy("report_month")
     m = m.select("*", net.alias("_net")).select(
@@ -251,9 +269,9 @@ BALANCE_SHEET_COLUMNS = [
 ]
 
 
-def balance_sheet_view(fact: DataFrame) -> DataFrame:
+def balance_sheet_view(fact: DataFrame, fact_unique: bool = False) -> DataFrame:
     """REP2 with exactly the view's 15 columns."""
-    return monthly_balance_sheet(fact).select(*BALANCE_SHEET_COLUMNS)
+    return monthly_balance_sheet(fact, fact_unique=fact_unique).select(*BALANCE_SHEET_COLUMNS)
 
 
 def mom_change(fact: DataFrame) -> DataFrame:

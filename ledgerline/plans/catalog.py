@@ -53,6 +53,12 @@ def q_quarantine_rows(spark, sf_dir):
     return q
 
 
+def q_quarantine_distinct(spark, sf_dir):
+    """SET1 as EXCEPT DISTINCT: each rejected row once."""
+    _, q = etl.split_valid(etl.mask_pii(fx.transactions_raw(spark, sf_dir)), distinct_quarantine=True)
+    return q
+
+
 def q_normalize_currency(spark, sf_dir):
     return etl.normalize_currency(bronze_t(spark, sf_dir)).select(
         "transaction_id", "currency", "amount", "exchange_rate", "amount_usd"
@@ -100,7 +106,7 @@ def q_pnl_detail(spark, sf_dir):
 
 
 def q_monthly_balance_sheet(spark, sf_dir):
-    return reports.balance_sheet_view(fx.ledger(spark, sf_dir))
+    return reports.balance_sheet_view(fx.ledger(spark, sf_dir), fact_unique=True)  # one row per order
 
 
 def q_mom_change(spark, sf_dir):
@@ -123,6 +129,16 @@ def q_executive_summary_30d(spark, sf_dir):
     return reports.executive_summary(silver_t(spark, sf_dir), fx.T_AS_OF, 30)
 
 
+def q_executive_summary_10d(spark, sf_dir):
+    """FLT6 where the trailing days leave rows out."""
+    return reports.executive_summary(silver_t(spark, sf_dir), fx.T_AS_OF, 10)
+
+
+def q_daily_kpis_later(spark, sf_dir):
+    """FLT6 at a day that most of T is more than 90 days before."""
+    return reports.daily_kpis(silver_t(spark, sf_dir), fx.T_LATER_AS_OF).drop("_fraud_q")
+
+
 def q_kpi_vs_previous_period(spark, sf_dir):
     return reports.kpi_vs_previous_period(fx.ledger(spark, sf_dir), fx.L_AS_OF, 30)
 
@@ -149,8 +165,8 @@ SCORE_COLUMNS = [
 ]
 
 
-def _scores(df: DataFrame) -> DataFrame:
-    return df.select(*SCORE_COLUMNS, F.array_join("triggered_rules", ",").alias("triggered_rules"))
+def _scores(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*SCORE_COLUMNS, F.array_join("triggered_rules", ",").alias("triggered_rules"), *more)
 
 
 def q_velocity_1h(spark, sf_dir):
@@ -236,6 +252,30 @@ def q_dq_summary_by_date(spark, sf_dir):
     return quality.summarize(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by), by=by)
 
 
+UNKNOWN_CHECKS = {
+    "expectations": [
+        {"expectation_type": "expect_column_values_to_be_finite", "kwargs": {"column": "amount_usd"}},
+        {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1}},
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "no_such_column"}},
+    ]
+}
+
+
+def q_dq_unknown_check(spark, sf_dir):
+    """DQ9: a check of an unknown type is skipped, one of a missing column fails, and the others count."""
+    return _dq_out(quality.validate(silver_t(spark, sf_dir), UNKNOWN_CHECKS))
+
+
+DQ_RUN_DATE = "2024-01-31"
+
+
+def q_dq_audit_events(spark, sf_dir):
+    """AUD3: an event for each day's validation."""
+    by = ["transaction_date"]
+    results = quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by)
+    return governance.dq_result_events(results, "transactions", DQ_RUN_DATE, by=by)
+
+
 # ---------------------------------------------------------------- upsert (T split by residue)
 def _silver_of(raw: DataFrame) -> DataFrame:
     valid, _ = etl.split_valid(etl.mask_pii(raw))
@@ -308,6 +348,23 @@ def q_lineage_upstream(spark, sf_dir):
     return governance.upstream_of(lin, uris)
 
 
+def _lineage_columns(df):
+    return df.select(
+        "lineage_id", "job_name", "run_id", F.col("inputs")[0]["uri"].alias("input_uri"),
+        F.col("outputs")[0]["uri"].alias("output_uri"), "metadata",
+    )
+
+
+def q_lineage_lookup(spark, sf_dir):
+    """LIN2: one run by its id."""
+    return _lineage_columns(governance.get_lineage(_silver_lineage(spark, sf_dir), "transform-job#run-1#2024-01-15"))
+
+
+def q_lineage_contains(spark, sf_dir):
+    """LIN3/JOIN8: runs whose outputs contain a part of a URI."""
+    return _lineage_columns(governance.upstream_runs(_silver_lineage(spark, sf_dir), "transactions/transaction_date=2024-01-1"))
+
+
 RETENTION_AS_OF = "2024-04-15"
 
 
@@ -378,11 +435,63 @@ def q_fraud_stream(spark, sf_dir):
     return _scores(fraud_stream.read_output(spark, out, "scored"))
 
 
+def stream_deliveries(spark, sf_dir) -> str:
+    """Silver T in three deliveries with out-of-order, late, re-delivered and broken
+    records, each one run of the scoring job; the folder of its outputs."""
+    root = scratch_path(spark, "fraud-deliveries")
+    drop_at_exit(spark, root)
+    arrivals = (
+        f"array(delivery + cast({fx.STREAM_DELAYED} as int), "
+        f"if({fx.STREAM_TWICE}, delivery, null), if({fx.STREAM_AGAIN}, delivery + 1, null))"
+    )
+    silver = silver_t(spark, sf_dir).selectExpr("*", f"{fx.STREAM_DELIVERY} as delivery")
+    rows = shared_table(silver.selectExpr("*", f"{arrivals} as arrivals"), "stream-rows")
+    broken = F.expr(fx.STREAM_BROKEN_BY)
+    data = F.concat(F.lit("!"), F.col("transaction_id"))  # no base64
+    for rest, (_, text) in fx.STREAM_BROKEN.items():
+        if text is not None:
+            data = F.when(broken == rest, F.base64(F.lit(text).cast("binary"))).otherwise(data)
+    for k in (1, 2, 3):
+        copies = rows.select("*", F.explode(F.filter("arrivals", lambda x: x == k)))
+        faults = rows.where((F.col("delivery") == k) & broken.isin(*fx.STREAM_BROKEN)).select(
+            F.concat(F.lit("broken-"), F.col("transaction_id")).alias("sequence_number"),
+            data.alias("data"),
+            F.col("created_at").alias("arrival_ts"),
+        )
+        fraud_stream.encode_payloads(copies).unionByName(faults).write.mode("append").json(f"{root}/source")
+        fraud_stream.run_available_now(
+            spark, f"{root}/source", f"{root}/out", f"{root}/checkpoint",
+            thresholds=ORACLE_THRESHOLDS, watermark=fx.STREAM_WATERMARK,
+        )
+    return f"{root}/out"
+
+
+def q_fraud_stream_batches(spark, sf_dir):
+    """Every transaction scored once, late ones with a flag (STR3-5, JOB4)."""
+    return _scores(fraud_stream.read_output(spark, stream_deliveries(spark, sf_dir), "scored"), "is_late")
+
+
+def q_fraud_stream_alerts(spark, sf_dir):
+    """One alert per fraudulent transaction over all deliveries (SNK6, STR5)."""
+    return fraud_stream.read_output(spark, stream_deliveries(spark, sf_dir), "alerts").drop("batch_id")
+
+
+def q_fraud_stream_rejects(spark, sf_dir):
+    """Dead letters (SNK9), and the late and re-delivered records."""
+    out = stream_deliveries(spark, sf_dir)
+    dead = spark.read.parquet(f"{out}/rejects").select("sequence_number", F.col("reject_reason").alias("reason"), "payload")
+    state = fraud_stream.read_output(spark, out, "rejects_state").select(
+        "sequence_number", "reason", F.lit(None).cast("string").alias("payload")
+    )
+    return dead.unionByName(state)
+
+
 QUERIES: dict[str, Query] = {
     "mask_pii": q_mask_pii,
     "null_profile": q_null_profile,
     "valid_rows": q_valid_rows,
     "quarantine_rows": q_quarantine_rows,
+    "quarantine_distinct": q_quarantine_distinct,
     "normalize_currency": q_normalize_currency,
     "enrich_category": q_enrich_category,
     "derived_columns": q_derived_columns,
@@ -399,6 +508,8 @@ QUERIES: dict[str, Query] = {
     "top_category": q_top_category,
     "transaction_summary": q_transaction_summary,
     "executive_summary_30d": q_executive_summary_30d,
+    "executive_summary_10d": q_executive_summary_10d,
+    "daily_kpis_later": q_daily_kpis_later,
     "kpi_vs_previous_period": q_kpi_vs_previous_period,
     "velocity_1h": q_velocity_1h,
     "new_merchant": q_new_merchant,
@@ -419,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "dq_summary": q_dq_summary,
     "dq_by_date": q_dq_by_date,
     "dq_summary_by_date": q_dq_summary_by_date,
+    "dq_unknown_check": q_dq_unknown_check,
+    "dq_audit_events": q_dq_audit_events,
     "fact_upsert": q_fact_upsert,
     "fact_update_half": q_fact_update_half,
     "fact_insert_half": q_fact_insert_half,
@@ -431,6 +544,8 @@ QUERIES: dict[str, Query] = {
     "ttl_expiry": q_ttl_expiry,
     "lineage_records": q_lineage_records,
     "lineage_upstream": q_lineage_upstream,
+    "lineage_lookup": q_lineage_lookup,
+    "lineage_contains": q_lineage_contains,
     "fraud_rate_alarm": q_fraud_rate_alarm,
     "dq_failure_alarm": q_dq_failure_alarm,
     "job_bronze": q_job_bronze,
@@ -438,4 +553,7 @@ QUERIES: dict[str, Query] = {
     "job_silver": q_job_silver,
     "job_fact": q_job_fact,
     "fraud_stream": q_fraud_stream,
+    "fraud_stream_batches": q_fraud_stream_batches,
+    "fraud_stream_alerts": q_fraud_stream_alerts,
+    "fraud_stream_rejects": q_fraud_stream_rejects,
 }

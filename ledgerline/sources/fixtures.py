@@ -63,6 +63,7 @@ T_EXPRS: list[tuple[str, str]] = [
     ("updated_at", "cast(ts as timestamp)"),
 ]
 T_AS_OF = "2024-01-30"
+T_LATER_AS_OF = "2024-04-14"
 
 # ---- L: ledger from `orders` ---------------------------------------------------------------
 L_EXPRS: list[tuple[str, str]] = [
@@ -105,6 +106,32 @@ UPSERT_TARGET_PRED = "event_id % 5 <> 0"
 UPSERT_STAGING_PRED = "event_id % 5 in (0, 1)"
 
 
+# ---- stream deliveries of silver T: ten days each, with out-of-order, late and re-delivered rows ----
+STREAM_WATERMARK = "1 day"
+_N = "cast(transaction_id as bigint)"
+STREAM_DELIVERY = (
+    "case when transaction_date < date '2024-01-11' then 1 when transaction_date < date '2024-01-21' then 2 else 3 end"
+)
+#: Rows of a delivery's last two days that come with the next one: those of the day before last are late.
+STREAM_DELAYED = (
+    "(transaction_date in (date '2024-01-09', date '2024-01-10', date '2024-01-19', date '2024-01-20') "
+    f"and {_N} % 7 = 3)"
+)
+#: Rows that come twice in their delivery.
+STREAM_TWICE = f"({_N} % 19 = 1 and not {STREAM_DELAYED})"
+#: Rows of a delivery's last day that come again with the next one.
+STREAM_AGAIN = (
+    f"({_N} % 19 = 2 and transaction_date in (date '2024-01-10', date '2024-01-20') and not {STREAM_DELAYED})"
+)
+#: Broken records that come besides a row, by the remainder of its id: reason and text (none: no base64).
+STREAM_BROKEN = {
+    5: ("decode", None),
+    6: ("json", '{"transaction_id": '),
+    7: ("missing_id", '{"account_id": "ACC-000001"}'),
+}
+STREAM_BROKEN_BY = f"{_N} % 23"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
