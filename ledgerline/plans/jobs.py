@@ -11,6 +11,9 @@ repartition by date is used (one hot date would otherwise land in one task).
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,33 +28,30 @@ from ..sources.generator import generate
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _record(
+@contextmanager
+def _recorded(
     spark: SparkSession,
     stage: str,
-    counts: dict[str, int],
     src: str,
     dst: str,
     run_id: str | None,
     audit_path: str | None,
     lineage_path: str | None,
-) -> None:
-    """AUD1 + LIN4: after a successful run, append its ETL_RUN event and lineage row."""
-    import uuid
-
+) -> Iterator[dict[str, int]]:
+    """AUD1 + LIN4: append the run's ETL_RUN event, with the counts that the job filled in, and its
+    lineage row.  A run that raises has a FAILED event and no lineage."""
     run_id = run_id or uuid.uuid4().hex
-    if audit_path:
-        ev = governance.etl_run_event(
-            spark,
-            f"{stage}-job",
-            run_id,
-            "SUCCEEDED",
-            counts.get("records_read", counts.get("records_written", 0)),
-            counts.get("records_written", 0),
-            counts.get("records_quarantined", 0),
-            src,
-            dst,
-        )
-        governance.append_audit(ev, audit_path)
+    counts: dict[str, int] = {}
+    status = "FAILED"
+    try:
+        yield counts
+        status = "SUCCEEDED"
+    finally:
+        if audit_path:
+            totals = [counts.get(k, 0) for k in ("records_read", "records_written", "records_quarantined")]
+            governance.append_audit(
+                governance.etl_run_event(spark, f"{stage}-job", run_id, status, *totals, src, dst), audit_path
+            )
     if lineage_path:
         governance.append_lineage(governance.stage_lineage(spark, stage, run_id, src, dst), lineage_path)
 
@@ -86,17 +86,17 @@ def ingest(
     lineage_path: str | None = None,
 ) -> dict[str, int]:
     """JOB1: raw files -> mask -> metadata -> valid to bronze / rest to quarantine."""
-    raw = read_raw(spark, source_path, fmt)
-    raw = raw.withColumn("_src", F.col("_metadata.file_path"))
-    df = etl.add_ingestion_metadata(etl.mask_pii(raw, salt), F.col("_src")).drop("_src")
-    valid, quarantine = etl.split_valid(df, strict)
-    valid, ov = _observed(valid.drop(CORRUPT_COLUMN), "bronze")
-    quarantine, oq = _observed(quarantine, "quarantine")
-    _write_partitioned(valid, bronze_path, "transaction_date", "append")
-    _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
-    w, q = int(ov.get["rows"]), int(oq.get["rows"])
-    counts = {"records_read": w + q, "records_written": w, "records_quarantined": q}
-    _record(spark, "ingest", counts, source_path, bronze_path, run_id, audit_path, lineage_path)
+    with _recorded(spark, "ingest", source_path, bronze_path, run_id, audit_path, lineage_path) as counts:
+        raw = read_raw(spark, source_path, fmt)
+        raw = raw.withColumn("_src", F.col("_metadata.file_path"))
+        df = etl.add_ingestion_metadata(etl.mask_pii(raw, salt), F.col("_src")).drop("_src")
+        valid, quarantine = etl.split_valid(df, strict)
+        valid, ov = _observed(valid.drop(CORRUPT_COLUMN), "bronze")
+        quarantine, oq = _observed(quarantine, "quarantine")
+        _write_partitioned(valid, bronze_path, "transaction_date", "append")
+        _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
+        w, q = int(ov.get["rows"]), int(oq.get["rows"])
+        counts.update(records_read=w + q, records_written=w, records_quarantined=q)
     return counts
 
 
@@ -115,11 +115,11 @@ def transform(
     ``only_new_dates`` replaces only the dates that bronze has; right only where
     no transaction's date moves and bronze holds each of its dates in full.
     """
-    bronze, read = _observed(read_layer(spark, bronze_path), "bronze")
-    silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate), "silver")
-    _write_partitioned(silver, silver_path, "transaction_date", "overwrite", dynamic=only_new_dates)
-    counts = {"records_read": int(read.get["rows"]), "records_written": int(obs.get["rows"])}
-    _record(spark, "transform", counts, bronze_path, silver_path, run_id, audit_path, lineage_path)
+    with _recorded(spark, "transform", bronze_path, silver_path, run_id, audit_path, lineage_path) as counts:
+        bronze, read = _observed(read_layer(spark, bronze_path), "bronze")
+        silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate), "silver")
+        _write_partitioned(silver, silver_path, "transaction_date", "overwrite", dynamic=only_new_dates)
+        counts.update(records_read=int(read.get["rows"]), records_written=int(obs.get["rows"]))
     return counts
 
 
@@ -136,19 +136,19 @@ def load(
     fact version, writing a new version folder (readers switch to it after the
     write succeeds; the previous version stays intact for rollback).  A version
     folder that exists is refused."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(fact_out)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-        raise FileExistsError(f"a fact version needs a folder of its own: {fact_out}")
-    silver, read = _observed(read_layer(spark, silver_path), "silver")
-    staging = etl.conform_fact(silver)
-    if fact_prev:
-        merged = etl.upsert(read_layer(spark, fact_prev).select(*staging.columns), staging)
-    else:
-        merged = etl.dedupe_latest(staging, ["transaction_id"], ["updated_at"], hash_tiebreak=True)
-    merged, obs = _observed(merged, "fact")
-    _write_partitioned(merged, fact_out, "transaction_date", "errorifexists")
-    counts = {"records_read": int(read.get["rows"]), "records_written": int(obs.get["rows"])}
-    _record(spark, "load", counts, silver_path, fact_out, run_id, audit_path, lineage_path)
+    with _recorded(spark, "load", silver_path, fact_out, run_id, audit_path, lineage_path) as counts:
+        target = spark._jvm.org.apache.hadoop.fs.Path(fact_out)
+        if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+            raise FileExistsError(f"a fact version needs a folder of its own: {fact_out}")
+        silver, read = _observed(read_layer(spark, silver_path), "silver")
+        staging = etl.conform_fact(silver)
+        if fact_prev:
+            merged = etl.upsert(read_layer(spark, fact_prev).select(*staging.columns), staging)
+        else:
+            merged = etl.dedupe_latest(staging, ["transaction_id"], ["updated_at"], hash_tiebreak=True)
+        merged, obs = _observed(merged, "fact")
+        _write_partitioned(merged, fact_out, "transaction_date", "errorifexists")
+        counts.update(records_read=int(read.get["rows"]), records_written=int(obs.get["rows"]))
     return counts
 
 

@@ -41,6 +41,15 @@ PARITY = [
     "fact_upsert",
     "dim_merchants",
     "fraud_rate_alarm",
+    "fraud_stream_batches",
+    "fraud_stream_rejects",
+    "dq_unknown_check",
+    "dq_audit_events",
+    "lineage_lookup",
+    "lineage_contains",
+    "quarantine_distinct",
+    "executive_summary_10d",
+    "daily_kpis_later",
 ]
 
 

@@ -1,5 +1,8 @@
 """End-to-end batch jobs on generated raw files, and the generator itself."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans import jobs
@@ -92,4 +95,27 @@ def test_jobs_append_audit_and_lineage(spark, tmp_dir):
     from ledgerline.operators import governance
 
     up = governance.upstream_runs(lin, f"{d}/s", mode="exact").collect()
-    assert [r.job_name for r in up] == ["transform-job"]
+    assert [(r.job_name, r.job_type) for r in up] == [("financial-transform-job", "GLUE_JOB")]
+
+
+def test_a_run_that_fails_has_an_event_with_the_counts_of_none(spark, tmp_dir):
+    import json
+
+    d = tmp_dir
+    with pytest.raises(Exception):
+        jobs.transform(spark, f"{d}/missing", f"{d}/s", run_id="r1", audit_path=f"{d}/audit", lineage_path=f"{d}/lin")
+    event = spark.read.json(f"{d}/audit").collect()
+    assert [json.loads(e.payload)["status"] for e in event] == ["FAILED"]
+    assert not os.path.exists(f"{d}/lin")
+
+
+def test_a_run_counts_what_it_read_and_wrote(spark, tmp_dir):
+    import json
+
+    d = tmp_dir
+    generate(spark, 60, 5, 5, seed=4, end_date="2024-01-31").coalesce(1).write.option("header", "true").csv(f"{d}/raw")
+    for _ in range(2):
+        jobs.ingest(spark, f"{d}/raw", f"{d}/b", f"{d}/q")
+    jobs.transform(spark, f"{d}/b", f"{d}/s", run_id="r1", audit_path=f"{d}/audit")
+    payload = json.loads(spark.read.json(f"{d}/audit").first().payload)
+    assert (payload["records_read"], payload["records_written"], payload["status"]) == (120, 60, "SUCCEEDED")

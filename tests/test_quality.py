@@ -122,3 +122,15 @@ def test_metrics_rows(spark):
     s = quality.summarize(quality.validate(spark.createDataFrame([("a", "SETTLED", 1.0)], SCHEMA), SUITE4))
     m = {r.metric: r.value for r in quality.metrics_rows(s, "ds").collect()}
     assert m == {"PassedChecks": 4.0, "FailedChecks": 0.0, "PassRatePct": 100.0}
+
+
+def test_bad_values_of_many_sets_come_from_one_pass(spark, tmp_dir):
+    spark.createDataFrame([("a", "X", 1.0), ("b", "Y", 2.0), (None, "X", 3.0)], SCHEMA).write.parquet(f"{tmp_dir}/t")
+    in_set = "expect_column_values_to_be_in_set"
+    suite = {"expectations": [
+        {"expectation_type": in_set, "kwargs": {"column": c, "value_set": v}}
+        for c, v in (("transaction_id", ["a"]), ("status", ["Y"]), ("amount", [1, 2, 3]))
+    ]}
+    out = quality.validate(spark.read.parquet(f"{tmp_dir}/t"), suite)
+    assert {r.idx: r.unexpected_values for r in out.collect()} == {0: ["b"], 1: ["X"], 2: []}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

@@ -85,3 +85,13 @@ def test_kpi_vs_previous_period(spark):
     rows_ = [L(1, "a", 30, "CREDIT", "200.00"), L(2, "a", 1, "CREDIT", "100.00")]
     out = {r.period_index: r for r in reports.kpi_vs_previous_period(spark.createDataFrame(rows_, SCHEMA), "2024-01-30", 15).collect()}
     assert out[0].volume_change_pct == 100.0 and out[1].prev_total_count is None
+
+
+def test_a_unique_fact_gives_the_same_balance_sheet_without_expanding_rows(spark):
+    rows_ = [L(i, f"a{i % 3}", 1 + i % 20, t, "7.25", merchant=m) for i, (t, m) in enumerate(
+        (t, m) for t in ("CREDIT", "DEBIT", "TRANSFER", "REFUND") for m in ("M1", "M2", None) for _ in range(3)
+    )]
+    df = spark.createDataFrame(rows_, SCHEMA)
+    fast = reports.balance_sheet_view(df, fact_unique=True)
+    assert fast.collect() == reports.balance_sheet_view(df).collect()
+    assert "Expand" not in fast._jdf.queryExecution().executedPlan().toString()
