@@ -383,18 +383,39 @@ def q_dq_failure_alarm(spark, sf_dir):
     return alarms.dq_failure_alarm(metrics)
 
 
-# ---------------------------------------------------------------- jobs end to end (JOB1-JOB3)
-def job_layers(spark, sf_dir, last: str) -> str:
-    """Raw T as CSV files through the jobs up to ``last`` (ingest, transform or load); the folder of their outputs."""
+# ---------------------------------------------------------------- jobs end to end (JOB1-JOB3, JOB5)
+def write_raw(raw: DataFrame, path: str, fmt: str = "csv") -> None:
+    raw.write.option("header", "true").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").format(fmt).save(path)
+
+
+def job_layers(spark, sf_dir, last: str, fmt: str = "csv") -> str:
+    """Raw T as files through the jobs up to ``last`` (ingest, transform or load); the folder of their outputs."""
     root = scratch_path(spark, "jobs")
     drop_at_exit(spark, root)
-    raw = fx.transactions_raw(spark, sf_dir)
-    raw.write.option("header", "true").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(f"{root}/raw")
-    jobs.ingest(spark, f"{root}/raw", f"{root}/bronze", f"{root}/quarantine")
+    write_raw(fx.transactions_raw(spark, sf_dir), f"{root}/raw", fmt)
+    run = {"run_id": "run-1", "audit_path": f"{root}/audit"}
+    jobs.ingest(spark, f"{root}/raw", f"{root}/bronze", f"{root}/quarantine", fmt, **run)
     if last != "ingest":
-        jobs.transform(spark, f"{root}/bronze", f"{root}/silver")
+        jobs.transform(spark, f"{root}/bronze", f"{root}/silver", **run)
     if last == "load":
-        jobs.load(spark, f"{root}/silver", f"{root}/fact")
+        jobs.load(spark, f"{root}/silver", f"{root}/fact", **run)
+    return root
+
+
+def redelivered_layers(spark, sf_dir, last: str) -> str:
+    """T and then its second delivery, each ingested as new files and put through the
+    jobs up to ``last``; the folder of their outputs."""
+    root = scratch_path(spark, "deliveries")
+    drop_at_exit(spark, root)
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    for k, raw in enumerate((fx.transactions_raw(spark, sf_dir), fx.redelivered_raw(spark, sf_dir))):
+        write_raw(raw, f"{root}/raw/{k}")
+        for q in jobs.start_ingest_stream(spark, f"{root}/raw/*", bronze, f"{root}/quarantine", f"{root}/checkpoint"):
+            q.awaitTermination()
+        if last != "ingest":
+            jobs.transform(spark, bronze, silver)
+        if last == "load":
+            jobs.load(spark, silver, f"{root}/fact/{k}", f"{root}/fact/{k - 1}" if k else None)
     return root
 
 
@@ -416,11 +437,83 @@ def q_job_silver(spark, sf_dir):
     return jobs.read_layer(spark, f"{root}/silver").select(*silver_t(spark, sf_dir).columns)
 
 
+#: Columns of the run itself, which differ each time.
+RUN_COLUMNS = ("ingestion_timestamp", "source_file", "ingestion_date")
+
+
 def q_job_fact(spark, sf_dir):
-    """JOB1 to JOB3: the amounts of the first fact version."""
+    """JOB1 to JOB3: the first fact version."""
+    return jobs.read_layer(spark, f"{job_layers(spark, sf_dir, 'load')}/fact").drop(*RUN_COLUMNS)
+
+
+def q_job_json_bronze(spark, sf_dir):
+    """SRC2: JOB1's accepted rows of JSON files."""
+    root = job_layers(spark, sf_dir, "ingest", "json")
+    return jobs.read_layer(spark, f"{root}/bronze").select(*bronze_t(spark, sf_dir).columns)
+
+
+def q_job_ingestion_metadata(spark, sf_dir):
+    """PRJ2: the run's columns of every accepted row, as far as they don't differ each time."""
+    bronze = jobs.read_layer(spark, f"{job_layers(spark, sf_dir, 'ingest')}/bronze")
+    return bronze.select(
+        "transaction_id",
+        F.col("source_file").rlike("/raw/part-[^/]*[.]csv$").alias("names_its_file"),
+        (F.to_date("ingestion_timestamp") == F.col("ingestion_date")).alias("has_the_day"),
+    )
+
+
+def q_job_run_events(spark, sf_dir):
+    """AUD1/SNK12: the events of the three jobs, with their counts (AGG10)."""
     root = job_layers(spark, sf_dir, "load")
-    fact = jobs.read_layer(spark, f"{root}/fact")
-    return fact.select("transaction_id", "account_id", "transaction_date", "amount", "currency", "amount_usd", "category")
+    counts = ("records_read", "records_written", "records_quarantined")
+    payload = F.from_json("payload", "job_name string, run_id string, status string, " + ", ".join(f"{c} bigint" for c in counts))
+    return spark.read.json(f"{root}/audit").select("event_type", "actor", "subject", payload.alias("p")).select(
+        "event_type", "actor", "subject", "p.*"
+    )
+
+
+def job_validation(spark, sf_dir) -> str:
+    root = job_layers(spark, sf_dir, "transform")
+    jobs.validate_job(spark, f"{root}/silver", f"{root}/dq", run_date=DQ_RUN_DATE)
+    return f"{root}/dq"
+
+
+def q_job_dq_results(spark, sf_dir):
+    """JOB5/SNK10: the results file of silver's validation."""
+    rows = spark.read.schema(
+        "idx int, expectation string, `column` string, success boolean, metric_name string, metric_value double, "
+        "skipped boolean, error string, unexpected_values array<string>, dataset string, run_date date"
+    ).json(f"{job_validation(spark, sf_dir)}/results")
+    return _dq_out(rows)
+
+
+def q_job_dq_metrics(spark, sf_dir):
+    """JOB5/SNK11: the metrics of silver's validation, without their time."""
+    return spark.read.parquet(f"{job_validation(spark, sf_dir)}/metrics").drop("ts")
+
+
+def q_job_incremental_bronze(spark, sf_dir):
+    """SRC3/STR10: the accepted rows of two deliveries, each file taken once."""
+    root = redelivered_layers(spark, sf_dir, "ingest")
+    return jobs.read_layer(spark, f"{root}/bronze").select(*bronze_t(spark, sf_dir).columns)
+
+
+def q_job_incremental_quarantine(spark, sf_dir):
+    """SRC3/SNK2: the rejected rows of two deliveries."""
+    root = redelivered_layers(spark, sf_dir, "ingest")
+    return jobs.read_layer(spark, f"{root}/quarantine").select(*q_quarantine_rows(spark, sf_dir).columns)
+
+
+def q_job_incremental_silver(spark, sf_dir):
+    """JOB2/SNK3: the latest version of each transaction, also where its date moved or went."""
+    root = redelivered_layers(spark, sf_dir, "transform")
+    return jobs.read_layer(spark, f"{root}/silver").drop(*RUN_COLUMNS)
+
+
+def q_job_incremental_fact(spark, sf_dir):
+    """JOB3/SNK4/SNK5/DIM1: the second fact version, an upsert into the first."""
+    root = redelivered_layers(spark, sf_dir, "load")
+    return jobs.read_layer(spark, f"{root}/fact/1").drop(*RUN_COLUMNS)
 
 
 # ---------------------------------------------------------------- streaming (JOB4)
@@ -552,6 +645,15 @@ QUERIES: dict[str, Query] = {
     "job_quarantine": q_job_quarantine,
     "job_silver": q_job_silver,
     "job_fact": q_job_fact,
+    "job_json_bronze": q_job_json_bronze,
+    "job_ingestion_metadata": q_job_ingestion_metadata,
+    "job_run_events": q_job_run_events,
+    "job_dq_results": q_job_dq_results,
+    "job_dq_metrics": q_job_dq_metrics,
+    "job_incremental_bronze": q_job_incremental_bronze,
+    "job_incremental_quarantine": q_job_incremental_quarantine,
+    "job_incremental_silver": q_job_incremental_silver,
+    "job_incremental_fact": q_job_incremental_fact,
     "fraud_stream": q_fraud_stream,
     "fraud_stream_batches": q_fraud_stream_batches,
     "fraud_stream_alerts": q_fraud_stream_alerts,

@@ -18,6 +18,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..config import load_suite
 from ..operators import etl, governance, quality
@@ -85,16 +86,24 @@ def ingest(
     audit_path: str | None = None,
     lineage_path: str | None = None,
 ) -> dict[str, int]:
-    """JOB1: raw files -> mask -> metadata -> valid to bronze / rest to quarantine."""
+    """JOB1: raw files -> mask -> metadata -> valid to bronze / rest to quarantine.
+
+    The files are read and masked once: the first write keeps the rows on the
+    executors' disks for the second (lost blocks are read again).
+    """
     with _recorded(spark, "ingest", source_path, bronze_path, run_id, audit_path, lineage_path) as counts:
         raw = read_raw(spark, source_path, fmt)
         raw = raw.withColumn("_src", F.col("_metadata.file_path"))
         df = etl.add_ingestion_metadata(etl.mask_pii(raw, salt), F.col("_src")).drop("_src")
-        valid, quarantine = etl.split_valid(df, strict)
-        valid, ov = _observed(valid.drop(CORRUPT_COLUMN), "bronze")
-        quarantine, oq = _observed(quarantine, "quarantine")
-        _write_partitioned(valid, bronze_path, "transaction_date", "append")
-        _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
+        df = df.persist(StorageLevel.DISK_ONLY)
+        try:
+            valid, quarantine = etl.split_valid(df, strict)
+            valid, ov = _observed(valid.drop(CORRUPT_COLUMN), "bronze")
+            quarantine, oq = _observed(quarantine, "quarantine")
+            _write_partitioned(valid, bronze_path, "transaction_date", "append")
+            _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
+        finally:
+            df.unpersist()
         w, q = int(ov.get["rows"]), int(oq.get["rows"])
         counts.update(records_read=w + q, records_written=w, records_quarantined=q)
     return counts

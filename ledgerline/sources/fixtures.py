@@ -105,6 +105,17 @@ V_ORDER = ("l_shipdate", "l_partkey", "l_suppkey")  # all descending
 UPSERT_TARGET_PRED = "event_id % 5 <> 0"
 UPSERT_STAGING_PRED = "event_id % 5 in (0, 1)"
 
+# ---- second delivery of T for the jobs: later versions on another date or none, and rows as they were ----
+REDELIVERED_LATER = "event_id % 7 = 2"
+REDELIVERED_SAME = "event_id % 7 = 3"
+_LATER = {
+    "transaction_date": "case when event_id % 3 = 0 then cast(null as date) else cast(ts as date) + 1 end",
+    "amount": "cast(cast(value as decimal(18,2)) * 100 + 1.25 as decimal(18,2))",
+    "status": "'SETTLED'",
+    "updated_at": "cast(ts as timestamp) + interval 1 day",
+}
+T_LATER_EXPRS = [(c, _LATER.get(c, e)) for c, e in T_EXPRS]
+
 
 # ---- stream deliveries of silver T: ten days each, with out-of-order, late and re-delivered rows ----
 STREAM_WATERMARK = "1 day"
@@ -159,6 +170,13 @@ def upsert_staging_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def redelivered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later versions of some rows of T, and some rows as they were."""
+    events = table(spark, sf_dir, "events")
+    later = _select(events.where(REDELIVERED_LATER), T_LATER_EXPRS)
+    return later.unionByName(transactions_raw(spark, sf_dir, REDELIVERED_SAME))
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L: fact-shaped ledger rows from orders."""
     use_utc(spark)
