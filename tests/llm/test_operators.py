@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     decontaminate,
@@ -327,6 +328,14 @@ def test_sharding(odd, empty):
         sharding.lookup_table(names, 100)
 
 
+def test_written_shards_hold_every_row(spark, tmp_dir):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "concat('text ', id) as text")  # one id has a third
+    sharding.write_shards(rows, f"{tmp_dir}/shards", shards=sharding.shard_names(5), slots=101)
+    out = spark.read.parquet(f"{tmp_dir}/shards")
+    assert sorted(out.select("row.*").collect()) == sorted(rows.collect())
+    assert out.groupBy("row.doc_id").agg(F.count_distinct("shard").alias("n")).where("n > 1").count() == 0
+
+
 # ---------------------------------------------------------------- 10 token counts
 def brute_tokens(word, score, longest):
     path = b" " + word
