@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from pathlib import Path
@@ -146,7 +147,7 @@ class Thresholds:
 
 def _read_text(path: str | Path) -> str:
     """A small text file; a path with a scheme is read through Spark's file systems."""
-    if "://" in str(path):
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", str(path)):
         from pyspark.sql import SparkSession
 
         return SparkSession.active().read.text(str(path), wholetext=True).first()[0]

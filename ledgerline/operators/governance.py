@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .etl import dedupe_latest
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -310,15 +311,30 @@ def compact_expired(df: DataFrame, as_of: str, ttl_col: str = "ttl") -> DataFram
 
 
 # ---------------------------------------------------------------- SNK12 / SNK13 sinks
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def append_audit(events: DataFrame, path: str) -> None:
     """SNK12: append events to the audit table, one folder per event day.
 
-    Event ids are content hashes, so a retried append can be de-duplicated by
-    ``event_id`` downstream; the append itself is a plain file write.
+    Event ids are content hashes: a retried append repeats ids, and
+    ``read_audit`` takes each once.
     """
-    events.sortWithinPartitions("event_date").write.mode("append").partitionBy("event_date").json(path)
+    out = events.sortWithinPartitions("event_date").write.mode("append").option("timestampFormat", TS_FORMAT)
+    out.partitionBy("event_date").json(path)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit table, each event once however often it was appended."""
+    events = spark.read.schema(AUDIT_SCHEMA).option("timestampFormat", TS_FORMAT).json(path)
+    return events.dropDuplicates(["event_id"])
 
 
 def append_lineage(records: DataFrame, path: str) -> None:
     """SNK13: append lineage rows (Parquet keeps the nested inputs/outputs arrays)."""
     records.write.mode("append").parquet(path)
+
+
+def read_lineage(spark: SparkSession, path: str) -> DataFrame:
+    """The lineage table as an upsert by ``lineage_id`` leaves it: the last record of each id."""
+    return dedupe_latest(spark.read.parquet(path), ["lineage_id"], ["recorded_at"], hash_tiebreak=True)

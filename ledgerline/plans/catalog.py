@@ -6,14 +6,15 @@ operators over the whole input tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Thresholds, load_suite
+from ..config import Thresholds, load_suite, load_thresholds
 from ..operators import alarms, dims, etl, fraud, governance, quality, reports
-from ..session import drop_at_exit, scratch_path, shared_table
+from ..session import drop_at_exit, qualified, scratch_path, shared_table
 from ..sources import fixtures as fx
 from ..streaming import fraud_stream
 from . import jobs
@@ -199,6 +200,14 @@ def q_fraud_scores(spark, sf_dir):
     return _scores(scored_t(spark, sf_dir))
 
 
+def q_fraud_scores_from_file(spark, sf_dir):
+    """SRC8: scores by thresholds of a JSON file in the shared folder."""
+    path = scratch_path(spark, "thresholds")
+    drop_at_exit(spark, path)
+    spark.createDataFrame([(json.dumps({"velocity_per_hour": 0}),)], "value string").coalesce(1).write.text(path)
+    return _scores(scored_t(spark, sf_dir, load_thresholds(qualified(spark, path))))
+
+
 def q_fraud_scores_default(spark, sf_dir):
     return _scores(scored_t(spark, sf_dir, Thresholds()))
 
@@ -289,7 +298,7 @@ def upsert_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def q_fact_upsert(spark, sf_dir):
-    return etl.upsert(*upsert_pair(spark, sf_dir))
+    return etl.upsert(*upsert_pair(spark, sf_dir), dedupe_staging=False)  # silver has one row per transaction
 
 
 def q_fact_update_half(spark, sf_dir):
@@ -327,6 +336,7 @@ def q_audit_by_actor_day(spark, sf_dir):
 
 
 LINEAGE_RUN = ("transform-job", "GLUE_JOB", "bronze/transactions", "silver/transactions", "run-1", "2024-01-31 00:00:00")
+LINEAGE_RERUN_AT = "2024-02-01 00:00:00"
 
 
 def _silver_lineage(spark, sf_dir):
@@ -334,13 +344,17 @@ def _silver_lineage(spark, sf_dir):
     return governance.partition_lineage(silver_t(spark, sf_dir), "transaction_date", job, jtype, src, dst, run, at)
 
 
-def q_lineage_records(spark, sf_dir):
-    return _silver_lineage(spark, sf_dir).select(
+def _lineage_rows(df):
+    return df.select(
         "lineage_id", "job_name", "job_type", "run_id", "recorded_at",
         F.col("inputs")[0]["uri"].alias("input_uri"), F.col("outputs")[0]["uri"].alias("output_uri"), "ttl",
     )
 
 
+def q_lineage_records(spark, sf_dir):
+    return _lineage_rows(_silver_lineage(spark, sf_dir))
+
+
 def q_lineage_upstream(spark, sf_dir):
     """JOIN8/LIN3: for every written silver partition, the run that produced it."""
     lin = _silver_lineage(spark, sf_dir)
@@ -365,6 +379,29 @@ def q_lineage_contains(spark, sf_dir):
     return _lineage_columns(governance.upstream_runs(_silver_lineage(spark, sf_dir), "transactions/transaction_date=2024-01-1"))
 
 
+def q_audit_after_retry(spark, sf_dir):
+    """SNK12: events that were appended twice, read once each."""
+    path = scratch_path(spark, "audit")
+    drop_at_exit(spark, path)
+    events = governance.fraud_alert_events(fraud.fraud_alerts(scored_t(spark, sf_dir)))
+    for _ in range(2):
+        governance.append_audit(events, path)
+    return governance.read_audit(spark, path)
+
+
+def q_lineage_after_rerun(spark, sf_dir):
+    """SNK13: the lineage of a run that was repeated a day later, by its ids."""
+    path = scratch_path(spark, "lineage")
+    drop_at_exit(spark, path)
+    job, jtype, src, dst, run, at = LINEAGE_RUN
+    silver = silver_t(spark, sf_dir, materialize=True)
+    for at in (at, LINEAGE_RERUN_AT):
+        governance.append_lineage(
+            governance.partition_lineage(silver, "transaction_date", job, jtype, src, dst, run, at), path
+        )
+    return _lineage_rows(governance.read_lineage(spark, path))
+
+
 RETENTION_AS_OF = "2024-04-15"
 
 
@@ -613,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "rule_new_merchant": _rule_query(4),
     "rule_card_not_present": _rule_query(5),
     "fraud_scores": q_fraud_scores,
+    "fraud_scores_from_file": q_fraud_scores_from_file,
     "fraud_scores_default": q_fraud_scores_default,
     "fraud_alerts": q_fraud_alerts,
     "fraud_notifications": q_fraud_notifications,
@@ -639,6 +677,8 @@ QUERIES: dict[str, Query] = {
     "lineage_upstream": q_lineage_upstream,
     "lineage_lookup": q_lineage_lookup,
     "lineage_contains": q_lineage_contains,
+    "lineage_after_rerun": q_lineage_after_rerun,
+    "audit_after_retry": q_audit_after_retry,
     "fraud_rate_alarm": q_fraud_rate_alarm,
     "dq_failure_alarm": q_dq_failure_alarm,
     "job_bronze": q_job_bronze,

@@ -103,6 +103,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/ledgerline/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that it is in."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def drop_at_exit(spark: SparkSession, path: str) -> None:
     """Have the file system delete ``path`` when the driver ends."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

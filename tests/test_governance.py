@@ -82,3 +82,21 @@ def test_dim_date(spark):
     r = d[dt.date(2024, 1, 1)]
     assert (r.date_key, r.month_name, r.day_name, r.is_us_holiday, r.fiscal_year, r.fiscal_quarter) == (20240101, "January", "Monday", True, 2024, 2)
     assert d[dt.date(2023, 12, 30)].fiscal_year == 2024 and d[dt.date(2023, 12, 30)].is_weekend
+
+
+def test_a_repeated_append_is_read_once(spark, tmp_dir):
+    at = dt.datetime(2024, 1, 1, 10, 0, 0, 123456, tzinfo=dt.timezone.utc)
+    event = governance.etl_run_event(spark, "job", "r1", "SUCCEEDED", 1, 1, 0, "a", "b", ts=at)
+    for _ in range(2):
+        governance.append_audit(event, f"{tmp_dir}/audit")
+    got = governance.read_audit(spark, f"{tmp_dir}/audit")
+    assert [r.asDict() for r in got.collect()] == [r.asDict() for r in event.select(*got.columns).collect()]
+
+
+def test_lineage_of_a_rerun_replaces_the_first(spark, tmp_dir):
+    for day, uri in ((1, "s3://old"), (2, "s3://new")):
+        rec = governance.lineage_record(
+            spark, "job", "GLUE_JOB", [], [{"type": "S3_PATH", "uri": uri}], "r1", recorded_at=dt.datetime(2024, 1, day)
+        )
+        governance.append_lineage(rec, f"{tmp_dir}/lineage")
+    assert [r.outputs[0].uri for r in governance.read_lineage(spark, f"{tmp_dir}/lineage").collect()] == ["s3://new"]

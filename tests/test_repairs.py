@@ -188,3 +188,28 @@ def test_a_second_incremental_ingest_takes_only_new_files_and_the_stream_has_a_c
     fs.encode_payloads(spark.read.parquet(f"{d}/s")).write.json(f"{d}/records")
     assert main(["stream", "--source", f"{d}/records", "--output", f"{d}/out", "--checkpoint", f"{d}/ck2"], stop_session=False) == 0
     assert fs.read_output(spark, f"{d}/out", "scored").count() == 40
+
+
+def test_thresholds_are_read_through_the_file_systems(spark, tmp_dir):
+    from ledgerline.config import load_thresholds
+
+    with open(f"{tmp_dir}/t.json", "w") as f:
+        json.dump({"velocity_per_hour": 3}, f)
+    for path in (f"{tmp_dir}/t.json", f"file:{tmp_dir}/t.json", f"file://{tmp_dir}/t.json"):
+        assert load_thresholds(path).velocity_per_hour == 3
+
+
+def test_ingest_reads_its_files_once(spark, tmp_dir):
+    raw = spark.createDataFrame(
+        [("t1", "a", "2024-01-01", "1.00", "DEBIT", "SETTLED"), ("t2", None, "2024-01-01", "1.00", "DEBIT", "SETTLED")],
+        "transaction_id string, account_id string, transaction_date string, amount string, transaction_type string, status string",
+    )
+    cols = [c for c in jobs.read_raw(spark, tmp_dir).columns if c != jobs.CORRUPT_COLUMN]
+    raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in cols]).write.option(
+        "header", "true"
+    ).csv(f"{tmp_dir}/raw")
+    jobs.ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/b", f"{tmp_dir}/q")
+    b, q = (spark.read.parquet(f"{tmp_dir}/{x}").collect() for x in "bq")
+    # both sinks hold rows of one reading: they share its time
+    assert (b[0].transaction_id, q[0].transaction_id) == ("t1", "t2")
+    assert b[0].ingestion_timestamp == q[0].ingestion_timestamp
