@@ -135,49 +135,38 @@ def make_state_fn(
             else:
                 state.remove()
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
+        frames = [f for f in pdfs if len(f)]
+        if not frames:
             return
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         us = pdf["created_at"].to_numpy().astype("datetime64[us]").astype("int64")
-        pdf = pdf.assign(_us=us).sort_values(["_us", "transaction_id"], kind="mergesort")
+        ids = pdf["transaction_id"].tolist()
+        order = sorted(range(len(pdf)), key=lambda i: (us[i], ids[i]))
+        pdf, us, ids = pdf.take(order), us[order], [ids[i] for i in order]
         wm_us = int(state.getCurrentWatermarkMs()) * 1000
-        seen = st["s"]
-        dup = pdf["transaction_id"].isin(list(seen.keys())) | pdf["transaction_id"].duplicated(keep="first")
+        seen, merchants = st["s"], st["m"]
+        live, is_new = np.zeros(len(pdf), bool), np.zeros(len(pdf), bool)
+        for i, (one, merchant, at) in enumerate(zip(ids, pdf["merchant_id"].tolist(), us.tolist())):
+            if one in seen:
+                continue
+            seen[one], live[i] = at, True
+            if isinstance(merchant, str):
+                # new: no sighting at this merchant so far (within the horizon, if set)
+                before = merchants.get(merchant)
+                is_new[i] = before is None or (MH is not None and before <= at - MH)
+                merchants[merchant] = at if before is None else max(at, before)
         # a re-delivered id was already scored: report it as a duplicate even when it is also late
-        late = ((pdf["_us"] < wm_us) & ~dup) if wm_us > 0 else pd.Series(False, index=pdf.index)
-        live = ~dup
+        late = live & (us < wm_us) & (wm_us > 0)
         # velocity: events of this account in (t - W, t), history + this batch
-        hist = np.asarray(sorted(st["t"]), dtype="int64")
-        cur = pdf.loc[live, "_us"].to_numpy(dtype="int64")
-        allt = np.sort(np.concatenate([hist, cur]))
-        recent = np.searchsorted(allt, cur, side="left") - np.searchsorted(allt, cur - W, side="right")
-        # new merchant: no earlier sighting at this merchant (within the horizon, if set)
-        merch: dict = st["m"]
-        lv = pdf.loc[live, ["merchant_id", "_us"]]
-        m = lv["merchant_id"]
-        prev = lv.groupby("merchant_id", sort=False)["_us"].shift(1).astype("float64")
-        in_state = m.map(lambda k: merch.get(k, np.nan) if isinstance(k, str) else np.nan).astype("float64")
-        prev = prev.fillna(in_state)  # float64 micros are exact for 285 years
-        is_new = m.notna() & (prev.isna() if MH is None else (prev.isna() | (prev <= lv["_us"] - MH)))
-        out = pdf.copy()
-        out["recent_count"] = 0
-        out["is_new_merchant"] = False
-        out.loc[live, "recent_count"] = recent.astype("int32")
-        out.loc[live, "is_new_merchant"] = is_new.to_numpy()
-        out["is_late"] = late.to_numpy()
-        out["is_duplicate"] = dup.to_numpy()
-        # update bounded state
-        top = int(allt.max()) if allt.size else 0
-        st["t"] = allt.tolist()
-        for mid, u in zip(m, cur):
-            if mid is not None and mid == mid:  # skip NULL / NaN
-                merch[str(mid)] = max(int(u), merch.get(str(mid), int(u)))
-        for i, u in zip(pdf.loc[live, "transaction_id"], cur):
-            seen[str(i)] = int(u)
+        cur = us[live]
+        times = np.sort(np.concatenate([np.array(st["t"], dtype="int64"), cur]))
+        recent = np.zeros(len(pdf), dtype="int32")
+        recent[live] = np.searchsorted(times, cur, side="left") - np.searchsorted(times, cur - W, side="right")
+        top = int(times[-1]) if len(times) else 0
+        st["t"] = times.tolist()
         state.update((json.dumps(prune(st, max(wm_us, top - delay), top)),))
         state.setTimeoutDuration(idle_timeout_ms)
-        out["recent_count"] = out["recent_count"].astype("int32")
-        yield out[STATEFUL_FIELDS + ["recent_count", "is_new_merchant", "is_late", "is_duplicate"]]
+        yield pdf[STATEFUL_FIELDS].assign(recent_count=recent, is_new_merchant=is_new, is_late=late, is_duplicate=~live)
 
     return fn
 
