@@ -7,8 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,9 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="ledgerline-test-", dir="/tmp")
-
-
-def rows(df, *cols):
-    """Collect a small test frame as a list of dicts (sorted for stable asserts)."""
-    sel = df.select(*cols) if cols else df
-    return [r.asDict() for r in sel.collect()]
