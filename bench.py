@@ -10,7 +10,8 @@ cold pass (first execution of each plan shape in a fresh JVM: includes
 code generation and JIT warm-up) and a warm pass (steady state, as on a
 long-running cluster).  ``value`` is the warm total; the cold per-query
 times are reported alongside under ``cold``.  BENCH_PASSES=1 runs the cold
-pass only.
+pass only; with more than two passes, the warm times are medians of all but
+the cold one.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -63,7 +65,8 @@ def main() -> None:
         return times
 
     cold = run_pass()
-    warm = run_pass() if passes > 1 else cold
+    warms = [run_pass() for _ in range(passes - 1)] or [cold]
+    warm = {name: round(statistics.median(w[name] for w in warms), 3) for name in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(

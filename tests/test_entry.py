@@ -49,6 +49,11 @@ PARITY = [
     "quarantine_distinct",
     "executive_summary_10d",
     "daily_kpis_later",
+    "job_run_events",
+    "job_dq_results",
+    "job_incremental_silver",
+    "job_incremental_fact",
+    "audit_after_retry",
 ]
 
 
