@@ -15,6 +15,10 @@ earliest occurrence stays.
 4. A match extends both ways as long as neighbouring runs match as well: later
    runs that overlap or touch merge into maximal spans, and their lines go.
 
+With ``short_words``, runs of fewer than ``window`` lines are fingerprinted too
+if they hold at least so many words or are a whole document (compared with
+whole documents), and go through the same steps.
+
 Nothing is joined pairwise: every occurrence is compared with the first one of
 its content.  Defined results: a null text stays null and has no lines; an
 empty text is one empty line; rows with a null doc_id come after all others;
@@ -30,6 +34,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 WINDOW = 3
+#: Words from which a run of fewer than WINDOW lines counts as a passage.
+SHORT_WORDS = 50
+WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["no_id", "id", "row_key"]
 
 
@@ -45,25 +52,51 @@ def _lines(text):
     return F.split(text, "\n", -1)
 
 
-def line_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Every run of ``window`` lines: its row's key, first line (from 0), line hashes, and fingerprint with position."""
-    hashed = docs.where(docs[text_col].isNotNull()).select(
-        *_keys(docs[id_col], docs[text_col]), F.transform(_lines(docs[text_col]), lambda x: F.xxhash64(x)).alias("hashes")
-    )
-    starts = F.sequence(F.lit(0), F.size("hashes") - window)
+def _starts(n: int, window: int, short_words: int | None):
+    """(start, n) of the runs of ``n`` lines that are fingerprinted: all of ``window`` lines; of the shorter ones those of
+    ``short_words`` words or more with a line of fewer (else the lines are found by themselves), and whole documents."""
+    starts = F.sequence(F.lit(0), F.size("hashes") - n)
+    if n < window:
+        words = lambda i: F.slice("words", i + 1, n)
+        total = lambda i: F.aggregate(words(i), F.lit(0), lambda a, x: a + x)
+        needed = lambda i: F.exists(words(i), lambda x: x < short_words) if n > 1 else F.lit(True)
+        whole = (F.size("hashes") == n) & ~F.col("blank")
+        starts = F.filter(starts, lambda i: whole | ((total(i) >= short_words) & needed(i)))
+    found = F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(n).alias("n")))
+    return F.when(F.size("hashes") >= n, found).otherwise(F.array().cast("array<struct<start:int,n:int>>"))
+
+
+def line_runs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, short_words: int | None = None
+) -> DataFrame:
+    """Every run of ``window`` lines: its row's key, first line (from 0), line hashes, and fingerprint with position.
+
+    With ``short_words`` also the shorter runs of so many words and the whole documents of fewer lines.
+    """
+    text = docs[text_col]
+    lines = {"hashes": F.transform(_lines(text), lambda x: F.xxhash64(x))}
+    if short_words is not None:
+        lines |= {"words": F.transform(_lines(text), lambda x: F.regexp_count(x, F.lit(WORD))), "blank": text == ""}
+    hashed = docs.where(text.isNotNull()).select(*_keys(docs[id_col], text), *(c.alias(k) for k, c in lines.items()))
+    sizes = [window] if short_words is None else range(1, window + 1)
     runs = (
-        hashed.where(F.size("hashes") >= window)
-        .select(*KEY, "hashes", F.explode(starts).alias("start"))
-        .select(*KEY, "start", F.slice("hashes", F.col("start") + 1, F.lit(window)).alias("run"))
+        hashed.select(*KEY, "hashes", F.explode(F.concat(*(_starts(n, window, short_words) for n in sizes))).alias("at"))
+        .select(*KEY, "at.start", F.slice("hashes", F.col("at.start") + 1, F.col("at.n")).alias("run"))
     )
     least = F.array_min("run")
     last = F.lit(window) - F.array_position(F.reverse("run"), least)
-    return runs.withColumns({"fingerprint": least, "position": (F.col("start") + last).cast("int")})
+    short = F.size("run") < window
+    return runs.withColumns({
+        "fingerprint": F.when(short, F.xxhash64("run")).otherwise(least),
+        "position": F.when(short, F.col("start")).otherwise((F.col("start") + last).cast("int")),
+    })
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, short_words: int | None = None
+) -> DataFrame:
     """Per row with deleted lines: its key and ``spans``, ascending (start, end) of lines from 0, end exclusive."""
-    runs = cut(line_runs(docs, id_col, text_col, window), "line-runs")
+    runs = cut(line_runs(docs, id_col, text_col, window, short_words), "line-runs")
     places = runs.select("fingerprint", *KEY, "position").distinct()
     repeated = cut(places.groupBy("fingerprint").count().where("count > 1").select("fingerprint"), "line-fingerprints")
     candidates = runs.join(repeated, "fingerprint")
@@ -72,14 +105,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         candidates.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"),
         "line-first",
     )
-    later = candidates.join(first, "run").where(place > F.col("first")).select(*KEY, "start").distinct()
+    later = (
+        candidates.join(first, "run")
+        .where(place > F.col("first"))
+        .groupBy(*KEY, "start")
+        .agg((F.col("start") + F.max(F.size("run"))).alias("end"))
+    )
     by_row = Window.partitionBy(*KEY).orderBy("start")
-    island = F.when(F.col("start") > F.lag("start").over(by_row) + window, 1).otherwise(0)
+    reached = F.max("end").over(by_row.rowsBetween(Window.unboundedPreceding, -1))
     spans = (
-        later.withColumn("new", island)
+        later.withColumn("new", F.when(F.col("start") > reached, 1).otherwise(0))
         .withColumn("island", F.sum("new").over(by_row))
         .groupBy(*KEY, "island")
-        .agg(F.min("start").alias("start"), (F.max("start") + window).alias("end"))
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
     )
     return spans.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
@@ -92,9 +130,11 @@ def _kept(lines, spans):
     return F.array_join(F.flatten(gaps), "\n")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, short_words: int | None = None
+) -> DataFrame:
     """``row`` (all columns of docs, with the text's kept lines), n_lines and n_removed of every row."""
-    spans = repeated_spans(docs, id_col, text_col, window)
+    spans = repeated_spans(docs, id_col, text_col, window, short_words)
     rows = docs.select(F.struct("*").alias("row"), *_keys(docs[id_col], docs[text_col]))
     joined = rows.join(spans, KEY, "left")
     text = F.col(f"row.`{text_col}`")

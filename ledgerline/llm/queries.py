@@ -25,6 +25,11 @@ def q_line_dedup(spark, sf_dir):
     return out.select("row.doc_id", "n_lines", "n_removed", "row.text")
 
 
+def q_line_dedup_short(spark, sf_dir):
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), short_words=line_dedup.SHORT_WORDS)
+    return out.select("row.doc_id", "n_lines", "n_removed", "row.text")
+
+
 def q_quality_classifier(spark, sf_dir):
     return quality.score_documents(read_table(spark, sf_dir, "documents"))
 
@@ -78,3 +83,6 @@ QUERIES = {
     "op9_sharding": q_sharding,
     "op10_token_counts": q_token_counts,
 }
+
+#: Operators that do more than the SQL of the query they are named after.
+VARIANTS = {"op1_line_dedup_short": q_line_dedup_short}
