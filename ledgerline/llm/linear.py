@@ -26,14 +26,15 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit(rows: Rows, target: np.ndarray, size: int, l2: float, rounds: int = 300, rate: float = 0.3) -> tuple[np.ndarray, float]:
-    """Weights and bias, by full-batch gradient steps with per-weight step sizes (Adam)."""
+def fit(rows: Rows, target: np.ndarray, size: int, l2: float, rounds: int = 300, rate: float = 0.3, counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias, by full-batch gradient steps with per-weight step sizes (Adam); row i stands for ``counts[i]`` equal ones."""
     if not len(rows):
         return np.zeros(size), 0.0
+    counts = np.ones(len(rows)) if counts is None else counts
     w = np.zeros(size + 1)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
-        error = (sigmoid(rows.dot(w[:-1]) + w[-1]) - target) / len(rows)
+        error = (sigmoid(rows.dot(w[:-1]) + w[-1]) - target) * counts / counts.sum()
         g = np.append(rows.back(error, size) + l2 * w[:-1], error.sum())
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g

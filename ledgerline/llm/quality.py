@@ -24,7 +24,7 @@ from . import linear
 from .common import chunks, column, id_text, lists, sampled, utf8
 from .label_model import LabelModel, decode, encode
 
-#: Documents (expected number) that the scorer is fitted on.
+#: Distinct documents (expected number at most) that the scorer is fitted on, each with the number of its rows.
 SAMPLE_ROWS = 8000
 BUCKETS = 1 << 16
 FEW_WORDS = 5
@@ -169,8 +169,11 @@ def _sample_rows(batches):
             at, index, value = features(d, o)
             n = np.diff(at)
             yield pa.record_batch(
-                [column(b, "key").slice(lo, hi - lo), pa.array(encode(votes(d, o))), lists(index, n, pa.int64()), lists(value, n, pa.float64())],
-                names=["key", "code", "index", "value"],
+                [
+                    *(column(b, k).slice(lo, hi - lo) for k in ("key", "n")),
+                    pa.array(encode(votes(d, o))), lists(index, n, pa.int64()), lists(value, n, pa.float64()),
+                ],
+                names=["key", "n", "code", "index", "value"],
             )
 
 
@@ -198,7 +201,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
     key = F.xxhash64("doc_id", "text")
     share = min(1.0, sample_rows / int(combos[:, 1].sum()))
     sample = texts.select("text", key.alias("key")).where(sampled(F.col("key"), share))
-    rows = sample.mapInArrow(_sample_rows, "key bigint, code bigint, index array<bigint>, value array<double>").collect()
+    sample = sample.groupBy("key", "text").agg(F.count("*").alias("n"))  # equal rows are one with their number
+    rows = sample.mapInArrow(_sample_rows, "key bigint, n bigint, code bigint, index array<bigint>, value array<double>").collect()
     rows.sort(key=lambda r: (r["key"], r["code"]))
     at = np.concatenate(([0], np.cumsum([len(r["index"]) for r in rows]))).astype(np.int64)
     sparse = linear.Rows(
@@ -207,7 +211,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer:
         np.array([v for r in rows for v in r["value"]], float),
     )
     target = model.posterior(decode(np.array([r["code"] for r in rows], np.int64), model.voters).astype(np.int64))
-    weights, bias = linear.fit(sparse, target, BUCKETS, L2)
+    weights, bias = linear.fit(sparse, target, BUCKETS, L2, counts=np.array([r["n"] for r in rows], float))
     return Scorer(weights, bias, model)
 
 

@@ -29,7 +29,7 @@ from . import linear
 from .common import chunks, column, cut, id_text, lists, sampled, utf8
 from .label_model import LabelModel, decode, encode
 
-#: Labelled documents (expected number) that the lexicon and the classifier are fitted on.
+#: Distinct labelled documents (expected number at most) that the lexicon and the classifier are fitted on.
 TRAIN_ROWS = 20_000
 FOLDS = 5
 #: Features in the lexicon at most; a feature needs LEAST_ROWS toxic rows and LEAST_SHARE of its rows toxic.
@@ -123,12 +123,12 @@ def _parts(batch):
 def _label_counts(batches):
     """Features of labelled texts, counted per task before they are shuffled."""
     for b in batches:
-        toxic = column(b, "toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+        rows, toxic = (column(b, k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("n", "toxic"))
         for lo, hi, data, off in _parts(b):
             at, h, k = features(data, off)
-            y = np.repeat(toxic[lo:hi], np.diff(at))
+            x, y = (np.repeat(c[lo:hi], np.diff(at)) for c in (rows, toxic))
             u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            n, ones = np.bincount(inverse), np.bincount(inverse, y).astype(np.int64)
+            n, ones = (np.bincount(inverse, c).astype(np.int64) for c in (x, y))
             yield pa.record_batch(
                 [pa.array(u.view(np.int64)), pa.array(k[first]), pa.array(n), pa.array(ones)], names=["h", "kind", "n", "toxic"]
             )
@@ -157,8 +157,8 @@ def _train_rows(lexicon):
                 at, found = lexicon.find(*features(data, off)[:2])
                 codes = encode(votes(data, off, at, found, lexicon))
                 yield pa.record_batch(
-                    [column(b, "key").slice(lo, hi - lo), pa.array(codes), lists(found, np.diff(at), pa.int64())],
-                    names=["key", "code", "index"],
+                    [*(column(b, k).slice(lo, hi - lo) for k in ("key", "n")), pa.array(codes), lists(found, np.diff(at), pa.int64())],
+                    names=["key", "n", "code", "index"],
                 )
 
     return run
@@ -179,19 +179,24 @@ def held_out(doc_id):
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """key, text, toxic of a bounded sample of the labelled rows outside the held-out fold."""
+    """key, text, n, toxic of a sample of the labelled rows outside the held-out fold: equal ones are one row that stands for n,
+    of which ``toxic`` are toxic."""
     mine = labels.select(labels["doc_id"].cast("bigint").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     mine = mine.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     key = F.xxhash64("doc_id")
     n = mine.count()
     share = min(1.0, train_rows / max(1, n))
     sample = mine.withColumn("key", key).where(sampled(F.col("key"), share))
-    # at most about train_rows rows, whatever the tables
-    return id_text(docs).join(F.broadcast(sample), "doc_id").select("key", "text", "toxic")
+    sample = sample.groupBy("doc_id", "key").agg(F.count("*").alias("labels"), F.sum("toxic").alias("ones"))
+    joined = id_text(docs).join(F.broadcast(sample), "doc_id").groupBy("key", "labels", "ones", "text").agg(F.count("*").alias("rows"))
+    return joined.select("key", "text", (F.col("labels") * F.col("rows")).alias("n"), (F.col("ones") * F.col("rows")).alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Scorer:
     train = cut(training_texts(docs, labels, train_rows), "toxicity-train")
+    n = train.count()
+    if n > train_rows * 1.1:  # ids that many different texts share: sampled by text too (1.1: chance alone stays below)
+        train = train.where(sampled(F.xxhash64("key", "text"), train_rows / n))
     counted = (
         train.mapInArrow(_label_counts, "h bigint, kind bigint, n bigint, toxic bigint")
         .groupBy("h")
@@ -213,12 +218,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Sco
         return Scorer(lexicon, model, np.zeros(len(counted)), -4.0)
     combos = combos[np.argsort(combos[:, 0])]
     model.fit(decode(combos[:, 0], VOTERS), combos[:, 1])
-    rows = train.mapInArrow(_train_rows(lexicon), "key bigint, code bigint, index array<bigint>").collect()
-    rows.sort(key=lambda r: (r["key"], r["code"], r["index"]))
+    rows = train.mapInArrow(_train_rows(lexicon), "key bigint, n bigint, code bigint, index array<bigint>").collect()
+    rows.sort(key=lambda r: (r["key"], r["code"], r["index"], r["n"]))
     at = np.concatenate(([0], np.cumsum([len(r["index"]) for r in rows]))).astype(np.int64)
     index = np.array([i for r in rows for i in r["index"]], np.int64)
     target = model.posterior(decode(np.array([r["code"] for r in rows], np.int64), VOTERS).astype(np.int64))
-    weights, bias = linear.fit(linear.Rows(at, index, np.ones(len(index))), target, len(counted), L2)
+    weights, bias = linear.fit(linear.Rows(at, index, np.ones(len(index))), target, len(counted), L2, counts=np.array([r["n"] for r in rows], float))
     return Scorer(lexicon, model, weights, bias)
 
 
