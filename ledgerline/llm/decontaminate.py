@@ -14,7 +14,8 @@ Items go to the documents in blocks of bounded size, one search job a block;
 a benchmark of any size is searched in full.
 
 Defined results: null ids match nothing and are not reported; a null or empty
-text has no shingles; items of fewer than ``shingle`` words match nothing;
+text has no shingles; items of fewer than ``shingle`` words match nothing
+(``unsearchable`` returns their ids);
 items that share an id are one item each, repeated rows count once; empty
 tables give no rows; columns other than ids and texts are not read.
 """
@@ -185,6 +186,13 @@ def contamination_pairs(
     )
 
 
+def unsearchable(items: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """Distinct item_id of the items that match nothing, as their texts have fewer than ``shingle`` words or are null."""
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    found = id_text(items, "item_id").where(F.col("doc_id").isNotNull() & (words < shingle))
+    return found.select(F.col("doc_id").alias("item_id")).distinct()
+
+
 def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """Per contaminated document: doc_id, sorted item_ids, and the best containment."""
     return (
