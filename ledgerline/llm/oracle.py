@@ -65,10 +65,62 @@ SELECT doc_id, item_id, common AS n_common, n AS n_shingles, common / n AS conta
 FROM pairs JOIN sizes USING (item_id) WHERE common >= ceil(0.8 * n - 1e-9)
 """
 
+FILTER_AUDIT = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+failures AS (
+  SELECT d.part, coalesce(m.good, false) AS good, coalesce(m.bad, false) AS bad,
+         [len(words) < 100,
+          100 * len(list_distinct(words)) < 80 * len(words),
+          100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 10 * length(body),
+          regexp_matches(body, '[#$%&*|]'),
+          coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY body), false)] AS f
+  FROM docs d LEFT JOIN marks m ON d.doc_id = m.doc_id
+),
+groups AS (SELECT part, good, bad, f, count(*) AS n FROM failures GROUP BY ALL),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+steps AS (
+  SELECT array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, s AS step,
+         o[1:s - 1] AS earlier, o[s] AS own
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS t(s)
+),
+judged AS (
+  SELECT part, filter_order, step, own, n, good, bad, f[own] AS fails,
+         len(list_filter(earlier, lambda i: f[i])) > 0 AS gone,
+         len(list_filter(f, lambda x: x)) = 1 AS single
+  FROM groups, steps
+),
+sums AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND fails), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails AND single), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (NOT gone AND fails AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (NOT gone AND fails AND bad), 0) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM sums
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op6_decontamination": DECONTAMINATION,
+    "op13_filter_interaction_audit": FILTER_AUDIT,
 }
 
 LINE_DEDUP_SHORT = r"""

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    filter_audit,
     fingerprints,
+    importance,
+    language,
     line_dedup,
     packing,
     quality,
@@ -71,6 +74,19 @@ def q_token_counts(spark, sf_dir):
     )
 
 
+def q_language_id(spark, sf_dir):
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+def q_importance_resampling(spark, sf_dir):
+    out = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def q_filter_interaction_audit(spark, sf_dir):
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_line_dedup": q_line_dedup,
     "op2_quality_classifier": q_quality_classifier,
@@ -82,6 +98,9 @@ QUERIES = {
     "op8_simhash_near_dedup": q_simhash_near_dedup,
     "op9_sharding": q_sharding,
     "op10_token_counts": q_token_counts,
+    "op11_language_id": q_language_id,
+    "op12_importance_resampling": q_importance_resampling,
+    "op13_filter_interaction_audit": q_filter_interaction_audit,
 }
 
 #: Operators that do more than the SQL of the query they are named after.
