@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite, load_thresholds
 from ..operators import alarms, dims, etl, fraud, governance, quality, reports
+from ..operators.fact_table import FactTable
 from ..session import drop_at_exit, qualified, scratch_path, shared_table
 from ..sources import fixtures as fx
 from ..streaming import fraud_stream
@@ -309,6 +310,36 @@ def q_fact_insert_half(spark, sf_dir):
     return etl.upsert_insert_half(*upsert_pair(spark, sf_dir))
 
 
+FACT_BUCKETS = 64
+
+
+def merged_fact(spark, sf_dir) -> FactTable:
+    """Target, staging and a few corrections, merged one after another."""
+    root = scratch_path(spark, "fact-table")
+    drop_at_exit(spark, root)
+    table = FactTable(spark, root, buckets=FACT_BUCKETS)
+    target, staging = upsert_pair(spark, sf_dir)
+    for k, silver in enumerate((target, staging, _silver_of(fx.corrections_raw(spark, sf_dir))), 1):
+        table.merge(etl.conform_fact(silver).drop(*RUN_COLUMNS), run_id=f"run-{k}", dedupe=False)
+    return table
+
+
+def q_fact_merge(spark, sf_dir):
+    """SNK5/JOIN1/JOIN2: the fact after three merges."""
+    return merged_fact(spark, sf_dir).read()
+
+
+def q_fact_merge_loads(spark, sf_dir):
+    """A row per merge: rows, and files read, rewritten and kept under their names."""
+    table = merged_fact(spark, sf_dir)
+    kept = [table.manifest(v).join(table.manifest(v - 1).select("file"), "file").count() for v in (1, 2, 3)]
+    kept = F.element_at(F.array(*map(F.lit, kept)), F.col("version")).cast("int")
+    return table.loads().select(
+        "version", "run_id", "staged", "updated", "inserted", "copied", "files_before", "files_rewritten", "files_written",
+        kept.alias("files_kept"), (F.col("files_read") >= F.col("files_rewritten")).alias("no_file_missed"),
+    )
+
+
 # ---------------------------------------------------------------- dimensions, governance, alarms
 def q_dim_date(spark, sf_dir):
     return dims.dim_date_for(fx.ledger(spark, sf_dir))
@@ -524,6 +555,18 @@ def q_job_dq_results(spark, sf_dir):
     return _dq_out(rows)
 
 
+def q_job_dq_history(spark, sf_dir):
+    """SNK10: the results of two datasets on two days, one of them run again."""
+    root = job_layers(spark, sf_dir, "transform")
+    runs = (("silver", "2024-01-30"), ("bronze", "2024-01-31"), ("silver", "2024-01-31"), ("silver", "2024-01-30"))
+    for dataset, day in runs:
+        jobs.validate_job(spark, f"{root}/{dataset}", f"{root}/dq", dataset, run_date=day)
+    rows = spark.read.schema("idx int, expectation string, success boolean, dataset string, run_date date").json(f"{root}/dq/results")
+    return rows.groupBy("dataset", "run_date").agg(
+        F.count("*").alias("checks"), F.count_if("success").alias("passed"), F.count_distinct("idx").alias("distinct_checks")
+    )
+
+
 def q_job_dq_metrics(spark, sf_dir):
     """JOB5/SNK11: the metrics of silver's validation, without their time."""
     return spark.read.parquet(f"{job_validation(spark, sf_dir)}/metrics").drop("ts")
@@ -666,6 +709,8 @@ QUERIES: dict[str, Query] = {
     "fact_upsert": q_fact_upsert,
     "fact_update_half": q_fact_update_half,
     "fact_insert_half": q_fact_insert_half,
+    "fact_merge": q_fact_merge,
+    "fact_merge_loads": q_fact_merge_loads,
     "dim_date": q_dim_date,
     "dim_merchants": q_dim_merchants,
     "dim_fraud_alerts": q_dim_fraud_alerts,
@@ -689,6 +734,7 @@ QUERIES: dict[str, Query] = {
     "job_ingestion_metadata": q_job_ingestion_metadata,
     "job_run_events": q_job_run_events,
     "job_dq_results": q_job_dq_results,
+    "job_dq_history": q_job_dq_history,
     "job_dq_metrics": q_job_dq_metrics,
     "job_incremental_bronze": q_job_incremental_bronze,
     "job_incremental_quarantine": q_job_incremental_quarantine,

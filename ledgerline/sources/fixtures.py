@@ -105,6 +105,14 @@ V_ORDER = ("l_shipdate", "l_partkey", "l_suppkey")  # all descending
 UPSERT_TARGET_PRED = "event_id % 5 <> 0"
 UPSERT_STAGING_PRED = "event_id % 5 in (0, 1)"
 
+# ---- corrections of few rows, after the upsert pair --------------------------------------
+CORRECTED = "event_id % 499 = 1"
+_CORRECTED = {
+    "amount": "cast(cast(value as decimal(18,2)) * 100 + 3.50 as decimal(18,2))",
+    "updated_at": "cast(ts as timestamp) + interval 2 hour",
+}
+T_CORRECTED_EXPRS = [(c, _CORRECTED.get(c, e)) for c, e in T_EXPRS]
+
 # ---- second delivery of T for the jobs: later versions on another date or none, and rows as they were ----
 REDELIVERED_LATER = "event_id % 7 = 2"
 REDELIVERED_SAME = "event_id % 7 = 3"
@@ -170,6 +178,12 @@ def upsert_staging_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corrections_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrected versions of a few rows of T."""
+    use_utc(spark)
+    return _select(table(spark, sf_dir, "events").where(CORRECTED), T_CORRECTED_EXPRS)
+
+
 def redelivered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later versions of some rows of T, and some rows as they were."""
     events = table(spark, sf_dir, "events")
