@@ -608,9 +608,12 @@ def q_fraud_stream(spark, sf_dir):
     return _scores(fraud_stream.read_output(spark, out, "scored"))
 
 
-def stream_deliveries(spark, sf_dir) -> str:
+def stream_deliveries(spark, sf_dir, long_after: bool = False) -> str:
     """Silver T in three deliveries with out-of-order, late, re-delivered and broken
-    records, each one run of the scoring job; the folder of its outputs."""
+    records, each one run of the scoring job; the folder of its outputs.
+
+    With ``long_after`` the alerts are compacted then, and a fourth delivery brings rows of the first one again.
+    """
     root = scratch_path(spark, "fraud-deliveries")
     drop_at_exit(spark, root)
     arrivals = (
@@ -636,6 +639,14 @@ def stream_deliveries(spark, sf_dir) -> str:
             spark, f"{root}/source", f"{root}/out", f"{root}/checkpoint",
             thresholds=ORACLE_THRESHOLDS, watermark=fx.STREAM_WATERMARK,
         )
+    if long_after:
+        fraud_stream.alert_store(spark, f"{root}/out").compact()
+        again = fraud_stream.encode_payloads(rows.where(fx.STREAM_LONG_AFTER))
+        again.write.mode("append").json(f"{root}/source")
+        fraud_stream.run_available_now(
+            spark, f"{root}/source", f"{root}/out", f"{root}/checkpoint",
+            thresholds=ORACLE_THRESHOLDS, watermark=fx.STREAM_WATERMARK,
+        )
     return f"{root}/out"
 
 
@@ -649,6 +660,40 @@ def q_fraud_stream_alerts(spark, sf_dir):
     return fraud_stream.read_output(spark, stream_deliveries(spark, sf_dir), "alerts").drop("batch_id")
 
 
+def q_alert_store(spark, sf_dir):
+    """SNK6/STR5: one alert per transaction, also where it came again after its account's state forgot it."""
+    return fraud_stream.alert_store(spark, stream_deliveries(spark, sf_dir, long_after=True)).read()
+
+
+def q_alert_store_alive(spark, sf_dir):
+    """STR7: the alerts that are left after a compaction that drops those past their time to live."""
+    out = stream_deliveries(spark, sf_dir)
+    store = fraud_stream.alert_store(spark, out)
+    store.compact(RETENTION_AS_OF)
+    store.vacuum()
+    return store.read()
+
+
+def refuses_some(message_id: str, payload: str, attempt: int) -> None:
+    """A receiver that is down for some messages at first and never takes some others."""
+    if int(message_id) % 9 == 0 or (attempt == 1 and int(message_id) % 3 == 0):
+        raise ConnectionError(f"refused at attempt {attempt}")
+
+
+def q_notification_outbox(spark, sf_dir):
+    """SNK7: notifications after three rounds of sending, with their attempts and last errors."""
+    root = scratch_path(spark, "outbox")
+    drop_at_exit(spark, root)
+    box = fraud_stream.Outbox(spark, root, most=3)
+    box.put(fraud.fraud_notifications(fraud.fraud_alerts(scored_t(spark, sf_dir))), "transaction_id", 0)
+    for _ in range(4):
+        box.deliver(refuses_some)
+    return box.state().select(
+        "message_id", "attempts", "delivered", "last_error", F.get_json_object("payload", "$.subject").alias("subject"),
+        F.get_json_object("payload", "$.attr_action").alias("action"),
+    )
+
+
 def q_fraud_stream_rejects(spark, sf_dir):
     """Dead letters (SNK9), and the late and re-delivered records."""
     out = stream_deliveries(spark, sf_dir)
@@ -744,4 +789,7 @@ QUERIES: dict[str, Query] = {
     "fraud_stream_batches": q_fraud_stream_batches,
     "fraud_stream_alerts": q_fraud_stream_alerts,
     "fraud_stream_rejects": q_fraud_stream_rejects,
+    "alert_store": q_alert_store,
+    "alert_store_alive": q_alert_store_alive,
+    "notification_outbox": q_notification_outbox,
 }

@@ -11,6 +11,7 @@ repartition by date is used (one hot date would otherwise land in one task).
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -30,6 +31,17 @@ from ..sources.generator import generate
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+log = logging.getLogger(__name__)
+
+
+def _aside(name: str, write) -> None:
+    """A record about the run that can't be written is logged: the run's data stand without it."""
+    try:
+        write()
+    except Exception as e:  # noqa: BLE001
+        log.error("%s not written: %s", name, e)
+
+
 @contextmanager
 def _recorded(
     spark: SparkSession,
@@ -51,11 +63,10 @@ def _recorded(
     finally:
         if audit_path:
             totals = [counts.get(k, 0) for k in ("records_read", "records_written", "records_quarantined")]
-            governance.append_audit(
-                governance.etl_run_event(spark, f"{stage}-job", run_id, status, *totals, src, dst), audit_path
-            )
+            event = governance.etl_run_event(spark, f"{stage}-job", run_id, status, *totals, src, dst)
+            _aside("audit", lambda: governance.append_audit(event, audit_path))
     if lineage_path:
-        governance.append_lineage(governance.stage_lineage(spark, stage, run_id, src, dst), lineage_path)
+        _aside("lineage", lambda: governance.append_lineage(governance.stage_lineage(spark, stage, run_id, src, dst), lineage_path))
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -206,7 +217,7 @@ def validate_job(
         )
         summary = quality.summarize(results)
         quality.metrics_rows(summary, dataset).write.mode("append").parquet(f"{out_dir}/metrics")
-        governance.append_audit(governance.dq_result_events(results, dataset, run_date), f"{out_dir}/audit")
+        _aside("audit", lambda: governance.append_audit(governance.dq_result_events(results, dataset, run_date), f"{out_dir}/audit"))
         row = summary.first().asDict()  # one row: the suite summary
     finally:
         results.unpersist()

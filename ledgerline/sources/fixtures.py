@@ -142,6 +142,8 @@ STREAM_TWICE = f"({_N} % 19 = 1 and not {STREAM_DELAYED})"
 STREAM_AGAIN = (
     f"({_N} % 19 = 2 and transaction_date in (date '2024-01-10', date '2024-01-20') and not {STREAM_DELAYED})"
 )
+#: Rows of the first delivery that come once more after the last, when no account's state knows their ids any longer.
+STREAM_LONG_AFTER = f"({STREAM_DELIVERY} = 1 and {_N} % 5 = 2 and not {STREAM_DELAYED})"
 #: Broken records that come besides a row, by the remainder of its id: reason and text (none: no base64).
 STREAM_BROKEN = {
     5: ("decode", None),

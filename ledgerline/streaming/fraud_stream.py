@@ -10,7 +10,8 @@ installed).  Two queries share the source:
   recently seen transaction ids (re-delivery) -> the same Column rules as the
   batch path -> ``foreachBatch`` writing scored rows, alerts, notifications
   and late/duplicate rejects, each into a ``batch_id=N`` folder overwritten
-  on replay (idempotent under at-least-once re-execution);
+  on replay (idempotent under at-least-once re-execution); alerts are a keyed
+  store, in which a transaction's first alert stays;
 * the **rejects** query: undecodable base64, malformed JSON and missing ids
   go to the dead-letter sink with their sequence number and reason.
 
@@ -25,6 +26,7 @@ results equal the batch scorer when events arrive in event-time order.
 from __future__ import annotations
 
 import json
+import logging
 from typing import Iterator
 
 import numpy as np
@@ -38,6 +40,10 @@ from .. import config as C
 from ..config import Thresholds, load_thresholds
 from ..operators import fraud, governance
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
+from .keyed_store import KeyedStore
+from .outbox import Outbox
+
+log = logging.getLogger(__name__)
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_OPTS = {"timestampFormat": TS_FORMAT}
@@ -189,36 +195,116 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def make_sink(out_dir: str, thresholds_path: str | None = None):
+ALERT_SCHEMA = (
+    "transaction_id string, detected_at timestamp, account_id string, amount_usd decimal(18,2), action string, "
+    "risk_score decimal(5,4), signals string, triggered_rules string, ttl bigint"
+)
+#: Tries of a micro-batch before its records go to the dead letters.
+BATCH_ATTEMPTS = 3
+
+
+def alert_store(spark: SparkSession, out_dir: str) -> KeyedStore:
+    """SNK6/STR5: the alerts of all batches, the first one of each transaction."""
+    return KeyedStore(spark, f"{out_dir}/alert_store", ALERT_SCHEMA, "transaction_id", ["detected_at"], log=f"{out_dir}/alerts")
+
+
+def outbox(spark: SparkSession, out_dir: str) -> Outbox:
+    """SNK7: notifications and whether they were sent."""
+    return Outbox(spark, f"{out_dir}/outbox")
+
+
+def _record(spark: SparkSession, path: str, **row) -> None:
+    text = {k: str(v)[:2000] for k, v in row.items()}
+    spark.createDataFrame([tuple(text.values())], ", ".join(f"{k} string" for k in text)).write.mode("append").parquet(path)
+
+
+def make_sink(
+    out_dir: str,
+    thresholds_path: str | None = None,
+    thresholds: Thresholds | dict | None = None,
+    publish=None,
+    score=fraud.apply_rules,
+    attempts: int = BATCH_ATTEMPTS,
+    attempts_dir: str | None = None,
+):
     """SNK6-SNK9 in one foreachBatch: scored, alerts, notifications, FRAUD_ALERT audit
     events (AUD2) and late/duplicate rejects.
 
-    With ``thresholds_path`` the rules are applied here, re-reading the
-    thresholds file for every micro-batch (SRC8: thresholds change without a
-    restart); otherwise the batch arrives already scored.
+    With ``thresholds_path`` the thresholds file is read again for every
+    micro-batch (SRC8: thresholds change without a restart).
+
+    Scored rows and alerts are the batch's result: if they fail, the batch fails.
+    A batch that failed ``attempts`` times (counted in ``attempts_dir``, which a
+    restart finds again) is given up: all its sequence numbers go to
+    ``rejects_batch`` with the error, it has no other output, and the stream goes
+    on (STR6).  Notifications go to the outbox and, with ``publish``, are sent
+    from there; a failure there or in the audit is written to ``sink_failures``
+    and leaves the batch whole (SNK7, SNK12).
     """
 
     last: Thresholds | None = None
+    failures = attempts_dir or f"{out_dir}/attempts"
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def aside(spark: SparkSession, batch_id: int, name: str, act) -> None:
+        try:
+            act()
+        except Exception as e:  # noqa: BLE001 - the batch's result stands without this sink
+            log.warning("sink %s of batch %s: %s", name, batch_id, e)
+            _record(spark, f"{out_dir}/sink_failures", batch_id=batch_id, sink=name, error=e)
+
+    def results(batch: DataFrame, batch_id: int) -> DataFrame:
         nonlocal last
         if thresholds_path is not None:
             last = load_thresholds(thresholds_path, last)
-            batch = fraud.apply_rules(batch, last)
-        batch = batch.persist()
+        scored = score(batch.where(~F.col("is_duplicate")), thresholds if thresholds_path is None else last).persist()
         try:
-            scored = batch.where(~F.col("is_duplicate"))
-            alerts = fraud.fraud_alerts(scored)
             _write_batch(scored, f"{out_dir}/scored", batch_id)
-            _write_batch(alerts, f"{out_dir}/alerts", batch_id)
-            _write_batch(fraud.fraud_notifications(alerts), f"{out_dir}/notifications", batch_id)
-            _write_batch(governance.fraud_alert_events(alerts), f"{out_dir}/audit", batch_id)
-            rej = batch.where(F.col("is_late") | F.col("is_duplicate")).select(
-                "sequence_number",
-                "transaction_id",
-                F.when(F.col("is_late"), F.lit("late")).otherwise(F.lit("duplicate")).alias("reason"),
-            )
-            _write_batch(rej, f"{out_dir}/rejects_state", batch_id)
+            alerts = shared_alerts(scored, batch_id)
+        finally:
+            scored.unpersist()
+        rej = batch.where(F.col("is_late") | F.col("is_duplicate")).select(
+            "sequence_number",
+            "transaction_id",
+            F.when(F.col("is_late"), F.lit("late")).otherwise(F.lit("duplicate")).alias("reason"),
+        )
+        _write_batch(rej, f"{out_dir}/rejects_state", batch_id)
+        return alerts
+
+    def shared_alerts(scored: DataFrame, batch_id: int) -> DataFrame:
+        spark = scored.sparkSession
+        alert_store(spark, out_dir).put(fraud.fraud_alerts(scored), batch_id)
+        return spark.read.schema(ALERT_SCHEMA).parquet(f"{out_dir}/alerts/batch_id={batch_id}")
+
+    def give_up(batch: DataFrame, batch_id: int, error: Exception) -> None:
+        spark = batch.sparkSession
+        for name in ("scored", "rejects_state"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{name}/batch_id={batch_id}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        store = alert_store(spark, out_dir)
+        store.put(spark.createDataFrame([], store.schema), batch_id)
+        said = F.lit(str(error)[:2000])
+        _write_batch(batch.select("sequence_number", "transaction_id", said.alias("error")), f"{out_dir}/rejects_batch", batch_id)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            try:
+                alerts = results(batch, batch_id)
+            except Exception as e:  # noqa: BLE001 - counted, and raised again until the attempts are used up
+                tries = f"{failures}/batch_id={batch_id}"
+                _record(spark, tries, error=e)
+                if spark.read.schema("error string").parquet(tries).count() < attempts:
+                    raise
+                log.error("batch %s given up after %s attempts: %s", batch_id, attempts, e)
+                give_up(batch, batch_id, e)
+                return
+            notes = fraud.fraud_notifications(alerts)
+            aside(spark, batch_id, "notifications", lambda: _write_batch(notes, f"{out_dir}/notifications", batch_id))
+            aside(spark, batch_id, "outbox", lambda: outbox(spark, out_dir).put(notes, "transaction_id", batch_id))
+            if publish is not None:
+                aside(spark, batch_id, "publish", lambda: outbox(spark, out_dir).deliver(publish))
+            aside(spark, batch_id, "audit", lambda: _write_batch(governance.fraud_alert_events(alerts), f"{out_dir}/audit", batch_id))
         finally:
             batch.unpersist()
 
@@ -236,6 +322,7 @@ def start_fraud_stream(
     max_files_per_trigger: int | None = 1000,
     watermark: str = "10 minutes",
     thresholds_path: str | None = None,
+    **sink,
 ):
     """Start the scoring and rejects queries; returns both StreamingQuery handles."""
     reader = spark.readStream.schema(STREAM_RECORD_SCHEMA)
@@ -244,7 +331,7 @@ def start_fraud_stream(
     records = reader.json(source_dir)
     parsed = decode_and_parse(records)
     featured = with_account_state(parsed, watermark)
-    scored = featured if thresholds_path is not None else fraud.apply_rules(featured, thresholds)
+    sink.setdefault("attempts_dir", f"{checkpoint_dir}/attempts")
 
     def trig(w):
         if available_now:
@@ -259,7 +346,7 @@ def start_fraud_stream(
     spark.conf.set(key, "false")
     try:
         q1 = trig(
-            scored.writeStream.foreachBatch(make_sink(out_dir, thresholds_path))
+            featured.writeStream.foreachBatch(make_sink(out_dir, thresholds_path, thresholds, **sink))
             .option("checkpointLocation", f"{checkpoint_dir}/scoring")
         ).start()
     finally:
@@ -285,4 +372,7 @@ def run_available_now(spark: SparkSession, source_dir: str, out_dir: str, checkp
 
 
 def read_output(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    return spark.read.option("basePath", f"{out_dir}/{name}").parquet(f"{out_dir}/{name}/batch_id=*")
+    reader = spark.read.option("basePath", f"{out_dir}/{name}")
+    if name == "alerts":  # a batch without alerts has no file
+        reader = reader.schema(ALERT_SCHEMA)
+    return reader.parquet(f"{out_dir}/{name}/batch_id=*").drop("bucket")
