@@ -608,7 +608,7 @@ def q_fraud_stream(spark, sf_dir):
     return _scores(fraud_stream.read_output(spark, out, "scored"))
 
 
-def stream_deliveries(spark, sf_dir, long_after: bool = False) -> str:
+def stream_deliveries(spark, sf_dir, long_after: bool = False, typed_state: bool = False) -> str:
     """Silver T in three deliveries with out-of-order, late, re-delivered and broken
     records, each one run of the scoring job; the folder of its outputs.
 
@@ -637,7 +637,7 @@ def stream_deliveries(spark, sf_dir, long_after: bool = False) -> str:
         fraud_stream.encode_payloads(copies).unionByName(faults).write.mode("append").json(f"{root}/source")
         fraud_stream.run_available_now(
             spark, f"{root}/source", f"{root}/out", f"{root}/checkpoint",
-            thresholds=ORACLE_THRESHOLDS, watermark=fx.STREAM_WATERMARK,
+            thresholds=ORACLE_THRESHOLDS, watermark=fx.STREAM_WATERMARK, typed_state=typed_state,
         )
     if long_after:
         fraud_stream.alert_store(spark, f"{root}/out").compact()
@@ -655,6 +655,12 @@ def q_fraud_stream_batches(spark, sf_dir):
     return _scores(fraud_stream.read_output(spark, stream_deliveries(spark, sf_dir), "scored"), "is_late")
 
 
+def q_fraud_stream_typed(spark, sf_dir):
+    """STR3/STR4/STR7: the same from state variables that are read by key."""
+    out = stream_deliveries(spark, sf_dir, typed_state=True)
+    return _scores(fraud_stream.read_output(spark, out, "scored"), "is_late")
+
+
 def q_fraud_stream_alerts(spark, sf_dir):
     """One alert per fraudulent transaction over all deliveries (SNK6, STR5)."""
     return fraud_stream.read_output(spark, stream_deliveries(spark, sf_dir), "alerts").drop("batch_id")
@@ -787,6 +793,7 @@ QUERIES: dict[str, Query] = {
     "job_incremental_fact": q_job_incremental_fact,
     "fraud_stream": q_fraud_stream,
     "fraud_stream_batches": q_fraud_stream_batches,
+    "fraud_stream_typed": q_fraud_stream_typed,
     "fraud_stream_alerts": q_fraud_stream_alerts,
     "fraud_stream_rejects": q_fraud_stream_rejects,
     "alert_store": q_alert_store,

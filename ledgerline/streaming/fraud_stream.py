@@ -40,6 +40,7 @@ from .. import config as C
 from ..config import Thresholds, load_thresholds
 from ..operators import fraud, governance
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
+from .account_state import AccountProcessor
 from .keyed_store import KeyedStore
 from .outbox import Outbox
 
@@ -177,10 +178,16 @@ def make_state_fn(
     return fn
 
 
-def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", **kw) -> DataFrame:
+def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", typed: bool = False, **kw) -> DataFrame:
+    """Rows with velocity, new merchant, late and duplicate flags; ``typed`` keeps the state in variables that are
+    read by key (``account_state``) instead of one document per account: for accounts with very many merchants."""
     good = parsed.where(F.col("reject_reason").isNull()).select(*STATEFUL_FIELDS)
     good = good.withWatermark("created_at", watermark)
     kw.setdefault("watermark_s", int(pd.Timedelta(watermark).total_seconds()))
+    if typed:
+        return good.groupBy("account_id").transformWithStateInPandas(
+            AccountProcessor(STATEFUL_FIELDS, **kw), _state_output_schema(good.schema), "Append", "ProcessingTime"
+        )
     return good.groupBy("account_id").applyInPandasWithState(
         make_state_fn(**kw),
         _state_output_schema(good.schema),
@@ -322,6 +329,8 @@ def start_fraud_stream(
     max_files_per_trigger: int | None = 1000,
     watermark: str = "10 minutes",
     thresholds_path: str | None = None,
+    typed_state: bool = False,
+    state_options: dict | None = None,
     **sink,
 ):
     """Start the scoring and rejects queries; returns both StreamingQuery handles."""
@@ -330,7 +339,7 @@ def start_fraud_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     records = reader.json(source_dir)
     parsed = decode_and_parse(records)
-    featured = with_account_state(parsed, watermark)
+    featured = with_account_state(parsed, watermark, typed_state, **(state_options or {}))
     sink.setdefault("attempts_dir", f"{checkpoint_dir}/attempts")
 
     def trig(w):
