@@ -24,6 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -237,7 +238,7 @@ def _train_rows(batches):
         for lo, hi, data, off in _parts(b):
             at, index, n = counted(data, off)
             yield pa.record_batch(
-                [*(column(b, k).slice(lo, hi - lo) for k in ("key", "lang")), lists(index, np.diff(at), pa.int64()), lists(n, np.diff(at), pa.int64())],
+                [*(column(b, k).slice(lo, hi - lo) for k in ("key", "lang")), lists(index, np.diff(at), pa.int32()), lists(n, np.diff(at), pa.int32())],
                 names=["key", "lang", "index", "n"],
             )
 
@@ -271,22 +272,24 @@ def training_rows(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Predictor:
     """A predictor fitted on ``docs`` (doc_id, text, lang) outside the held-out fold."""
     sample = cut(training_rows(docs, train_rows), "language-train")
-    rows = sample.mapInArrow(_train_rows, "key bigint, lang string, index array<bigint>, n array<bigint>").collect()
-    rows = sorted((r for r in rows if r["index"]), key=lambda r: (r["key"], r["lang"]))
-    languages = sorted({r["lang"] for r in rows})
+    rows = sample.mapInArrow(_train_rows, "key bigint, lang string, index array<int>, n array<int>").toArrow()
+    rows = rows.filter(pc.greater(pc.list_value_length(rows["index"]), 0)).sort_by([("key", "ascending"), ("lang", "ascending")])
+    names = rows["lang"].to_pylist()
+    languages = sorted(set(names))
     model = Model(languages)
-    if not rows:
+    if not names:
         return Predictor(model)
     number = {x: i for i, x in enumerate(languages)}
-    fold = np.array([r["key"] % 1_000_003 % 5 == 0 for r in rows])
+    label = np.array([number[x] for x in names], np.int64)
+    fold = rows["key"].to_numpy() % 1_000_003 % 5 == 0
     if fold.all():
         fold[:] = False
 
     def sparse(chosen):
-        some = [r for r, c in zip(rows, chosen) if c]
-        at = np.concatenate(([0], np.cumsum([len(r["index"]) for r in some]))).astype(np.int64)
-        index, n = (np.concatenate([np.array(r[k], np.int64) for r in some] or [np.zeros(0, np.int64)]) for k in ("index", "n"))
-        return at, index, n, np.array([number[r["lang"]] for r in some], np.int64)
+        some = rows.filter(pa.array(chosen))
+        at = np.concatenate(([0], np.cumsum(pc.list_value_length(some["index"]).to_numpy()))).astype(np.int64)
+        index, n = (pc.list_flatten(some[k]).to_numpy().astype(np.int64) for k in ("index", "n"))
+        return at, index, n, label[chosen]
 
     model.fit(*sparse(~fold))
     at, index, n, label = sparse(fold)
