@@ -18,13 +18,14 @@ other than the id and the text are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -33,12 +34,13 @@ from .common import chunks, column, cut, id_text, partitions, utf8
 
 CAPACITY = 1024
 END_ID = 2
-#: Text pieces whose ids a Python worker remembers before it starts anew.
-REMEMBERED = 600_000
+#: Characters of a text that are tokenized at a time.
+BLOCK = 1 << 20
 
-
-#: Letters, then marks of ASCII: the tokenizer's pattern makes two pre-tokens of it, " letters" and the marks.
-_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+#: A space between two plain letters starts a pre-token, whatever stands around them: a text can be cut there.
+_SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Fixed value: the pattern of byte-level pre-tokens.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -48,86 +50,60 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
-class SpaceCachedTokenizer:
-    """Ids of whole texts, equal to the tokenizer's own, remembered by text between spaces.
-
-    A byte-level pre-token never holds a space after its first character, so a
-    space that stands between two characters that are not white space always
-    starts one: the ids of such a text are the ids of "first", " second",
-    " third" and so on, one after another.  Other texts are encoded whole.
-    Letters with marks behind them go to the tokenizer's model directly.
+def _by_rank(spec: dict) -> tiktoken.Encoding | None:
+    """The vocabulary as one that merges by rank, if its merges are in the order of the ids that they make."""
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    odd = [spec["normalizer"], *(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))]
+    if model["type"] != "BPE" or any(odd) or pre.get("type") != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"]:
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"][x + y] for x, y in merges]
+    if made != sorted(made):
+        return None
+    byte = {c: b for b, c in _byte_letters().items()}
+    added = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte[c] for c in piece): i for piece, i in model["vocab"].items() if piece not in added}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class RankTokenizer:
+    """Ids of whole texts, equal to the tokenizer's own.
+
+    Byte-pair merges in the order of their ids are merges by rank, which take a
+    fraction of the time.  A text that holds the string of an added token goes
+    to the tokenizer itself, as does every text if the vocabulary is of another
+    kind.  Long texts are tokenized block by block.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, block: int = BLOCK):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.ids = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
-        self.remembered = remembered
-        self.later: dict[str, bytes | None] = {}
-        self.marked: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _pre_token(self, text: str) -> bytes:
-        written = text.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.ids[t.id] for t in self.model.tokenize(written)])
-
-    def _plain(self, text: str, lead: str) -> bytes | None:
-        """Ids of ``lead`` and lines of letters with marks behind them; None if the text is anything else."""
-        out, marked = [], self.marked
-        for line in text.split("\n"):
-            plain = _PLAIN.fullmatch(line)
-            if not plain:
-                return None
-            letters, marks = plain.groups()
-            if letters.isascii():
-                found = self.model.tokenize("\u0120" + letters if lead else letters)
-                out += [self.ids[t.id] for t in found]
-            else:
-                out.append(self._pre_token(lead + letters))
-            for rest in (marks, "\n"):
-                if rest and rest not in marked:
-                    marked[rest] = self._pre_token(rest)
-            if marks:
-                out.append(marked[marks])
-            out.append(marked["\n"])
-            lead = ""
-        return b"".join(out[:-1])
-
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new texts that follow a space; None if they don't start a pre-token there."""
-        other = []
-        for w in words:
-            ids = self.later[w] = self._plain(w, " ")
-            if ids is None and w and not w[0].isspace():
-                other.append(w)
-        self.later.update(zip(other, self._encode([" " + w for w in other])))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_rank = _by_rank(spec)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.block = block
+
+    def _blocks(self, text: str):
+        start = 0
+        while len(text) - start > self.block:
+            found = _SAFE_CUT.search(text, start + self.block)
+            if not found:
+                break
+            yield text[start : found.start()]
+            start = found.start()
+        yield text[start:]
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if self.by_rank is None or any(a in text for a in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(np.array(self.by_rank.encode_ordinary(x), "<u4").tobytes() for x in self._blocks(text))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.later) > self.remembered:
-            self.later, self.marked = {}, {}
-        split = [t.split(" ") for t in texts]
-        words: set[str] = set()
-        words.update(*split)
-        self._learn(words.difference(self.later))
-        get = self.later.__getitem__
-        out: list[bytes] = []
-        for text, parts in zip(texts, split):
-            rest = iter(parts)
-            first = next(rest)
-            ids = self._plain(first, "")
-            try:
-                out.append((self._encode([first])[0] if ids is None else ids) + b"".join(map(get, rest)))
-            except TypeError:  # a None: a space that starts no pre-token
-                out += self._encode([text])
-        return out
-
-
-_tokenizers: dict[str, SpaceCachedTokenizer] = {}
+        return [self.encode(t) for t in texts]
+
+
+_tokenizers: dict[str, RankTokenizer] = {}
 
 
 def _pieces(path, end_id, capacity):
@@ -136,7 +112,7 @@ def _pieces(path, end_id, capacity):
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         if path not in _tokenizers:
-            _tokenizers[path] = SpaceCachedTokenizer(path)
+            _tokenizers[path] = RankTokenizer(path)
         encode = _tokenizers[path]
         for b in batches:
             data, off = utf8(column(b, "text"))

@@ -20,6 +20,7 @@ def odd_rows():
         (8, long), (9, f"before {PASSAGE} after"), (10, f"other {PASSAGE} more words"), (11, f"He said: {ITEM.upper()}"),
         (12, "x\ny\nz\nown line"), (13, "x\ny\nz\nother line"), (13, "x\ny\nz\nother line"), (None, PROSE), (None, None),
         (14, "é漢字 🙂 naïve  double  spaces \n\n end "), (15, "stupid idiot " * 30), (16, "a\na\na\na\na\na"),
+        (17, "one <|endoftext|> two"), (18, " ".join(f"longer-word-{i % 5000}" for i in range(75_000))),
     ]
     return [(i, t, None, "s", None if t is None else len(t), 0, "r", "x", 1) for i, t in texts]
 

@@ -12,6 +12,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerline.llm import (
     decontaminate,
@@ -126,7 +127,7 @@ def test_kept_texts_match_the_digests(odd):
 # ---------------------------------------------------------------- 4 packing
 def test_packing_round_trip(odd, empty):
     rows = packing.pack_documents(odd, VOCABULARY).collect()
-    tokenizer = packing.SpaceCachedTokenizer(VOCABULARY).tokenizer
+    tokenizer = Tokenizer.from_file(VOCABULARY)
     want = []
     for r in odd.collect():
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]
@@ -151,13 +152,34 @@ def test_packing_round_trip(odd, empty):
 
 @settings(deadline=None, max_examples=200)
 @given(st.lists(st.lists(st.sampled_from([*"ab é漢\n\t'!1.sxT\r　🙂", "<|endoftext|>"]), max_size=20).map("".join), max_size=5))
-def test_cached_ids_equal_the_tokenizers(texts):
-    cached = _CACHED
-    want = [e.ids for e in cached.tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in cached(texts)] == want
+def test_ids_equal_the_tokenizers(texts):
+    assert _FAST.by_rank is not None
+    want = [e.ids for e in _FRESH.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in _FAST(texts)] == want
 
 
-_CACHED = packing.SpaceCachedTokenizer(VOCABULARY, remembered=50)
+_FRESH = Tokenizer.from_file(VOCABULARY)
+_FAST = packing.RankTokenizer(VOCABULARY, block=7)
+
+
+def test_ids_of_an_added_token_are_the_contracts():
+    ids = np.frombuffer(packing.RankTokenizer(VOCABULARY).encode("<|endoftext|> hi") + b"\2\0\0\0", "<u4")
+    assert ids.tolist() == [50256, 23105, 2] and zlib.crc32(ids.tobytes()) == 2655354768
+
+
+def test_ids_of_every_code_point_equal_the_tokenizers():
+    fast = packing.RankTokenizer(VOCABULARY)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 50_000):
+        texts = [f"a{c}a 1{c}1 !{c}! {c} {c}{c}  {c}\n{c}" for c in points[lo : lo + 50_000]]
+        want = _FRESH.encode_batch(texts, add_special_tokens=False)
+        assert all(x == np.array(e.ids, "<u4").tobytes() for x, e in zip(fast(texts), want))
+
+
+def test_ids_of_long_texts_equal_the_tokenizers():
+    fast = packing.RankTokenizer(VOCABULARY, block=1000)
+    texts = ["word and 12, then! " * 9000, "a" * 200_000, " " * 100_000 + "x", "é " * 50_000, "^" * 50_000 + "\n" * 5000, "x y" * 70_000]
+    assert [np.frombuffer(x, "<u4").tolist() for x in fast(texts)] == [e.ids for e in _FRESH.encode_batch(texts, add_special_tokens=False)]
 
 
 @settings(deadline=None, max_examples=60)
@@ -375,7 +397,7 @@ def test_parity_with_duckdb(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     cols = [d[0] for d in cur.description]
