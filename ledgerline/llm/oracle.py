@@ -1,17 +1,19 @@
 """DuckDB SQL of the operators that SQL can express."""
 
-LINE_DEDUP = """
+LINE_DEDUP = r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 runs AS (
-  SELECT doc_id, i, lines[i:i + 2] AS run
-  FROM docs, unnest(range(1, len(lines) - 1)) AS t(i)
+  SELECT doc_id, i, k, lines[i:i + k - 1] AS run, k = len(lines) AND text <> '' AS whole
+  FROM docs, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(lines) - k + 2)) AS t(i)
 ),
 later AS (
-  SELECT doc_id, i FROM (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM runs
+  SELECT doc_id, i, k FROM (
+    SELECT doc_id, i, k, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n
+    FROM runs
+    WHERE k = 3 OR whole OR len(regexp_extract_all(array_to_string(run, chr(10)), '[^\x20\x09-\x0D]+')) >= 50
   ) WHERE n > 1
 ),
-gone AS (SELECT doc_id, list(DISTINCT i + k) AS at FROM later, unnest([0, 1, 2]) AS t(k) GROUP BY doc_id)
+gone AS (SELECT doc_id, list(DISTINCT i + j) AS at FROM later, unnest([0, 1, 2]) AS t(j) WHERE j < k GROUP BY doc_id)
 SELECT d.doc_id,
        CAST(coalesce(len(d.lines), 0) AS INTEGER) AS n_lines,
        CAST(coalesce(len(g.at), 0) AS INTEGER) AS n_removed,
@@ -123,27 +125,5 @@ ORACLE = {
     "op13_filter_interaction_audit": FILTER_AUDIT,
 }
 
-LINE_DEDUP_SHORT = r"""
-WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-runs AS (
-  SELECT doc_id, i, k, lines[i:i + k - 1] AS run, k = len(lines) AND text <> '' AS whole
-  FROM docs, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(lines) - k + 2)) AS t(i)
-),
-later AS (
-  SELECT doc_id, i, k FROM (
-    SELECT doc_id, i, k, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n
-    FROM runs
-    WHERE k = 3 OR whole OR len(regexp_extract_all(array_to_string(run, chr(10)), '[^\x20\x09-\x0D]+')) >= 50
-  ) WHERE n > 1
-),
-gone AS (SELECT doc_id, list(DISTINCT i + j) AS at FROM later, unnest([0, 1, 2]) AS t(j) WHERE j < k GROUP BY doc_id)
-SELECT d.doc_id,
-       CAST(coalesce(len(d.lines), 0) AS INTEGER) AS n_lines,
-       CAST(coalesce(len(g.at), 0) AS INTEGER) AS n_removed,
-       CASE WHEN g.at IS NULL THEN d.text
-            ELSE array_to_string(list_filter(d.lines, lambda l, j: NOT list_contains(g.at, j)), chr(10)) END AS text
-FROM docs d LEFT JOIN gone g ON d.doc_id = g.doc_id
-"""
-
 #: Of the variants in queries.VARIANTS.
-VARIANT_ORACLE = {"op1_line_dedup_short": LINE_DEDUP_SHORT}
+VARIANT_ORACLE = {"op1_line_dedup_short": LINE_DEDUP}

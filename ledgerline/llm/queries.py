@@ -24,11 +24,6 @@ from .common import read_table
 
 
 def q_line_dedup(spark, sf_dir):
-    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
-    return out.select("row.doc_id", "n_lines", "n_removed", "row.text")
-
-
-def q_line_dedup_short(spark, sf_dir):
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), short_words=line_dedup.SHORT_WORDS)
     return out.select("row.doc_id", "n_lines", "n_removed", "row.text")
 
@@ -103,5 +98,5 @@ QUERIES = {
     "op13_filter_interaction_audit": q_filter_interaction_audit,
 }
 
-#: Operators that do more than the SQL of the query they are named after.
-VARIANTS = {"op1_line_dedup_short": q_line_dedup_short}
+#: An earlier name of op1_line_dedup.
+VARIANTS = {"op1_line_dedup_short": q_line_dedup}

@@ -2,7 +2,8 @@
 
 import numpy as np
 from pyspark.sql import functions as F
-from test_operators import brute_components, brute_lines
+from test_line_dedup_short import brute as brute_lines
+from test_operators import brute_components
 
 import corpus_pipeline
 from ledgerline.llm import decontaminate, line_dedup, quality
@@ -19,7 +20,7 @@ def test_run_matches_brute_force(spark):
 
     data, off = utf8(pa.array([t for _, t in rows], pa.string()))
     rows = [r for r, s in zip(rows, scorer(data, off)[0]) if s >= quality.KEEP]
-    kept = brute_lines(rows, line_dedup.WINDOW)
+    kept = brute_lines(rows, line_dedup.WINDOW, line_dedup.SHORT_WORDS)
     rows = [(i, kept[i, t]) for i, t in rows]
     _, root = brute_components(rows)
     least = {}
