@@ -60,7 +60,7 @@ def q_simhash_near_dedup(spark, sf_dir):
 
 
 def q_sharding(spark, sf_dir):
-    return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id")).select("row.doc_id", "slot", "shard")
+    return sharding.place(read_table(spark, sf_dir, "documents")).select("row.*", "slot", "shard")  # whole rows
 
 
 def q_token_counts(spark, sf_dir):
