@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines of later repeated runs; n_chars counts what is left."""
-    out = line_dedup.dedup_lines(docs)
+    """All documents, without the lines of later repeated runs, short ones of 50 words and whole documents included; n_chars counts what is left."""
+    out = line_dedup.dedup_lines(docs, short_words=line_dedup.SHORT_WORDS)
     row = F.when(F.col("n_removed") > 0, F.col("row").withField("n_chars", F.length("row.text").cast("bigint")))
     return out.select(F.coalesce(row, F.col("row")).alias("row")).select("row.*")
 
