@@ -290,6 +290,48 @@ def upstream_of(lineage: DataFrame, uris: DataFrame) -> DataFrame:
     return uris.join(outs, uris["uri"] == outs["produced_uri"], "inner")
 
 
+#: Characters of the pieces by which URIs are found in bulk.
+GRAM = 6
+
+
+def _pieces(text: Column, n: Column) -> Column:
+    """The distinct substrings of ``n`` characters."""
+    last = F.length(text) - n + 1
+    every = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(text, i, n))
+    return F.when(last >= 1, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+
+
+def upstream_containing(lineage: DataFrame, fragments: DataFrame, gram: int = GRAM) -> DataFrame:
+    """JOIN8/LIN3 in bulk: for each ``fragments(fragment)``, the runs that wrote a URI that contains it.
+
+    URIs are indexed by their pieces of ``gram`` characters.  A fragment joins
+    the URIs of its rarest piece, so that a piece that all URIs share is used
+    only where all pieces are such; the candidates are then tested for the whole
+    fragment.  Shorter fragments join pieces of their own length.  All joins are
+    on equal pieces or URIs.
+
+    Defined results: repeated fragments count once; a null or empty fragment
+    finds nothing; a URI that a run names twice is one.
+    """
+    outs = lineage.select("lineage_id", "job_name", "run_id", F.explode("outputs").alias("o")).select(
+        "lineage_id", "job_name", "run_id", F.col("o.uri").alias("produced_uri")
+    ).where("produced_uri is not null").distinct()
+    wanted = fragments.select("fragment").where("length(fragment) > 0").distinct()
+    wanted = wanted.withColumn("size", F.least(F.length("fragment"), F.lit(gram)))
+    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect()) or [gram]  # at most ``gram`` numbers
+    uris = outs.select("produced_uri").distinct().withColumn("size", F.explode(F.array(*map(F.lit, sizes))))
+    postings = uris.select("produced_uri", "size", F.explode(_pieces(F.col("produced_uri"), F.col("size"))).alias("piece"))
+    counts = postings.groupBy("piece").agg(F.count("*").alias("n"))
+    pieces = wanted.select("fragment", F.explode(_pieces(F.col("fragment"), F.col("size"))).alias("piece"))
+    rare = (
+        pieces.join(counts, "piece", "left")
+        .groupBy("fragment")
+        .agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), F.col("piece").alias("p"))).alias("piece"))
+    )
+    found = rare.join(postings, "piece").where(F.contains("produced_uri", "fragment")).select("fragment", "produced_uri")
+    return found.join(outs, "produced_uri").select("fragment", "lineage_id", "job_name", "run_id", "produced_uri")
+
+
 def stage_lineage(spark: SparkSession, stage: str, run_id: str, src: str, dst: str) -> DataFrame:
     """LIN4: the lineage row of one of the four pipeline stages."""
     job, job_type, (in_type, in_uri), (out_type, out_uri), metadata = C.STAGE_LINEAGE[stage]

@@ -18,6 +18,7 @@ rounded half-to-even on the exact ratio.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from typing import Any, Sequence
 
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import div_round_half_even
+from ..session import shared_table
+
+log = logging.getLogger(__name__)
 
 RESULT_TYPE = T.StructType(
     [
@@ -59,6 +63,7 @@ class _Planned:
     aggs: list[Column]
     result: Column  # struct of RESULT_TYPE, over the metrics row
     sample: Column | None = None  # struct (idx, v) of a bad value of an in-set check, else null
+    distinct: str | None = None  # column whose distinct values the result needs, as ``_d_<column>``
 
 
 def _is_missing(types: dict, c: str) -> Column:
@@ -122,12 +127,9 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
         ok = _ge(F.lit(1.0) - _share(nulls, n), mostly)
         return _Planned(aggs, _res(idx, exp, col, ok, "null_percent", _rounded(nulls * 10000, n, 2)))
     if exp == "expect_column_values_to_be_unique":
-        aggs = [
-            F.count_distinct(c).alias(p + "nd"),
-            F.coalesce(F.max(F.when(_is_missing(types, col), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).alias(p + "hn"),
-        ]
-        dup = n - F.col(p + "nd") - F.col(p + "hn")
-        return _Planned(aggs, _res(idx, exp, col, dup == 0, "duplicate_count", dup))
+        aggs = [F.coalesce(F.max(F.when(_is_missing(types, col), F.lit(1)).otherwise(F.lit(0))), F.lit(0)).alias(p + "hn")]
+        dup = n - F.col(f"`_d_{col}`") - F.col(p + "hn")
+        return _Planned(aggs, _res(idx, exp, col, dup == 0, "duplicate_count", dup), distinct=col)
     if exp == "expect_column_values_to_be_in_set":
         vals = list(kw.get("value_set", []))
         present = ~_is_missing(types, col)
@@ -161,11 +163,11 @@ def _plan_one(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any]
         nn, mt = F.col(p + "nn"), F.col(p + "mt")
         return _Planned(aggs, _res(idx, exp, col, _ge(_share(mt, nn), mostly), "pass_rate", _rounded(mt * 10000, nn, 4)))
     # expect_column_proportion_of_unique_values_to_be_between
-    aggs = [F.count_distinct(c).alias(p + "nd")]
+    nd = F.col(f"`_d_{col}`")
     den = F.greatest(n, F.lit(1))
-    prop = F.col(p + "nd").cast("double") / den.cast("double")
+    prop = nd.cast("double") / den.cast("double")
     ok = (prop >= F.lit(float(kw.get("min_value", 0.0)))) & (prop <= F.lit(float(kw.get("max_value", 1.0))))
-    return _Planned(aggs, _res(idx, exp, col, ok, "observed_proportion", _rounded(F.col(p + "nd") * 1000000, den, 6)))
+    return _Planned([], _res(idx, exp, col, ok, "observed_proportion", _rounded(nd * 1000000, den, 6)), distinct=col)
 
 
 def _plan_safely(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, Any], by: Sequence[str]) -> _Planned:
@@ -176,6 +178,20 @@ def _plan_safely(df: DataFrame, types: dict, idx: int, exp: str, kw: dict[str, A
         return _Planned([], _res(idx, exp, kw.get("column"), False, error=str(e).split("\n")[0]))
 
 
+def _with_distinct(df: DataFrame, by: list[str], metrics: DataFrame, columns: list[str]) -> DataFrame:
+    """``metrics`` with the number of distinct values of each column.
+
+    Each column is counted by itself, by value and then over the values: several
+    distinct counts in one aggregate would copy every row for each of them.
+    """
+    for c in columns:
+        # of the metrics row and the count's row, each column has a value in one
+        name = f"_d_{c}"
+        both = metrics.unionByName(df.groupBy(*by).agg(F.count_distinct(F.col(f"`{c}`")).alias(name)), allowMissingColumns=True)
+        metrics = both.groupBy(*by).agg(*(F.max(F.col(f"`{m}`")).alias(m) for m in both.columns if m not in by))
+    return metrics
+
+
 def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sample_size: int = 5) -> DataFrame:
     """DQ10: one result row per expectation (per ``by`` group), in one aggregate job.
 
@@ -194,7 +210,7 @@ def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sampl
         empty = n.select(*by, none.result.alias("r")).select(*by, "r.*")
         return empty.withColumn("unexpected_values", F.lit(None).cast("array<string>")).where("false")
     aggs = [F.count(F.lit(1)).alias("_n")] + [a for pl in plans for a in pl.aggs]
-    metrics = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    metrics = _with_distinct(df, by, df.groupBy(*by).agg(*aggs), sorted({pl.distinct for pl in plans if pl.distinct}))
     rows = metrics.select(*by, F.explode(F.array(*[pl.result for pl in plans])).alias("r")).select(*by, "r.*")
     samples = [pl.sample for pl in plans if pl.sample is not None]
     if samples:
@@ -218,6 +234,29 @@ def validate(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sampl
     return rows
 
 
+def validate_isolated(df: DataFrame, suite: dict[str, Any], by: Sequence[str] = (), sample_size: int = 5) -> DataFrame:
+    """DQ10 with run-time isolation: the results as a table; a check that raises while it runs fails alone, with its error.
+
+    All checks run in one job.  Only if that raises does each run by itself.  The
+    row of a check that raised has no ``by`` values, as its groups are not known.
+    """
+    try:
+        return shared_table(validate(df, suite, by, sample_size), "dq-results")
+    except (PySparkException, Py4JError) as e:
+        log.warning("validation failed as a whole, its checks run one by one: %s", str(e).split("\n")[0])
+    schema = validate(df.limit(0), suite, by, sample_size).schema
+    out = df.sparkSession.createDataFrame([], schema)
+    for i, e in enumerate(suite.get("expectations", [])):
+        try:
+            one = validate(df, {**suite, "expectations": [e]}, by, sample_size).withColumn("idx", F.lit(i))
+            out = out.unionByName(shared_table(one, f"dq-check-{i}"))
+        except (PySparkException, Py4JError) as err:
+            row = {"idx": i, "expectation": e.get("expectation_type", ""), "column": (e.get("kwargs") or {}).get("column"), "success": False}
+            row |= {"skipped": False, "error": str(err).split("\n")[0][:500]}
+            out = out.unionByName(df.sparkSession.createDataFrame([tuple(row.get(c) for c in schema.names)], T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])))
+    return out
+
+
 def summarize(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """DQ11: total, passed, failed, pass_rate (2 dp, 0 for an empty suite), overall_success."""
     by = list(by)

@@ -17,6 +17,7 @@ from ..operators import alarms, dims, etl, fraud, governance, quality, reports
 from ..operators.fact_table import FactTable
 from ..session import drop_at_exit, qualified, scratch_path, shared_table
 from ..sources import fixtures as fx
+from ..streaming import alarms as alarm_stream
 from ..streaming import fraud_stream
 from . import jobs
 
@@ -279,6 +280,25 @@ def q_dq_unknown_check(spark, sf_dir):
 DQ_RUN_DATE = "2024-01-31"
 
 
+RUNTIME_SUITE = {
+    "expectations": [
+        {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "per_nothing", "min_value": 0}},
+        {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "transaction_id"}},
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "per_nothing"}},
+    ]
+}
+
+
+def q_dq_runtime_error(spark, sf_dir):
+    """DQ10: checks whose column raises while they run fail alone, the others have their results."""
+    silver = silver_t(spark, sf_dir).withColumn("per_nothing", F.col("amount") / (F.col("amount") - F.col("amount")))
+    out = quality.validate_isolated(silver, RUNTIME_SUITE)
+    return out.select(
+        "idx", "expectation", "column", "success", "metric_name", "metric_value", F.regexp_extract("error", r"\[([A-Z_]+)", 1).alias("error")
+    )
+
+
 def q_dq_audit_events(spark, sf_dir):
     """AUD3: an event for each day's validation."""
     by = ["transaction_date"]
@@ -410,6 +430,19 @@ def q_lineage_contains(spark, sf_dir):
     return _lineage_columns(governance.upstream_runs(_silver_lineage(spark, sf_dir), "transactions/transaction_date=2024-01-1"))
 
 
+#: Parts of URIs of the events' days, a character to a whole URI long.
+FRAGMENTS = (
+    "concat('silver/transactions/transaction_date=', d)", "concat('date=', substring(d, 1, 9))", "substring(d, 6, 4)",
+    "concat('-', substring(d, 9, 2))", "substring(d, 10, 1)", "concat(d, '/none')", "'transactions/transaction'",
+)
+
+
+def q_lineage_fragments(spark, sf_dir):
+    """LIN3/JOIN8 in bulk: the runs whose outputs contain one of many fragments."""
+    days = fx.transactions_raw(spark, sf_dir).selectExpr("cast(transaction_date as string) as d").distinct()
+    return governance.upstream_containing(_silver_lineage(spark, sf_dir), days.selectExpr(f"explode(array({', '.join(FRAGMENTS)})) as fragment"))
+
+
 def q_audit_after_retry(spark, sf_dir):
     """SNK12: events that were appended twice, read once each."""
     path = scratch_path(spark, "audit")
@@ -700,6 +733,50 @@ def q_notification_outbox(spark, sf_dir):
     )
 
 
+ALARM_WATERMARK = "3 days"
+
+
+def alarm_deliveries(spark, rows: DataFrame, periods, breach, n_periods: int) -> str:
+    """``rows`` (with ``arrival`` 1 to 3) as files of three deliveries, each one run of an alarm stream; the folder of its outputs."""
+    root = scratch_path(spark, "alarm-stream")
+    drop_at_exit(spark, root)
+    rows = shared_table(rows, "alarm-rows")
+    for k in (1, 2, 3):
+        part = rows.where(F.col("arrival") == k).drop("arrival")
+        part.write.mode("append").parquet(f"{root}/source")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/source")
+        alarm_stream.start_alarm(
+            periods(stream, watermark=ALARM_WATERMARK), breach, f"{root}/out", f"{root}/checkpoint", n_periods=n_periods
+        ).awaitTermination()
+    return f"{root}/out"
+
+
+def fraud_rate_stream(spark, sf_dir) -> str:
+    arrival = F.expr(f"{fx.STREAM_DELIVERY} + cast({fx.STREAM_DELAYED} as int)")
+    scored = scored_t(spark, sf_dir).select(F.col("created_at").cast("timestamp").alias("created_at"), "is_fraud", arrival.alias("arrival"))
+    return alarm_deliveries(spark, scored, alarm_stream.fraud_rate_periods, F.col("fraud_rate_pct") > 5.0, 2)
+
+
+def q_fraud_rate_alarm_stream(spark, sf_dir):
+    """STR8 as a stream: the closed periods of three deliveries with late rows."""
+    return alarm_stream.read_alarm(spark, fraud_rate_stream(spark, sf_dir))
+
+
+def q_fraud_rate_alarm_changes(spark, sf_dir):
+    """STR8: when the alarm went on and off."""
+    return alarm_stream.read_alarm(spark, fraud_rate_stream(spark, sf_dir), "changes")
+
+
+def q_dq_failure_alarm_stream(spark, sf_dir):
+    """STR9 as a stream: the days' failed checks, in three deliveries."""
+    by = ["transaction_date"]
+    summary = quality.summarize(quality.validate(unvalidated_t(spark, sf_dir), load_suite(), by=by), by=by)
+    metrics = quality.metrics_rows(summary, "transactions", F.col("transaction_date").cast("timestamp")).where("metric = 'FailedChecks'")
+    rows = metrics.where("ts is not null").withColumn("transaction_date", F.to_date("ts"))
+    rows = rows.select("ts", "value", F.expr(fx.STREAM_DELIVERY).alias("arrival"))
+    return alarm_stream.read_alarm(spark, alarm_deliveries(spark, rows, alarm_stream.metric_periods, F.col("value") > 0, 1))
+
+
 def q_fraud_stream_rejects(spark, sf_dir):
     """Dead letters (SNK9), and the late and re-delivered records."""
     out = stream_deliveries(spark, sf_dir)
@@ -756,6 +833,7 @@ QUERIES: dict[str, Query] = {
     "dq_by_date": q_dq_by_date,
     "dq_summary_by_date": q_dq_summary_by_date,
     "dq_unknown_check": q_dq_unknown_check,
+    "dq_runtime_error": q_dq_runtime_error,
     "dq_audit_events": q_dq_audit_events,
     "fact_upsert": q_fact_upsert,
     "fact_update_half": q_fact_update_half,
@@ -773,6 +851,7 @@ QUERIES: dict[str, Query] = {
     "lineage_upstream": q_lineage_upstream,
     "lineage_lookup": q_lineage_lookup,
     "lineage_contains": q_lineage_contains,
+    "lineage_fragments": q_lineage_fragments,
     "lineage_after_rerun": q_lineage_after_rerun,
     "audit_after_retry": q_audit_after_retry,
     "fraud_rate_alarm": q_fraud_rate_alarm,
@@ -796,6 +875,9 @@ QUERIES: dict[str, Query] = {
     "fraud_stream_typed": q_fraud_stream_typed,
     "fraud_stream_alerts": q_fraud_stream_alerts,
     "fraud_stream_rejects": q_fraud_stream_rejects,
+    "fraud_rate_alarm_stream": q_fraud_rate_alarm_stream,
+    "fraud_rate_alarm_changes": q_fraud_rate_alarm_changes,
+    "dq_failure_alarm_stream": q_dq_failure_alarm_stream,
     "alert_store": q_alert_store,
     "alert_store_alive": q_alert_store_alive,
     "notification_outbox": q_notification_outbox,

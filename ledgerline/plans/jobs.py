@@ -202,7 +202,7 @@ def validate_job(
     import datetime as dt
 
     run_date = run_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
-    results = quality.validate(read_layer(spark, path), load_suite(suite_path))
+    results = quality.validate_isolated(read_layer(spark, path), load_suite(suite_path))
     results = results.persist()
     try:
         # only this dataset's day is replaced: earlier results stay
