@@ -48,7 +48,7 @@ def test_a_merchant_is_forgotten_after_its_time_to_live(spark, tmp_dir):
 def test_an_account_with_many_merchants_is_read_by_key(spark, tmp_dir):
     """The document of such an account has to be read and written whole; a batch of one row reads one merchant here."""
     src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
-    many = [_txn(i, "a", i / 1000, merchant=f"M{i}") for i in range(5000)]
+    many = [_txn(i, "a", i / 1000, merchant=f"M{i}") for i in range(1500)]
     _write(src, "p0", [(f"s{i}", _payload(t)) for i, t in enumerate(many)])
     fs.run_available_now(spark, src, out, ck, typed_state=True, state_options={"dedupe_horizon_s": 1})
     start = time.time()
