@@ -40,6 +40,7 @@ from .. import config as C
 from ..config import Thresholds, load_thresholds
 from ..operators import fraud, governance
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
+from ..sources.shards import read_shards
 from .account_state import AccountProcessor
 from .keyed_store import KeyedStore
 from .outbox import Outbox
@@ -331,14 +332,24 @@ def start_fraud_stream(
     thresholds_path: str | None = None,
     typed_state: bool = False,
     state_options: dict | None = None,
+    shards: dict | None = None,
     **sink,
 ):
-    """Start the scoring and rejects queries; returns both StreamingQuery handles."""
-    reader = spark.readStream.schema(STREAM_RECORD_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    records = reader.json(source_dir)
-    parsed = decode_and_parse(records)
+    """Start the scoring and rejects queries; returns both StreamingQuery handles.
+
+    ``source_dir`` holds JSON files or, with ``shards`` (options of
+    ``sources.shards.read_shards``, {} for none), shards read by offset.
+    """
+
+    def parsed_records(query: str) -> DataFrame:
+        if shards is not None:
+            return decode_and_parse(read_shards(spark, source_dir, f"{checkpoint_dir}/progress/{query}.json", **shards))
+        reader = spark.readStream.schema(STREAM_RECORD_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return decode_and_parse(reader.json(source_dir))
+
+    parsed = parsed_records("scoring")
     featured = with_account_state(parsed, watermark, typed_state, **(state_options or {}))
     sink.setdefault("attempts_dir", f"{checkpoint_dir}/attempts")
 
@@ -360,7 +371,7 @@ def start_fraud_stream(
         ).start()
     finally:
         spark.conf.set(key, prev)
-    rejects = parsed.where(F.col("reject_reason").isNotNull()).select(
+    rejects = parsed_records("rejects").where(F.col("reject_reason").isNotNull()).select(
         "sequence_number", "arrival_ts", "reject_reason", F.col("text").alias("payload")
     )
     q2 = trig(
