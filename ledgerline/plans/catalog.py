@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Thresholds, load_suite, load_thresholds
-from ..operators import alarms, dims, etl, fraud, governance, quality, reports
+from ..operators import alarms, dims, etl, fraud, governance, quality, reports, schema_drift
 from ..operators.fact_table import FactTable
 from ..session import drop_at_exit, qualified, scratch_path, shared_table
 from ..sources import fixtures as fx
+from ..sources import shards
 from ..streaming import alarms as alarm_stream
 from ..streaming import fraud_stream
 from . import jobs
@@ -532,6 +533,33 @@ def q_job_quarantine(spark, sf_dir):
     return jobs.read_layer(spark, f"{root}/quarantine").select(*q_quarantine_rows(spark, sf_dir).columns)
 
 
+def q_job_bronze_after_retry(spark, sf_dir):
+    """SNK1/SNK2: the rows of both layers after a run that was tried three times, once with half of the files."""
+    root = scratch_path(spark, "ingest-retry")
+    drop_at_exit(spark, root)
+    raw = fx.transactions_raw(spark, sf_dir)
+    half = F.xxhash64("transaction_id") % 2 == 0
+    write_raw(raw.where(half), f"{root}/raw/0")
+    write_raw(raw.where(~F.coalesce(half, F.lit(False))), f"{root}/raw/1")
+    for files in ("0", "*", "*"):
+        jobs.ingest(spark, f"{root}/raw/{files}", f"{root}/bronze", f"{root}/quarantine", run_id="run-1", by_run=True)
+    layers = [jobs.read_layer(spark, f"{root}/{x}").select("transaction_id", F.lit(x).alias("layer")) for x in ("bronze", "quarantine")]
+    return layers[0].unionByName(layers[1])
+
+
+def q_schema_drift(spark, sf_dir):
+    """AUD4: what changed between three deliveries of the events, by the footers of their files."""
+    root = scratch_path(spark, "drift")
+    drop_at_exit(spark, root)
+    events = fx.table(spark, sf_dir, "events")
+    second = events.drop("props").withColumn("value", F.col("value").cast("decimal(18,2)")).withColumn("channel", F.lit("web"))
+    third = second.withColumn("value", F.col("value").cast("double")).withColumn("props", F.lit(1))
+    for k, rows in enumerate((events, second, third)):
+        rows.where(F.pmod("event_id", F.lit(3)) == k).write.parquet(f"{root}/delivery={k + 1}")
+    files = schema_drift.footers(spark, root)
+    return schema_drift.schema_changes(files, F.regexp_extract("path", "/delivery=([^/]+)/", 1))
+
+
 def q_job_silver(spark, sf_dir):
     """JOB1 and JOB2: what silver holds after an ingest and a transform."""
     root = job_layers(spark, sf_dir, "transform")
@@ -777,6 +805,38 @@ def q_dq_failure_alarm_stream(spark, sf_dir):
     return alarm_stream.read_alarm(spark, alarm_deliveries(spark, rows, alarm_stream.metric_periods, F.col("value") > 0, 1))
 
 
+SHARDS, SHARD_BATCHES = 4, 12
+
+
+def q_shard_batches(spark, sf_dir):
+    """SRC7: silver T as records of four shards in three deliveries, each drained in batches of a limit by a query
+    that resumes from its checkpoint; every record with its batch, shard and offset."""
+    root = scratch_path(spark, "shards")
+    drop_at_exit(spark, root)
+    silver = shared_table(silver_t(spark, sf_dir).selectExpr("*", f"{fx.STREAM_DELIVERY} as delivery"), "shard-rows")
+    limit = max(1, -(-silver.count() // SHARD_BATCHES))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    for k in (1, 2, 3):
+        rows = silver.where(F.col("delivery") == k)
+        records = fraud_stream.encode_payloads(rows)
+        account = F.get_json_object(F.unbase64("data").cast("string"), "$.account_id")
+        shards.append_records(records, f"{root}/source", k, account, SHARDS)
+        stream = shards.read_shards(spark, f"{root}/source", f"{root}/progress.json", max_records_per_shard=limit)
+        query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    read = spark.read.schema(f"{shards.SCHEMA.toDDL()}, batch bigint").option("basePath", f"{root}/out").parquet(f"{root}/out")
+    payload = F.unbase64("data").cast("string")
+    return read.select(
+        "batch", "shard", "record_offset", "sequence_number", F.get_json_object(payload, "$.transaction_id").alias("transaction_id")
+    )
+
+
 def q_fraud_stream_rejects(spark, sf_dir):
     """Dead letters (SNK9), and the late and re-delivered records."""
     out = stream_deliveries(spark, sf_dir)
@@ -858,6 +918,9 @@ QUERIES: dict[str, Query] = {
     "dq_failure_alarm": q_dq_failure_alarm,
     "job_bronze": q_job_bronze,
     "job_quarantine": q_job_quarantine,
+    "job_bronze_after_retry": q_job_bronze_after_retry,
+    "schema_drift": q_schema_drift,
+    "shard_batches": q_shard_batches,
     "job_silver": q_job_silver,
     "job_fact": q_job_fact,
     "job_json_bronze": q_job_json_bronze,

@@ -12,6 +12,7 @@ repartition by date is used (one hot date would otherwise land in one task).
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,6 +30,8 @@ from ..sources.files import read_layer, read_raw, read_raw_stream
 from ..sources.generator import generate
 
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Partition column of layers that hold a folder per ingest run.
+RUN_COLUMN = "ingest_run"
 
 
 log = logging.getLogger(__name__)
@@ -97,12 +100,21 @@ def ingest(
     run_id: str | None = None,
     audit_path: str | None = None,
     lineage_path: str | None = None,
+    by_run: bool = False,
 ) -> dict[str, int]:
     """JOB1: raw files -> mask -> metadata -> valid to bronze / rest to quarantine.
 
     The files are read and masked once: the first write keeps the rows on the
     executors' disks for the second (lost blocks are read again).
+
+    Rows are appended, so a run that is tried again appends them again.  With
+    ``by_run`` both layers hold a folder ``ingest_run=<run_id>`` per run, which a
+    further attempt of the run replaces, whatever an earlier one left there.  A
+    layer is written in one of the two ways.
     """
+    if by_run and not re.fullmatch(r"[\w.-]+", run_id or ""):
+        raise ValueError(f"by_run needs a run_id of letters, digits, '_', '.' and '-', not {run_id!r}")
+    mode, folder = ("overwrite", f"/{RUN_COLUMN}={run_id}") if by_run else ("append", "")
     with _recorded(spark, "ingest", source_path, bronze_path, run_id, audit_path, lineage_path) as counts:
         raw = read_raw(spark, source_path, fmt)
         raw = raw.withColumn("_src", F.col("_metadata.file_path"))
@@ -112,8 +124,8 @@ def ingest(
             valid, quarantine = etl.split_valid(df, strict)
             valid, ov = _observed(valid.drop(CORRUPT_COLUMN), "bronze")
             quarantine, oq = _observed(quarantine, "quarantine")
-            _write_partitioned(valid, bronze_path, "transaction_date", "append")
-            _write_partitioned(quarantine, quarantine_path, "ingestion_date", "append")
+            _write_partitioned(valid, bronze_path + folder, "transaction_date", mode)
+            _write_partitioned(quarantine, quarantine_path + folder, "ingestion_date", mode)
         finally:
             df.unpersist()
         w, q = int(ov.get["rows"]), int(oq.get["rows"])
@@ -137,7 +149,7 @@ def transform(
     no transaction's date moves and bronze holds each of its dates in full.
     """
     with _recorded(spark, "transform", bronze_path, silver_path, run_id, audit_path, lineage_path) as counts:
-        bronze, read = _observed(read_layer(spark, bronze_path), "bronze")
+        bronze, read = _observed(read_layer(spark, bronze_path).drop(RUN_COLUMN), "bronze")
         silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate), "silver")
         _write_partitioned(silver, silver_path, "transaction_date", "overwrite", dynamic=only_new_dates)
         counts.update(records_read=int(read.get["rows"]), records_written=int(obs.get["rows"]))
