@@ -57,6 +57,9 @@ PARITY = [
     "fact_merge",
     "fact_merge_loads",
     "alert_store",
+    "job_bronze_after_retry",
+    "schema_drift",
+    "shard_batches",
     "notification_outbox",
     "lineage_fragments",
     "dq_runtime_error",

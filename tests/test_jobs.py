@@ -119,3 +119,31 @@ def test_a_run_counts_what_it_read_and_wrote(spark, tmp_dir):
     jobs.transform(spark, f"{d}/b", f"{d}/s", run_id="r1", audit_path=f"{d}/audit")
     payload = json.loads(spark.read.json(f"{d}/audit").first().payload)
     assert (payload["records_read"], payload["records_written"], payload["status"]) == (120, 60, "SUCCEEDED")
+
+
+def test_further_attempts_of_an_ingest_append_nothing_twice(spark, tmp_dir, monkeypatch):
+    raw = generate(spark, 500, 20, 10, seed=5, end_date="2024-01-31")
+    raw.write.option("header", "true").csv(f"{tmp_dir}/raw")
+    run = lambda i: jobs.ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/quarantine", run_id=i, by_run=True)
+    write, calls = jobs._write_partitioned, []
+
+    def fails_at_the_second(*args, **kw):
+        calls.append(args[1])
+        if len(calls) == 2:
+            raise OSError("no space")
+        write(*args, **kw)
+
+    monkeypatch.setattr(jobs, "_write_partitioned", fails_at_the_second)
+    with pytest.raises(OSError):
+        run("day-1")
+    monkeypatch.undo()
+    assert run("day-1")["records_written"] == 500
+    assert spark.read.parquet(f"{tmp_dir}/bronze").count() == 500
+    run("day-2")  # another run does append
+    assert spark.read.parquet(f"{tmp_dir}/bronze").count() == 1000
+    jobs.transform(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver")
+    silver = spark.read.parquet(f"{tmp_dir}/silver")
+    assert silver.count() == 500 and "ingest_run" not in silver.columns
+    for bad in (None, "", "a/b", "x=y"):
+        with pytest.raises(ValueError):
+            run(bad)

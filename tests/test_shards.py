@@ -98,3 +98,19 @@ def test_repeated_batch_reads_the_same_rows(tmp_dir, spark):
         after_loss.partitions(nxt, start)
     with pytest.raises(ValueError, match="progress"):
         shards.ShardReader({"path": "x", "maxrecordspershard": "10"})
+
+
+def test_fraud_stream_over_shards(spark, tmp_dir):
+    """The scorer's rows are the same from shards in small batches as from files."""
+    from ledgerline.plans.catalog import silver_t
+    from ledgerline.streaming import fraud_stream
+
+    rows = silver_t(spark, "/root/testdata/sf0.001")
+    records = fraud_stream.encode_payloads(rows).cache()
+    records.write.json(f"{tmp_dir}/files")
+    key = F.get_json_object(F.unbase64("data").cast("string"), "$.account_id")
+    shards.append_records(records, f"{tmp_dir}/in", 1, key, 3)
+    fraud_stream.run_available_now(spark, f"{tmp_dir}/files", f"{tmp_dir}/a", f"{tmp_dir}/cka")
+    fraud_stream.run_available_now(spark, f"{tmp_dir}/in", f"{tmp_dir}/b", f"{tmp_dir}/ckb", shards={})
+    read = lambda x: sorted(map(str, fraud_stream.read_output(spark, f"{tmp_dir}/{x}", "scored").drop("batch_id").collect()))
+    assert read("a") == read("b") and len(read("a")) == records.count()
