@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import chunks, column, id_text, partitions, utf8
+from .common import chunks, column, id_text, partitions, sampled, utf8
 
 WINDOW = 16
 NEIGHBOURS = 16
@@ -40,6 +41,9 @@ FILTER_FEATURES = 160
 HASHES = 5
 BINS = 1001
 MAX_BUCKETS = 4096
+#: Characters of a text by which the rows of one id are parted, and rows that are looked at per part.
+HEAD_CHARS = 64
+PART_SAMPLE = 20
 _CHUNK = 1 << 18
 
 # Growth of the sum of c*log2(c) when a byte's count in the window goes from c to c+1, as integers.
@@ -216,25 +220,67 @@ def _bucket(key, bounds: list[int]):
     return (whole * step + below(rest)).cast("int")
 
 
+def _heads(keyed: DataFrame, hot: dict[int, int], share: float) -> dict[int, list[str]]:
+    """For each hot id, ascending beginnings of texts that part its rows into about so many even parts.
+
+    They come from the sampled rows' distinct beginnings with their counts: about
+    ``PART_SAMPLE`` rows per part, however often a row is repeated.
+    """
+    rows = keyed.where(F.col("key").isin(*hot) & sampled(F.xxhash64("key", "head"), share))
+    found: dict[int, list[tuple[str, int]]] = {}
+    for r in rows.groupBy("key", "head").count().collect():
+        found.setdefault(r["key"], []).append((r["head"], r["count"]))
+    out = {}
+    for key, heads in found.items():
+        heads.sort()  # by code points, as Spark orders UTF-8
+        part = max(1, sum(n for _, n in heads) / hot[key])
+        cuts, seen = [], 0.0
+        for head, n in heads:
+            seen += n
+            if seen >= part:
+                cuts.append(head)
+                seen = 0.0
+        out[key] = cuts
+    return out
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows in buckets of neighbouring ids, each bucket with the first row of the next lower one (``halo``) at its end.
 
     Texts move once, to their bucket; buckets are even because their bounds are
-    approximate quantiles of the ids.
+    approximate quantiles of the ids.  An id that fills several buckets (null
+    ids, say) has its rows parted by the beginnings of their texts; rows that share
+    the id and the first ``HEAD_CHARS`` characters stay together.
     """
     spark = docs.sparkSession
     lowest = F.lit(-(1 << 63)).cast("bigint")
+    head = F.substring(F.coalesce("text", F.lit("")), 1, HEAD_CHARS)
     keyed = id_text(docs).withColumn("key", F.coalesce("doc_id", lowest))
     n = min(MAX_BUCKETS, 8 * partitions(spark))
     shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    bounds = keyed.select(F.percentile_approx("key", shares, F.lit(20 * n)).alias("b")).first()["b"] or []
-    placed = keyed.withColumn("bucket", _bucket(F.col("key"), sorted(set(bounds)) or [0]))
+    of_ids = keyed.select(F.percentile_approx("key", shares, F.lit(20 * n)).alias("b"), F.count("*").alias("n")).first()
+    bounds = of_ids["b"] or []
+    hot = {k: times + 1 for k, times in Counter(bounds).items() if times > 1 and of_ids["n"] > n}
+    bucket = _bucket(F.col("key"), sorted(set(bounds)) or [0]).cast("bigint")
+    if hot:
+        many = of_ids["n"] * sum(hot.values()) / n
+        cuts = _heads(keyed.withColumn("head", head), hot, min(1.0, PART_SAMPLE * n / many))
+        parts = 2 + max(map(len, cuts.values()), default=0)
+        # the top id of a bucket comes first, by ascending text; the bucket's other ids are its last part
+        own = F.lit(None).cast("array<string>")
+        for k, c in cuts.items():
+            own = F.when(F.col("key") == k, F.array(*map(F.lit, c)).cast("array<string>")).otherwise(own)
+        part = F.coalesce(F.size(F.filter(own, lambda x: x < head)), F.lit(-1))
+        bucket = bucket * parts + F.when(part >= 0, parts - 1 - part).otherwise(0)
+    placed = keyed.withColumn("bucket", bucket)
     first = {r["bucket"]: r["top"] for r in placed.groupBy("bucket").agg(F.max("key").alias("top")).collect()}
     used = sorted(first)
-    to = [(first[b], used[i + 1] if i + 1 < len(used) else used[0]) for i, b in enumerate(used)]
-    halo = keyed.join(
-        F.broadcast(spark.createDataFrame(to, "key bigint, bucket int")),  # at most MAX_BUCKETS rows
-        "key",
+    to = [(b, first[b], used[i + 1] if i + 1 < len(used) else used[0]) for i, b in enumerate(used)]
+    tops = spark.createDataFrame(to, "bucket bigint, key bigint, target bigint")  # at most 2 * MAX_BUCKETS rows
+    halo = (
+        placed.join(F.broadcast(tops), ["bucket", "key"])
+        .groupBy(F.col("target").alias("bucket"))
+        .agg(F.max("doc_id").alias("doc_id"), F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("key").alias("key"))
     )
     both = placed.withColumn("halo", F.lit(False)).unionByName(halo.withColumn("halo", F.lit(True)))
     return (
