@@ -10,8 +10,10 @@ match is lost, however long the document; partitions whose items are too large
 for a document are skipped.  Candidates are verified by exact containment of
 the shingles' texts.
 
-Items go to the documents in blocks of bounded size, one search job a block;
-a benchmark of any size is searched in full.
+Items of up to ``block_bytes`` of text go to the tasks as they are.  A larger
+benchmark stays in Spark: sketch hashes join the documents' distinct shingle
+hashes, and the candidates' shingles are joined as texts and counted.  Both ways
+give the same pairs; no limit on the benchmark's size, its items or matches.
 
 Defined results: null ids match nothing and are not reported; a null or empty
 text has no shingles; items of fewer than ``shingle`` words match nothing
@@ -23,7 +25,6 @@ tables give no rows; columns other than ids and texts are not read.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from .common import chunks, column, cut, id_text, utf8
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Bytes of item texts in a block; a block is sent to every task.
+#: Bytes of item texts that are sent to every task; more are searched by joins.
 BLOCK_BYTES = 16 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -150,18 +151,94 @@ def _clean(items, shingle, threshold, text_col):
     return run
 
 
-def _blocks(items: DataFrame, block_bytes: int):
-    """(item_id, text) lists of at most about ``block_bytes`` of the distinct items."""
-    probes = cut(
-        id_text(items, "item_id").where("doc_id is not null and text is not null").distinct(), "benchmark-items"
-    )
+def _probes(items: DataFrame) -> DataFrame:
+    """The distinct items, written once."""
+    return cut(id_text(items, "item_id").where("doc_id is not null and text is not null").distinct(), "benchmark-items")
+
+
+def _block(probes: DataFrame, block_bytes: int) -> list[tuple[int, bytes]] | None:
+    """All items for the tasks, or None where they have more than ``block_bytes`` of text."""
     size = probes.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-2 * size // block_bytes)  # hashed blocks of half the bound on average, so that all stay within it
-    for k in range(n):
-        mine = probes.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) == k) if n > 1 else probes
-        block = [(r["doc_id"], r["text"].encode()) for r in mine.toLocalIterator()]
-        if block:
-            yield sorted(block)
+    return sorted((r["doc_id"], r["text"].encode()) for r in probes.toLocalIterator()) if size <= block_bytes else None
+
+
+# ---------------------------------------------------------------- benchmarks beyond one block
+def _needed(n, threshold: float):
+    """Shingles of an item of ``n`` that a match has."""
+    return F.greatest(F.lit(1), F.ceil(n * threshold - 1e-9))
+
+
+def _hash_rows(shingle: int, threshold: float | None = None):
+    """key, hash and number n of the distinct shingles of each text, or only of its sketch (``threshold``)."""
+
+    def run(batches):
+        for b in batches:
+            keys = column(b, "key")
+            data, off = utf8(column(b, "text"))
+            for lo, hi in chunks(off):
+                h, owner = _shingle_hashes(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], shingle)
+                edges = np.searchsorted(owner, np.arange(hi - lo + 1))
+                sets = [np.unique(h[x:y]) for x, y in zip(edges[:-1], edges[1:])]
+                sizes = np.array([len(x) for x in sets], np.int64)
+                if threshold is not None:
+                    most = [len(x) - max(1, math.ceil(threshold * len(x) - 1e-9)) + 1 if len(x) else 0 for x in sets]
+                    sets = [x[:m] for x, m in zip(sets, most)]
+                kept = np.array([len(x) for x in sets], np.int64)
+                at = pa.array(np.repeat(np.arange(lo, hi), kept))
+                hashes = np.concatenate(sets).view(np.int64)
+                for x in range(0, len(hashes), _ROWS):
+                    yield pa.record_batch(
+                        [keys.take(at[x : x + _ROWS]), pa.array(hashes[x : x + _ROWS]), pa.array(np.repeat(sizes, kept)[x : x + _ROWS])],
+                        names=["key", "h", "n"],
+                    )
+
+    return run
+
+
+def _text_rows(shingle: int):
+    """key and text of the distinct shingles of each text."""
+
+    def run(batches):
+        for b in batches:
+            for key, text in zip(column(b, "key").to_pylist(), column(b, "text").to_pylist()):
+                found = sorted(_shingles(text.encode(), shingle))
+                for x in range(0, len(found), _ROWS):
+                    part = found[x : x + _ROWS]
+                    yield pa.record_batch([pa.array([key] * len(part), pa.binary()), pa.array(part, pa.binary())], names=["key", "shingle"])
+
+    return run
+
+
+#: Rows of a batch that a task hands on.
+_ROWS = 1 << 16
+
+
+def _key(text):
+    """A text's key: its MD5, null for a null text."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _joined_pairs(texts: DataFrame, probes: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """key of a text, item_id, n_common, n_shingles of every match, by joins of hashes; items in any number.
+
+    Sketches join the texts' distinct shingle hashes; the candidates' shingles
+    are then joined and counted as texts.  Equal texts are one.
+    """
+    hashes, strings = "key binary, h bigint, n bigint", "key binary, shingle binary"
+    items = probes.select(_key(F.col("text")).alias("key"), F.col("doc_id").alias("item_id"), "text")
+    single = items.groupBy("key").agg(F.first("text").alias("text"))
+    sketch = single.mapInArrow(_hash_rows(shingle, threshold), hashes).toDF("item", "h", "size")
+    texts = texts.where(F.octet_length("text") > 0).select(_key(F.col("text")).alias("key"), "text")
+    near = texts.mapInArrow(_hash_rows(shingle), hashes).join(sketch, "h").where(F.col("n") >= _needed(F.col("size"), threshold))
+    candidates = cut(near.select("key", "item").distinct(), "contamination-candidates")
+    wanted = single.mapInArrow(_text_rows(shingle), strings).toDF("item", "shingle")
+    sizes = wanted.groupBy("item").agg(F.count("*").alias("n_shingles"))
+    searched = texts.join(candidates.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    has = searched.mapInArrow(_text_rows(shingle), strings)
+    common = candidates.join(wanted, "item").join(has, ["key", "shingle"]).groupBy("key", "item").agg(F.count("*").alias("n_common"))
+    found = common.join(sizes, "item").where(F.col("n_common") >= _needed(F.col("n_shingles"), threshold))
+    ids = items.select(F.col("key").alias("item"), "item_id")
+    return found.join(ids, "item").select("key", "item_id", "n_common", "n_shingles")
 
 
 def contamination_pairs(
@@ -172,13 +249,15 @@ def contamination_pairs(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """doc_id, item_id, n_common, n_shingles, containment of every contaminated pair."""
-    spark = docs.sparkSession
     texts = id_text(docs).where(F.col("doc_id").isNotNull())
-    schema = "doc_id bigint, item_id bigint, n_common bigint, n_shingles bigint"
-    jobs = [texts.mapInArrow(_search(b, shingle, threshold), schema) for b in _blocks(items, block_bytes)]
-    if not jobs:
-        jobs = [spark.createDataFrame([], schema)]
-    pairs = reduce(DataFrame.unionByName, jobs)
+    probes = _probes(items)
+    block = _block(probes, block_bytes)
+    if block is not None:
+        schema = "doc_id bigint, item_id bigint, n_common bigint, n_shingles bigint"
+        pairs = texts.mapInArrow(_search(block, shingle, threshold), schema)
+    else:
+        found = _joined_pairs(texts, probes, shingle, threshold)
+        pairs = texts.select("doc_id", _key(F.col("text")).alias("key")).distinct().join(found, "key").drop("key")
     return (
         pairs.groupBy("doc_id", "item_id")
         .agg(F.max_by(F.struct("n_common", "n_shingles"), F.col("n_common") / F.col("n_shingles")).alias("m"))
@@ -215,6 +294,10 @@ def drop_contaminated(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of docs, all columns, that no item contaminates (also rows without id)."""
-    for block in _blocks(items, block_bytes):
-        docs = docs.mapInArrow(_clean(block, shingle, threshold, text_col), docs.schema)
-    return docs
+    probes = _probes(items)
+    block = _block(probes, block_bytes)
+    if block is not None:
+        return docs.mapInArrow(_clean(block, shingle, threshold, text_col), docs.schema) if block else docs
+    text = docs[text_col].cast("string")
+    found = _joined_pairs(docs.select(text.alias("text")), probes, shingle, threshold).select(F.col("key").alias("_found")).distinct()
+    return docs.join(found, _key(text) == found["_found"], "left_anti")
