@@ -1,8 +1,15 @@
-"""A generative label model: class and voter accuracies from the votes alone, by expectation-maximisation.
+"""A generative label model: class, voter accuracies and dependence of voters from the votes alone, by expectation-maximisation.
 
 Votes are -1 (abstains), 0 or 1.  The input is how many documents have each
 combination of votes, of which there are at most 3**voters, so that fitting
 doesn't depend on the number of documents.
+
+Without dependence the votes are independent given the class.  With it, the
+pairs of voters whose votes tell most about each other within the classes
+(conditional mutual information) get a factor P(both votes | class) /
+(P(one | class) P(other | class)).  The pairs form a forest, so that the product
+of all terms is a distribution over the combinations of votes as it stands, and
+posteriors are exact.
 """
 
 from __future__ import annotations
@@ -10,6 +17,8 @@ from __future__ import annotations
 import numpy as np
 
 ABSTAIN = -1
+#: A pair of voters gets a factor from this conditional mutual information on (nats).
+LEAST_INFORMATION = 0.001
 
 
 def encode(votes: np.ndarray) -> np.ndarray:
@@ -22,20 +31,28 @@ def decode(codes: np.ndarray, voters: int) -> np.ndarray:
 
 
 class LabelModel:
-    """P(class 1), P(vote | class) of each voter, and how far correlated voters count as one."""
+    """P(class 1), P(vote | class) of each voter and P(two votes | class) of the dependent pairs."""
 
     def __init__(self, voters: int, correlated: bool):
         self.voters, self.correlated = voters, correlated
         self.prior = 0.5
         self.theta = np.full((2, voters, 3), 1 / 3)
-        self.weight = np.ones(voters)
-        self.correlation = np.eye(voters)
+        self.joint = np.full((2, voters, 3, voters, 3), 1 / 9)
+        self.pairs: list[tuple[int, int]] = []
+
+    def log_likelihood(self, votes: np.ndarray) -> np.ndarray:
+        """log P(votes | class): a row for each class."""
+        log = np.log(self.theta)
+        at = votes.astype(np.int64) + 1
+        out = log[:, np.arange(self.voters), at].sum(axis=2)
+        for i, j in self.pairs:
+            factor = np.log(self.joint[:, i, :, j]) - log[:, i, :, None] - log[:, j, None, :]
+            out = out + factor[:, at[:, i], at[:, j]]
+        return out
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        ratio = np.log(self.theta[1]) - np.log(self.theta[0])
-        logit = np.log(self.prior / (1 - self.prior)) + (
-            ratio[np.arange(self.voters), votes + 1] * self.weight
-        ).sum(axis=1)
+        clean, marked = self.log_likelihood(votes)
+        logit = np.log(self.prior / (1 - self.prior)) + marked - clean
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
     def accuracies(self) -> np.ndarray:
@@ -44,33 +61,57 @@ class LabelModel:
         said = (self.theta[:, :, 1:].sum(axis=2) * share).sum(axis=0)
         return (self.theta[0, :, 1] * share[0] + self.theta[1, :, 2] * share[1]) / said
 
-    def _correlate(self, votes: np.ndarray, mass: list[np.ndarray]) -> None:
-        """Correlation of the votes within the classes; correlated voters share their weight."""
-        total = np.zeros((self.voters, self.voters))
-        for m in mass:
-            x = votes - (m @ votes) / m.sum()
-            total += (x * m[:, None]).T @ x
-        scale = np.sqrt(np.maximum(np.diag(total), 1e-12))
-        self.correlation = total / scale[:, None] / scale[None, :]
-        np.fill_diagonal(self.correlation, 1.0)
-        self.weight = 1 / np.maximum(self.correlation, 0).sum(axis=1)
-
-    def fit(self, votes: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> LabelModel:
-        """Starts from the share of ones among each combination's votes."""
-        votes, counts = votes.astype(np.int64), counts.astype(float)
-        ones, zeros = (votes == 1).sum(axis=1), (votes == 0).sum(axis=1)
-        p = (0.5 + ones) / (1.0 + ones + zeros)
+    def information(self) -> np.ndarray:
+        """Conditional mutual information of each two voters' votes given the class, in nats."""
+        share = np.array([1 - self.prior, self.prior])
+        apart = self.theta[:, :, :, None, None] * self.theta[:, None, None, :, :]
+        return np.einsum("y,yiajb->ij", share, self.joint * np.log(self.joint / apart))
+
+    def _estimate(self, marks: np.ndarray, counts: np.ndarray, p: np.ndarray, smooth: float) -> None:
+        mass = (counts * (1 - p), counts * p)
+        self.prior = float(np.clip(mass[1].sum() / counts.sum(), 1e-4, 1 - 1e-4))
+        for y in (0, 1):
+            seen = (mass[y] @ marks).reshape(self.voters, 3) + smooth
+            self.theta[y] = seen / seen.sum(axis=1, keepdims=True)
+            if self.correlated:  # a third of the smoothing for each pair of votes: its sums are the single votes'
+                both = (marks * mass[y][:, None]).T @ marks + smooth / 3
+                self.joint[y] = both.reshape(self.voters, 3, self.voters, 3) / seen[0].sum()
+
+    def _forest(self) -> list[tuple[int, int]]:
+        """The pairs of most information that close no circle."""
+        told, tree, pairs = self.information(), list(range(self.voters)), []
+        some = [(-told[i, j], i, j) for i in range(self.voters) for j in range(i) if told[i, j] >= LEAST_INFORMATION]
+        for _, i, j in sorted(some):
+            if tree[i] != tree[j]:
+                tree = [tree[i] if t == tree[j] else t for t in tree]
+                pairs.append((i, j))
+        return sorted(pairs)
+
+    def _rounds(self, votes, marks, counts, p, rounds: int, smooth: float) -> None:
         for _ in range(rounds):
-            mass = [counts * (1 - p), counts * p]
-            self.prior = float(np.clip(mass[1].sum() / counts.sum(), 1e-4, 1 - 1e-4))
-            for y in (0, 1):
-                for v in (-1, 0, 1):
-                    self.theta[y, :, v + 1] = mass[y] @ (votes == v) + smooth
-                self.theta[y] /= self.theta[y].sum(axis=1, keepdims=True)
-            if self.correlated:
-                self._correlate(votes.astype(float), mass)
+            self._estimate(marks, counts, p, smooth)
             new = self.posterior(votes)
             done, p = np.abs(new - p).max() < 1e-6, new
             if done:
                 break
+
+    def fit(self, votes: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: float = 1.0, choices: int = 5) -> LabelModel:
+        """Starts from the share of ones among each combination's votes.
+
+        With dependence, pairs are chosen by the model fitted so far and the
+        fit starts anew with them (classes that were fitted without a pair may
+        have taken the voters' agreement for the class), until the choice is
+        the same again or was made ``choices`` times.
+        """
+        votes, counts = votes.astype(np.int64), counts.astype(float)
+        marks = (votes[:, :, None] == np.arange(-1, 2)).reshape(len(votes), -1).astype(float)
+        ones, zeros = (votes == 1).sum(axis=1), (votes == 0).sum(axis=1)
+        start = (0.5 + ones) / (1.0 + ones + zeros)
+        self._rounds(votes, marks, counts, start, rounds, smooth)
+        for _ in range(choices if self.correlated else 0):
+            pairs = self._forest()
+            if pairs == self.pairs:
+                break
+            self.pairs = pairs
+            self._rounds(votes, marks, counts, start, rounds, smooth)
         return self

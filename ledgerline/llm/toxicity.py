@@ -3,10 +3,10 @@
 1. Words and word beginnings (stems) that mark toxic texts are counted over a
    bounded sample (TRAIN_ROWS) of the labelled documents outside the held-out
    fold; the strongest form the lexicon.
-2. The lexicon's words and stems are dealt to overlapping voters; patterns of
-   spelling vote too.  A generative label model estimates each voter's accuracy
-   and the correlation of voters from their vote combinations over all
-   documents, without labels.
+2. The lexicon's words are dealt to four voters, its stems to one for each
+   length; patterns of spelling vote too.  A generative label model estimates
+   each voter's accuracy and the joint votes of dependent pairs of voters from
+   the vote combinations of all documents, without labels.
 3. Its posterior labels of the sample train a logistic regression on the
    lexicon's features, which scores every whole text.
 
