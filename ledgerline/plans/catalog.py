@@ -495,7 +495,7 @@ def job_layers(spark, sf_dir, last: str, fmt: str = "csv") -> str:
     root = scratch_path(spark, "jobs")
     drop_at_exit(spark, root)
     write_raw(fx.transactions_raw(spark, sf_dir), f"{root}/raw", fmt)
-    run = {"run_id": "run-1", "audit_path": f"{root}/audit"}
+    run = {"run_id": "run-1", "audit_path": f"{root}/audit", "lineage_path": f"{root}/lineage"}
     jobs.ingest(spark, f"{root}/raw", f"{root}/bronze", f"{root}/quarantine", fmt, **run)
     if last != "ingest":
         jobs.transform(spark, f"{root}/bronze", f"{root}/silver", **run)
@@ -591,16 +591,51 @@ def q_job_ingestion_metadata(spark, sf_dir):
     )
 
 
+def run_events(events):
+    counts = ("records_read", "records_written", "records_quarantined")
+    payload = F.from_json("payload", "job_name string, run_id string, status string, " + ", ".join(f"{c} bigint" for c in counts))
+    return events.select("event_type", "actor", "subject", payload.alias("p")).select("event_type", "actor", "subject", "p.*")
+
+
 def q_job_run_events(spark, sf_dir):
     """AUD1/SNK12: the events of the three jobs, with their counts (AGG10)."""
     root = job_layers(spark, sf_dir, "load")
-    counts = ("records_read", "records_written", "records_quarantined")
-    payload = F.from_json("payload", "job_name string, run_id string, status string, " + ", ".join(f"{c} bigint" for c in counts))
-    return spark.read.json(f"{root}/audit").select("event_type", "actor", "subject", payload.alias("p")).select(
-        "event_type", "actor", "subject", "p.*"
+    return run_events(spark.read.json(f"{root}/audit"))
+
+
+def q_job_lineage(spark, sf_dir):
+    """LIN4: the lineage that the three jobs recorded, read back, with the rows that each run wrote."""
+    root = job_layers(spark, sf_dir, "load")
+    events = run_events(governance.read_audit(spark, f"{root}/audit"))
+    written = events.select(F.concat(F.lit("financial-"), "job_name").alias("job_name"), "run_id", "records_written")
+    uri = lambda side: F.replace(F.col(side)[0]["uri"], F.lit(root), F.lit("")).alias(f"{side[:-1]}_uri")
+    return governance.read_lineage(spark, f"{root}/lineage").join(written, ["job_name", "run_id"]).select(
+        "lineage_id", "job_name", "run_id", uri("inputs"), uri("outputs"), "records_written",
+        (F.col("ttl") - F.unix_seconds("recorded_at")).alias("retention_s"),
     )
 
 
+#: A user's suite: silver keeps one row of each id, bronze may hold more.
+ONE_ROW_SUITE = {"suite": "one_row", "expectations": [
+    {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "transaction_id"}},
+    {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "transaction_date"}},
+]}
+
+
+def q_job_dq_exit(spark, sf_dir):
+    """DQ12: the summaries of two validations by a user's suite, with the run date and the exit code of the job."""
+    root = job_layers(spark, sf_dir, "transform")
+    suite = qualified(spark, f"{root}/suite")
+    spark.createDataFrame([(json.dumps(ONE_ROW_SUITE),)], "value string").coalesce(1).write.text(suite)
+    runs = [
+        jobs.validate_job(spark, f"{root}/{layer}", f"{root}/dq", layer, suite, day)
+        for layer, day in (("bronze", "2024-01-30"), ("silver", "2024-01-31"))
+    ]
+    rows = [(r["dataset"], r["run_date"], r["total"], r["passed"], r["failed"], r["pass_rate"], r["overall_success"], jobs.exit_code(r)) for r in runs]
+    schema = "dataset string, run_date string, total bigint, passed bigint, failed bigint, pass_rate double, overall_success boolean, exit_code int"
+    return spark.createDataFrame(rows, schema).withColumn("run_date", F.to_date("run_date"))
+
+
 def job_validation(spark, sf_dir) -> str:
     root = job_layers(spark, sf_dir, "transform")
     jobs.validate_job(spark, f"{root}/silver", f"{root}/dq", run_date=DQ_RUN_DATE)
@@ -928,6 +963,8 @@ QUERIES: dict[str, Query] = {
     "job_run_events": q_job_run_events,
     "job_dq_results": q_job_dq_results,
     "job_dq_history": q_job_dq_history,
+    "job_dq_exit": q_job_dq_exit,
+    "job_lineage": q_job_lineage,
     "job_dq_metrics": q_job_dq_metrics,
     "job_incremental_bronze": q_job_incremental_bronze,
     "job_incremental_quarantine": q_job_incremental_quarantine,

@@ -80,9 +80,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     print(json.dumps(out, default=str))
     if stop_session:
         spark.stop()
-    if a.job == "validate":
-        return 0 if out.get("overall_success") else 1
-    return 0
+    return jobs.exit_code(out) if a.job == "validate" else 0
 
 
 if __name__ == "__main__":

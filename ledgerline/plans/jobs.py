@@ -237,6 +237,11 @@ def validate_job(
     return row
 
 
+def exit_code(summary: dict[str, Any]) -> int:
+    """DQ12: 0 where every expectation of a validation passed, else 1."""
+    return 0 if summary.get("overall_success") else 1
+
+
 def generate_job(spark: SparkSession, out: str, n: int = 10000, n_accounts: int = 1000, days_back: int = 90, fmt: str = "csv", **kw) -> None:
     """JOB6: write synthetic raw transactions (CSV with header, or JSON/Parquet)."""
     df = generate(spark, n, n_accounts, days_back, **kw)

@@ -64,6 +64,8 @@ PARITY = [
     "lineage_fragments",
     "dq_runtime_error",
     "job_dq_history",
+    "job_dq_exit",
+    "job_lineage",
     "fraud_rate_alarm_stream",
 ]
 
