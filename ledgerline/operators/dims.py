@@ -47,6 +47,10 @@ def dim_date_for(df: DataFrame, date_col: str = "transaction_date", **kw) -> Dat
     return dim_date_between(bounds, **kw)
 
 
+#: The columns that the merchant dimension reads.
+MERCHANT_INPUTS = ("transaction_id", "merchant_id", "merchant_name", "category", "country_code", "created_at", "updated_at")
+
+
 def dim_merchants(silver: DataFrame, high_risk_countries: Iterable[str] | None = None) -> DataFrame:
     """DIM3: latest attributes per merchant (map-side-combined max(struct)), first/last seen."""
     hr = list(high_risk_countries if high_risk_countries is not None else C.DEFAULT_THRESHOLDS["high_risk_countries"])

@@ -238,6 +238,13 @@ def apply_rules(
     )
 
 
+#: The columns that scoring and alerts read: a narrower copy than the layer's serves both.
+SCORE_INPUTS = (
+    "transaction_id", "account_id", "merchant_id", "created_at", "amount_usd", "transaction_type", "transaction_hour",
+    "country_code", "device_id", "is_international",
+)
+
+
 def score_transactions(
     txns: DataFrame,
     thresholds: Thresholds | dict | None = None,

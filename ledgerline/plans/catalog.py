@@ -7,7 +7,7 @@ operators over the whole input tables.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +32,11 @@ def bronze_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid
 
 
-def silver_t(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
-    """Silver T.  ``materialize=True`` writes it as a Parquet table in the shared
-    checkpoint folder for plans that read silver in several branches, so the
-    dedupe shuffle runs once and each branch reads only its columns."""
-    df = etl.to_silver(bronze_t(spark, sf_dir))
+def silver_t(spark: SparkSession, sf_dir: str, materialize: bool = False, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """Silver T.  ``materialize=True`` writes its ``columns`` as a Parquet table in
+    the shared checkpoint folder for plans that read silver in several branches,
+    so the dedupe shuffle runs once and each branch reads only its columns."""
+    df = etl.to_silver(bronze_t(spark, sf_dir)).select(*columns)
     return shared_table(df, "silver") if materialize else df
 
 
@@ -153,8 +153,9 @@ def q_kpi_vs_previous_period(spark, sf_dir):
 ORACLE_THRESHOLDS = Thresholds(velocity_per_hour=0)
 
 
-def scored_t(spark, sf_dir, thresholds: Thresholds = ORACLE_THRESHOLDS) -> DataFrame:
-    return fraud.score_transactions(silver_t(spark, sf_dir, materialize=True), thresholds)
+def scored_t(spark, sf_dir, thresholds: Thresholds = ORACLE_THRESHOLDS, more: Sequence[str] = ()) -> DataFrame:
+    silver = silver_t(spark, sf_dir, materialize=True, columns=(*fraud.SCORE_INPUTS, *more))
+    return fraud.score_transactions(silver, thresholds)
 
 
 SCORE_COLUMNS = [
@@ -180,9 +181,8 @@ def q_velocity_1h(spark, sf_dir):
 
 
 def q_new_merchant(spark, sf_dir):
-    return fraud.first_merchant_visits(silver_t(spark, sf_dir, materialize=True)).select(
-        "transaction_id", "account_id", "merchant_id", "is_new_merchant"
-    )
+    silver = silver_t(spark, sf_dir, materialize=True, columns=("transaction_id", "account_id", "merchant_id", "created_at"))
+    return fraud.first_merchant_visits(silver).select("transaction_id", "account_id", "merchant_id", "is_new_merchant")
 
 
 def _rule_query(idx: int) -> Query:
@@ -375,7 +375,7 @@ def q_dim_fraud_alerts(spark, sf_dir):
 
 
 def q_fact_join_dims(spark, sf_dir):
-    s = silver_t(spark, sf_dir, materialize=True)
+    s = silver_t(spark, sf_dir, materialize=True, columns=(*dims.MERCHANT_INPUTS, "transaction_date", "amount_usd"))
     return dims.fact_join_dims(s, dims.dim_date_for(s), dims.dim_merchants(s))
 
 
@@ -816,7 +816,9 @@ def alarm_deliveries(spark, rows: DataFrame, periods, breach, n_periods: int) ->
 
 def fraud_rate_stream(spark, sf_dir) -> str:
     arrival = F.expr(f"{fx.STREAM_DELIVERY} + cast({fx.STREAM_DELAYED} as int)")
-    scored = scored_t(spark, sf_dir).select(F.col("created_at").cast("timestamp").alias("created_at"), "is_fraud", arrival.alias("arrival"))
+    scored = scored_t(spark, sf_dir, more=("transaction_date",)).select(
+        F.col("created_at").cast("timestamp").alias("created_at"), "is_fraud", arrival.alias("arrival")
+    )
     return alarm_deliveries(spark, scored, alarm_stream.fraud_rate_periods, F.col("fraud_rate_pct") > 5.0, 2)
 
 
