@@ -11,7 +11,9 @@ code generation and JIT warm-up) and a warm pass (steady state, as on a
 long-running cluster).  ``value`` is the warm total; the cold per-query
 times are reported alongside under ``cold``.  BENCH_PASSES=1 runs the cold
 pass only; with more than two passes, the warm times are medians of all but
-the cold one.
+the cold one.  ``gauge`` tells the machine's speed at that time: the median CPU
+time of a small loop in milliseconds, between the passes; 1 is usual, 2 is half
+as fast.
 """
 
 from __future__ import annotations
@@ -44,6 +46,16 @@ HEADLINE = [
 ]
 
 
+def gauge(times: int = 99) -> float:
+    """Median CPU milliseconds of a loop that needs about one of them on a usual machine."""
+    took = []
+    for _ in range(times):
+        t0 = time.process_time()
+        sum(range(50_000))
+        took.append((time.process_time() - t0) * 1000)
+    return statistics.median(took)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -64,8 +76,14 @@ def main() -> None:
             times[name] = round(time.perf_counter() - t0, 3)
         return times
 
+    speeds = [gauge()]
     cold = run_pass()
-    warms = [run_pass() for _ in range(passes - 1)] or [cold]
+    speeds.append(gauge())
+    warms = []
+    for _ in range(passes - 1):
+        warms.append(run_pass())
+        speeds.append(gauge())
+    warms = warms or [cold]
     warm = {name: round(statistics.median(w[name] for w in warms), 3) for name in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
@@ -75,6 +93,7 @@ def main() -> None:
                 "value": round(sum(warm.values()), 3),
                 "unit": "sec",
                 "queries": warm,
+                "gauge": round(statistics.median(speeds), 2),
                 "cold_total": round(sum(cold.values()), 3),
                 "cold": cold,
                 "sf": float(m.group(1)) if m else sf_dir,
