@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import logging
+from contextlib import contextmanager
 from typing import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ from .. import config as C
 from ..config import Thresholds, load_thresholds
 from ..operators import fraud, governance
 from ..schemas import CORRUPT_COLUMN, STREAM_RECORD_SCHEMA, STREAM_TRANSACTION_SCHEMA
+from ..session import CORE_CONF
 from ..sources.shards import read_shards
 from .account_state import AccountProcessor
 from .keyed_store import KeyedStore
@@ -319,6 +321,24 @@ def make_sink(
     return sink
 
 
+STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: Spark's default store, which has one column family.
+MEMORY_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@contextmanager
+def _held(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """``conf`` while the block runs; then as it was."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def start_fraud_stream(
     spark: SparkSession,
     source_dir: str,
@@ -360,17 +380,16 @@ def start_fraud_stream(
 
     # Processing-time timeouts would otherwise schedule an endless series of
     # no-data batches under availableNow; timeouts are handled on data batches.
-    # The setting is captured when the query starts, then restored.
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    prev = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
+    # Typed state needs a store with column families, whatever the session was built with.
+    # The settings are captured when the query starts, then restored.
+    conf = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    if typed_state and spark.conf.get(STORE_KEY, MEMORY_STORE) == MEMORY_STORE:
+        conf[STORE_KEY] = CORE_CONF[STORE_KEY]
+    with _held(spark, conf):
         q1 = trig(
             featured.writeStream.foreachBatch(make_sink(out_dir, thresholds_path, thresholds, **sink))
             .option("checkpointLocation", f"{checkpoint_dir}/scoring")
         ).start()
-    finally:
-        spark.conf.set(key, prev)
     rejects = parsed_records("rejects").where(F.col("reject_reason").isNotNull()).select(
         "sequence_number", "arrival_ts", "reject_reason", F.col("text").alias("payload")
     )

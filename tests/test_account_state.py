@@ -56,3 +56,16 @@ def test_an_account_with_many_merchants_is_read_by_key(spark, tmp_dir):
     fs.run_available_now(spark, src, out, ck, typed_state=True, state_options={"dedupe_horizon_s": 1})
     got = {r[0]: r[2] for r in scored(spark, out)}
     assert got["9000"] is False and got["9001"] is True and time.time() - start < 60
+
+
+def test_typed_state_in_a_session_with_the_default_store(spark, tmp_dir):
+    """The session that runs a query may have been built without ledgerline's settings."""
+    plain = spark.newSession()
+    for k, v in {fs.STORE_KEY: fs.MEMORY_STORE, "spark.sql.shuffle.partitions": "2", "spark.sql.session.timeZone": "UTC"}.items():
+        plain.conf.set(k, v)
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/out"
+    for k in range(2):  # the second run restarts from the first one's checkpoint
+        _write(src, f"p{k}", [(f"s{k}", _payload(_txn(k, "a", k, merchant="M1")))])
+        fs.run_available_now(plain, src, out, f"{tmp_dir}/ck", typed_state=True)
+    assert [r[2] for r in scored(plain, out)] == [True, False]
+    assert plain.conf.get(fs.STORE_KEY) == fs.MEMORY_STORE
