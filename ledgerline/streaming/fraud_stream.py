@@ -5,7 +5,7 @@ in a directory (a Kafka source plugs in the same way where its connector is
 installed).  Two queries share the source:
 
 * the **scoring** query: decode -> parse -> watermark on event time ->
-  ``groupBy(account_id).applyInPandasWithState`` keeping, per account, the
+  ``groupBy(account group).applyInPandasWithState`` keeping, per account, the
   last hour of event times (velocity), the merchants seen (new merchant) and
   recently seen transaction ids (re-delivery) -> the same Column rules as the
   batch path -> ``foreachBatch`` writing scored rows, alerts, notifications
@@ -70,13 +70,15 @@ def encode_payloads(txns: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- STR1 / STR2
 def decode_and_parse(records: DataFrame) -> DataFrame:
     """STR1+STR2: base64 -> UTF-8 -> JSON; adds ``reject_reason`` in {decode, json, missing_id}."""
-    raw = F.try_to_binary(F.col("data"), F.lit("base64"))
-    ok = raw.isNotNull() & F.is_valid_utf8(raw)
-    text = F.when(ok, raw.cast("string"))
+    # explode() of one value is computed once: a filter on a column of select() would take its place there and decode and
+    # parse the text again for each of its mentions
+    raw = F.array(F.try_to_binary(F.col("data"), F.lit("base64")))
+    text = F.transform(raw, lambda b: F.when(b.isNotNull() & F.is_valid_utf8(b), b.cast("string")))
+    df = records.select("sequence_number", "arrival_ts", F.explode(text).alias("text"))
     parsed = F.from_json(
-        text, STREAM_TRANSACTION_SCHEMA, {**JSON_OPTS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+        "text", STREAM_TRANSACTION_SCHEMA, {**JSON_OPTS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     )
-    df = records.select("sequence_number", "arrival_ts", text.alias("text"), parsed.alias("t"))
+    df = df.select("sequence_number", "arrival_ts", "text", F.explode(F.array(parsed)).alias("t"))
     reason = (
         F.when(F.col("text").isNull(), F.lit("decode"))
         .when(F.col("t").isNull() | F.col(f"t.{CORRUPT_COLUMN}").isNotNull(), F.lit("json"))
@@ -111,6 +113,7 @@ def make_state_fn(
     idle_timeout_ms: int = 3_600_000,
     merchant_horizon_s: int | None = None,
     watermark_s: int = 600,
+    grouped: bool = False,
 ):
     """Per-account state: the event times that a row in time can still count (window
     plus ``watermark_s``, the stream's watermark), merchants seen (with last-seen
@@ -120,6 +123,9 @@ def make_state_fn(
     An idle account is pruned by these same horizons in event time, and goes
     only when nothing is left.  Rows behind the watermark are scored like the
     others, from the history that is still kept, and flagged ``is_late``.
+
+    A key is an account or, if ``grouped``, a group of accounts, whose states are
+    kept side by side: a call for a key costs some milliseconds, whatever its rows.
     """
     delay = watermark_s * 1_000_000
     W = window_s * 1_000_000
@@ -134,6 +140,31 @@ def make_state_fn(
             "s": {k: v for k, v in st["s"].items() if v > top - H},
         }
 
+    def advance(st: dict, us: np.ndarray, ids: list, merchant_ids: list, wm_us: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """An account's rows of a batch, by (event time, id): its next state, and recent count, new merchant,
+        late and live (no duplicate) of each."""
+        seen, merchants = st["s"], st["m"]
+        live, is_new = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        for i, (one, merchant, at) in enumerate(zip(ids, merchant_ids, us.tolist())):
+            if one in seen:
+                continue
+            seen[one], live[i] = at, True
+            if isinstance(merchant, str):
+                # new: no sighting at this merchant so far (within the horizon, if set)
+                before = merchants.get(merchant)
+                is_new[i] = before is None or (MH is not None and before <= at - MH)
+                merchants[merchant] = at if before is None else max(at, before)
+        # a re-delivered id was already scored: report it as a duplicate even when it is also late
+        late = live & (us < wm_us) & (wm_us > 0)
+        # velocity: events of this account in (t - W, t), history + this batch
+        cur = us[live]
+        times = np.sort(np.concatenate([np.array(st["t"], dtype="int64"), cur]))
+        recent = np.zeros(len(ids), dtype="int32")
+        recent[live] = np.searchsorted(times, cur, side="left") - np.searchsorted(times, cur - W, side="right")
+        top = int(times[-1]) if len(times) else 0
+        st["t"] = times.tolist()
+        return prune(st, max(wm_us, top - delay), top), recent, is_new, late, live
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         st = json.loads(state.get[0]) if state.exists else {"t": [], "m": {}, "s": {}}
         if state.hasTimedOut:
@@ -154,36 +185,60 @@ def make_state_fn(
         order = sorted(range(len(pdf)), key=lambda i: (us[i], ids[i]))
         pdf, us, ids = pdf.take(order), us[order], [ids[i] for i in order]
         wm_us = int(state.getCurrentWatermarkMs()) * 1000
-        seen, merchants = st["s"], st["m"]
-        live, is_new = np.zeros(len(pdf), bool), np.zeros(len(pdf), bool)
-        for i, (one, merchant, at) in enumerate(zip(ids, pdf["merchant_id"].tolist(), us.tolist())):
-            if one in seen:
-                continue
-            seen[one], live[i] = at, True
-            if isinstance(merchant, str):
-                # new: no sighting at this merchant so far (within the horizon, if set)
-                before = merchants.get(merchant)
-                is_new[i] = before is None or (MH is not None and before <= at - MH)
-                merchants[merchant] = at if before is None else max(at, before)
-        # a re-delivered id was already scored: report it as a duplicate even when it is also late
-        late = live & (us < wm_us) & (wm_us > 0)
-        # velocity: events of this account in (t - W, t), history + this batch
-        cur = us[live]
-        times = np.sort(np.concatenate([np.array(st["t"], dtype="int64"), cur]))
-        recent = np.zeros(len(pdf), dtype="int32")
-        recent[live] = np.searchsorted(times, cur, side="left") - np.searchsorted(times, cur - W, side="right")
-        top = int(times[-1]) if len(times) else 0
-        st["t"] = times.tolist()
-        state.update((json.dumps(prune(st, max(wm_us, top - delay), top)),))
+        st, recent, is_new, late, live = advance(st, us, ids, pdf["merchant_id"].tolist(), wm_us)
+        state.update((json.dumps(st),))
         state.setTimeoutDuration(idle_timeout_ms)
         yield pdf[STATEFUL_FIELDS].assign(recent_count=recent, is_new_merchant=is_new, is_late=late, is_duplicate=~live)
 
-    return fn
-
-
-def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", typed: bool = False, **kw) -> DataFrame:
+    def many(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """The same for a group of accounts: each has its state, and the time of its last rows or pruning, in one list."""
+        saved = {a: (st, at) for a, st, at in json.loads(state.get[0])} if state.exists else {}
+        wm_us, now = int(state.getCurrentWatermarkMs()) * 1000, int(state.getCurrentProcessingTimeMs())
+        frames = [] if state.hasTimedOut else [f for f in pdfs if len(f)]
+        present = set()
+        if frames:
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+            accounts = [a if isinstance(a, str) else None for a in pdf["account_id"].tolist()]
+            us = pdf["created_at"].to_numpy().astype("datetime64[us]").astype("int64")
+            ids, merchant_ids = pdf["transaction_id"].tolist(), pdf["merchant_id"].tolist()
+            at = us.tolist()
+            order = sorted(range(len(pdf)), key=lambda i: (accounts[i] is not None, accounts[i] or "", at[i], ids[i]))
+            pdf, us = pdf.take(order), us[order]
+            accounts, ids, merchant_ids = ([x[i] for i in order] for x in (accounts, ids, merchant_ids))
+            cuts = [0, *(i for i in range(1, len(ids)) if accounts[i] != accounts[i - 1]), len(ids)]
+            parts = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                st = saved[accounts[lo]][0] if accounts[lo] in saved else {"t": [], "m": {}, "s": {}}
+                st, *flags = advance(st, us[lo:hi], ids[lo:hi], merchant_ids[lo:hi], wm_us)
+                saved[accounts[lo]] = st, now
+                present.add(accounts[lo])
+                parts.append(flags)
+            recent, is_new, late, live = (np.concatenate(x) for x in zip(*parts))
+        for a, (st, since) in list(saved.items()):
+            if a not in present and now - since >= idle_timeout_ms:
+                st = prune(st, wm_us, wm_us)
+                saved[a] = st, now
+                if not any(st.values()):
+                    del saved[a]
+        if saved:
+            state.update((json.dumps([[a, *rest] for a, rest in saved.items()]),))
+            state.setTimeoutDuration(max(1, min(since for _, since in saved.values()) + idle_timeout_ms - now))
+        elif state.exists:
+            state.remove()
+        if frames:
+            yield pdf[STATEFUL_FIELDS].assign(recent_count=recent, is_new_merchant=is_new, is_late=late, is_duplicate=~live)
+
+    return many if grouped else fn
+
+
+#: Groups of accounts, by a hash, that share a document of state.
+ACCOUNT_GROUPS = 1024
+
+
+def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", typed: bool = False, groups: int = ACCOUNT_GROUPS, **kw) -> DataFrame:
     """Rows with velocity, new merchant, late and duplicate flags; ``typed`` keeps the state in variables that are
-    read by key (``account_state``) instead of one document per account: for accounts with very many merchants."""
+    read by key (``account_state``) instead of one document per group of accounts: for accounts with very many
+    merchants.  The number of groups belongs to the checkpoint: as many as give each some hundred accounts."""
     good = parsed.where(F.col("reject_reason").isNull()).select(*STATEFUL_FIELDS)
     good = good.withWatermark("created_at", watermark)
     kw.setdefault("watermark_s", int(pd.Timedelta(watermark).total_seconds()))
@@ -191,8 +246,9 @@ def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", typed:
         return good.groupBy("account_id").transformWithStateInPandas(
             AccountProcessor(STATEFUL_FIELDS, **kw), _state_output_schema(good.schema), "Append", "ProcessingTime"
         )
-    return good.groupBy("account_id").applyInPandasWithState(
-        make_state_fn(**kw),
+    good = good.withColumn("account_group", F.pmod(F.xxhash64("account_id"), F.lit(groups)).cast("int"))
+    return good.groupBy("account_group").applyInPandasWithState(
+        make_state_fn(grouped=True, **kw),
         _state_output_schema(good.schema),
         STATE_SCHEMA,
         "append",

@@ -68,7 +68,8 @@ class KeyedStore:
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         named = rows.select(*self.schema.names).withColumn(BUCKET, self._bucket(F.col(self.key)))
-        named.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.log}/{BATCH}={batch_id}")
+        # a task writes whole buckets: a file for each, not one for each task and bucket
+        named.repartition(self.buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.log}/{BATCH}={batch_id}")
 
     # ------------------------------------------------------------ reading
     def _manifest(self) -> tuple[int, int, list]:

@@ -213,3 +213,57 @@ def test_ingest_reads_its_files_once(spark, tmp_dir):
     # both sinks hold rows of one reading: they share its time
     assert (b[0].transaction_id, q[0].transaction_id) == ("t1", "t2")
     assert b[0].ingestion_timestamp == q[0].ingestion_timestamp
+
+
+class Clock(State):
+    now = 0
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+
+def test_grouped_accounts_have_the_states_of_single_ones():
+    """Three accounts (one without id) in one document give the rows that each gives alone, also after a time out."""
+    batches = [
+        [(1, "a", 0, "M1"), (2, "b", 5, "M1"), (3, None, 6, "M1"), (4, "a", 10, None), (1, "a", 0, "M1"), (5, "b", 4, "M2")],
+        [(6, "a", 20, "M1"), (2, "b", 5, "M1"), (7, None, 30, "M1"), (8, "c", 1, "M9")],
+        [(9, "b", 2000, "M2"), (3, None, 6, "M1"), (4, "a", 10, None)],
+    ]
+
+    def frame(rows):
+        data = [[str(i), a, 1, "DEBIT", 0, False, "US", m, "d", START + pd.Timedelta(minutes=t), f"s{i}"] for i, a, t, m in rows]
+        return pd.DataFrame(data, columns=fs.STATEFUL_FIELDS)
+
+    together, group = fs.make_state_fn(grouped=True), Clock()
+    apart, states = fs.make_state_fn(), {}
+    for k, rows in enumerate(batches):
+        group.now, group.watermark_ms = k * 4_000_000, ms(10 * k)
+        got = pd.concat(together((1,), iter([frame(rows)]), group))
+        want = []
+        for account in dict.fromkeys(r[1] for r in rows):
+            state = states.setdefault(account, State())
+            state.watermark_ms = ms(10 * k)
+            want += apart((account,), iter([frame([r for r in rows if r[1] == account])]), state)
+        as_rows = lambda f: sorted(map(tuple, f.astype(str).to_numpy()))
+        assert as_rows(got) == as_rows(pd.concat(want))
+    group.hasTimedOut, group.now, group.watermark_ms = True, 20_000_000, ms(10_000)
+    assert list(together((1,), iter([]), group)) == []
+    left = {a: st for a, st, _ in json.loads(group.value[0])}
+    assert set(left) == {"a", "b", "c", None} and not any(st["s"] or st["t"] for st in left.values())
+
+
+def test_a_record_is_parsed_once(spark):
+    records = spark.createDataFrame([("a", "b", None)], "sequence_number string, data string, arrival_ts timestamp")
+    for rows in ("reject_reason is null", "reject_reason is not null"):
+        plan = fs.decode_and_parse(records).where(rows)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1 and plan.count("unbase64") == 1
+
+
+def test_a_batch_of_the_store_has_a_file_for_each_bucket(spark, tmp_dir):
+    import glob
+
+    from ledgerline.streaming.keyed_store import KeyedStore
+
+    store = KeyedStore(spark, f"{tmp_dir}/store", "k string, ttl bigint", "k", buckets=4)
+    store.put(spark.range(400).repartition(8).selectExpr("cast(id as string) k", "id ttl"), 0)
+    assert len(glob.glob(f"{tmp_dir}/store/log/batch_id=0/bucket=*/*.parquet")) == 4 and store.read().count() == 400
