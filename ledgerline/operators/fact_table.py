@@ -73,14 +73,13 @@ def key_filters(keys: DataFrame) -> DataFrame:
     positions = keys.where("key is not null").join(sizes.select("file", "bits"), "file").select("file", F.explode(each).alias("at"))
     word = F.floor(F.col("at") / 64).cast("int")
     one = F.expr("shiftleft(1L, cast(at % 64 as int))")
-    words = positions.groupBy("file", word.alias("word")).agg(F.bit_or(one).alias("b"))
-    filled = words.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("word", "b"))).alias("set"))  # rows of a file: bounded
+    # every word of a filter comes once as zero, so that a file's array is its words in order
     count = (F.col("bits") / 64).cast("int")
-    array = F.transform(F.sequence(F.lit(0), count - 1), lambda w: F.coalesce(F.try_element_at("set", w), F.lit(0).cast("bigint")))
-    return sizes.join(filled, "file", "left").select(
-        "file", "bucket", "rows", "bits",
-        F.when(F.col("set").isNull(), F.transform(F.sequence(F.lit(0), count - 1), lambda w: F.lit(0).cast("bigint"))).otherwise(array).alias("filter"),
-    )
+    zeros = sizes.select("file", F.explode(F.sequence(F.lit(0), count - 1)).alias("word"), F.lit(0).cast("bigint").alias("b"))
+    words = positions.select("file", word.alias("word"), one.alias("b")).unionByName(zeros)
+    words = words.groupBy("file", "word").agg(F.bit_or("b").alias("b"))
+    filled = words.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("word", "b"))).alias("set"))  # rows of a file: bounded
+    return sizes.join(filled, "file").select("file", "bucket", "rows", "bits", F.col("set.b").alias("filter"))
 
 
 class FactTable:

@@ -106,3 +106,16 @@ def test_merge_fact_job(spark, tmp_dir):
     n = spark.read.parquet(f"{tmp_dir}/silver").count()
     assert first["records_written"] == again["records_written"] == n
     assert FactTable(spark, f"{tmp_dir}/fact").read().count() == n
+
+
+def test_filters_are_built_without_a_lookup_for_each_word(spark):
+    """A lookup in a map of a filter's words goes through them: a file of n rows took n * n steps."""
+    keys = spark.range(20000).selectExpr("'f' file", "0 bucket", "cast(id as string) key").unionByName(
+        spark.createDataFrame([("g", 1, None)], "file string, bucket int, key string")
+    )
+    filters = key_filters(keys)
+    assert "element_at" not in filters._jdf.queryExecution().optimizedPlan().toString()
+    f, g = sorted(filters.collect(), key=lambda r: r.file)
+    assert (f.rows, f.bits, len(f.filter)) == (20000, 200000, 3125) and (g.rows, g.bits, g.filter) == (1, 64, [0])
+    own = keys.join(filters, ["file", "bucket"]).where(might_hold(F.col("bits"), F.col("filter"), F.col("key")))
+    assert own.count() == 20000
