@@ -156,16 +156,25 @@ def dedupe_latest(
     return out.select(*[pos[c] for c in all_cols])
 
 
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Does a key (null is one) come more than once?  Shuffles that column only, where ``dedupe_latest`` shuffles
+    whole rows, which without repeats it leaves as they are."""
+    return not df.groupBy(key).count().where("count > 1").isEmpty()
+
+
 def deduplicate_transactions(df: DataFrame) -> DataFrame:
     """WIN1 on transactions: latest updated_at, then created_at, then row hash."""
     return dedupe_latest(df, ["transaction_id"], ["updated_at", "created_at"], hash_tiebreak=True)
 
 
-def to_silver(bronze: DataFrame, rates: dict[str, str] | None = None, default_rate: str | None = None) -> DataFrame:
-    """JOB2 body: normalise -> enrich -> dedupe -> derive (same order as the platform)."""
+def to_silver(
+    bronze: DataFrame, rates: dict[str, str] | None = None, default_rate: str | None = None, dedupe: bool = True
+) -> DataFrame:
+    """JOB2 body: normalise -> enrich -> dedupe (unless the ids are known to be unique) -> derive (same order as the platform)."""
     df = normalize_currency(bronze, rates, default_rate)
     df = enrich_category(df)
-    df = deduplicate_transactions(df)
+    if dedupe:
+        df = deduplicate_transactions(df)
     return add_derived_columns(df)
 
 

@@ -30,6 +30,8 @@ from ..sources.files import read_layer, read_raw, read_raw_stream
 from ..sources.generator import generate
 
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Of the layers' Parquet files.
+COMPRESSION = "zstd"
 #: Partition column of layers that hold a folder per ingest run.
 RUN_COLUMN = "ingest_run"
 
@@ -83,6 +85,7 @@ def _write_partitioned(df: DataFrame, path: str, col: str, mode: str, dynamic: b
         df.sortWithinPartitions(col)
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("compression", COMPRESSION)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(col)
         .parquet(path)
@@ -149,8 +152,10 @@ def transform(
     no transaction's date moves and bronze holds each of its dates in full.
     """
     with _recorded(spark, "transform", bronze_path, silver_path, run_id, audit_path, lineage_path) as counts:
-        bronze, read = _observed(read_layer(spark, bronze_path).drop(RUN_COLUMN), "bronze")
-        silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate), "silver")
+        layer = read_layer(spark, bronze_path).drop(RUN_COLUMN)
+        bronze, read = _observed(layer, "bronze")
+        repeats = etl.has_repeats(layer, "transaction_id")
+        silver, obs = _observed(etl.to_silver(bronze, default_rate=default_rate, dedupe=repeats), "silver")
         _write_partitioned(silver, silver_path, "transaction_date", "overwrite", dynamic=only_new_dates)
         counts.update(records_read=int(read.get["rows"]), records_written=int(obs.get["rows"]))
     return counts
@@ -173,12 +178,16 @@ def load(
         target = spark._jvm.org.apache.hadoop.fs.Path(fact_out)
         if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
             raise FileExistsError(f"a fact version needs a folder of its own: {fact_out}")
-        silver, read = _observed(read_layer(spark, silver_path), "silver")
+        layer = read_layer(spark, silver_path)
+        silver, read = _observed(layer, "silver")
         staging = etl.conform_fact(silver)
+        repeats = etl.has_repeats(etl.conform_fact(layer), "transaction_id")
         if fact_prev:
-            merged = etl.upsert(read_layer(spark, fact_prev).select(*staging.columns), staging)
-        else:
+            merged = etl.upsert(read_layer(spark, fact_prev).select(*staging.columns), staging, dedupe_staging=repeats)
+        elif repeats:
             merged = etl.dedupe_latest(staging, ["transaction_id"], ["updated_at"], hash_tiebreak=True)
+        else:
+            merged = staging
         merged, obs = _observed(merged, "fact")
         _write_partitioned(merged, fact_out, "transaction_date", "errorifexists")
         counts.update(records_read=int(read.get["rows"]), records_written=int(obs.get["rows"]))
@@ -273,6 +282,7 @@ def start_ingest_stream(
         w = (
             frame.writeStream.format("parquet")
             .option("path", path)
+            .option("compression", COMPRESSION)
             .option("checkpointLocation", f"{checkpoint_dir}/{name}")
             .partitionBy(part)
         )

@@ -147,3 +147,27 @@ def test_further_attempts_of_an_ingest_append_nothing_twice(spark, tmp_dir, monk
     for bad in (None, "", "a/b", "x=y"):
         with pytest.raises(ValueError):
             run(bad)
+
+
+def test_rows_are_deduplicated_only_where_ids_repeat(spark, tmp_dir, monkeypatch):
+    from ledgerline.operators import etl
+    from ledgerline.plans.catalog import bronze_t
+
+    one = bronze_t(spark, "/root/testdata/sf0.001").limit(20)
+    one.write.parquet(f"{tmp_dir}/once")
+    one.unionByName(one.limit(5)).write.parquet(f"{tmp_dir}/twice")
+    calls, whole = [], etl.dedupe_latest
+    monkeypatch.setattr(etl, "dedupe_latest", lambda *a, **k: calls.append(1) or whole(*a, **k))
+    for layer, n in (("once", 0), ("twice", 1)):
+        assert jobs.transform(spark, f"{tmp_dir}/{layer}", f"{tmp_dir}/silver-{layer}")["records_written"] == 20
+        assert len(calls) == n
+    silver = spark.read.parquet(f"{tmp_dir}/silver-once")
+    silver.unionByName(silver.limit(5)).write.parquet(f"{tmp_dir}/silver-repeats")
+    for layer, prev in (("silver-once", None), ("silver-once", "a"), ("silver-repeats", None), ("silver-repeats", "a")):
+        calls.clear()
+        out = f"{tmp_dir}/fact/" + (f"{layer}-{prev}" if prev or layer != "silver-once" else "a")
+        counts = jobs.load(spark, f"{tmp_dir}/{layer}", out, prev and f"{tmp_dir}/fact/{prev}")
+        assert counts["records_written"] == 20 and counts["records_read"] == (20 if layer == "silver-once" else 25)
+        assert bool(calls) == (layer == "silver-repeats")
+    none = spark.createDataFrame([(None,), ("a",)], "k string")
+    assert not etl.has_repeats(none, "k") and etl.has_repeats(none.unionByName(none.where("k is null")), "k")
