@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
@@ -39,6 +40,10 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from ..schemas import STREAM_RECORD_SCHEMA
 
 FORMAT = "ledgerline_shards"
+#: Of a reading task, whatever the size of a file: bytes of a column read at once, and rows handed on at once.
+READ_BYTES, BATCH_ROWS = 1 << 20, 8192
+#: Bytes of a row group that ``append_records`` writes.
+ROW_GROUP_BYTES = 16 << 20
 SCHEMA = StructType(
     [StructField("shard", IntegerType()), StructField("record_offset", LongType()), *STREAM_RECORD_SCHEMA.fields]
 )
@@ -62,6 +67,7 @@ def append_records(records: DataFrame, root: str, delivery: int, key: Column, sh
         placed.repartitionByRange("shard", order)
         .sortWithinPartitions("shard", order)
         .write.mode("overwrite")
+        .option("parquet.block.size", str(ROW_GROUP_BYTES))
         .partitionBy("shard")
         .parquet(f"{root}/delivery={delivery:08d}")
     )
@@ -196,13 +202,13 @@ class ShardReader(DataSourceStreamReader):
         fs = open_uri(self.root)[0]
         names = STREAM_RECORD_SCHEMA.names
         with fs.open_input_file(partition.path) as f:
-            file = pq.ParquetFile(f)
+            file = pq.ParquetFile(f, buffer_size=READ_BYTES)  # column chunks are streamed, not held whole
             row = 0
             for g in range(file.num_row_groups):
                 n = file.metadata.row_group(g).num_rows
                 if row < partition.hi and row + n > partition.lo:
                     at = row
-                    for b in file.iter_batches(row_groups=[g], columns=names):
+                    for b in file.iter_batches(BATCH_ROWS, row_groups=[g], columns=names):
                         lo, hi = max(partition.lo, at), min(partition.hi, at + b.num_rows)
                         if lo < hi:
                             yield self._placed(b.slice(lo - at, hi - lo), partition, partition.first + lo)
@@ -214,7 +220,7 @@ class ShardReader(DataSourceStreamReader):
         utc = pa.timestamp("us", tz="UTC")
         columns = [b.column(n) for n in STREAM_RECORD_SCHEMA.names]
         columns = [c.cast(utc) if pa.types.is_timestamp(c.type) else c.cast(pa.string()) for c in columns]
-        place = [pa.array([s.shard] * b.num_rows, pa.int32()), pa.array(range(offset, offset + b.num_rows), pa.int64())]
+        place = [pa.repeat(pa.scalar(s.shard, pa.int32()), b.num_rows), pa.array(np.arange(offset, offset + b.num_rows))]
         return pa.RecordBatch.from_arrays(place + columns, names=SCHEMA.names)
 
     def commit(self, end: dict) -> None:

@@ -114,3 +114,27 @@ def test_fraud_stream_over_shards(spark, tmp_dir):
     fraud_stream.run_available_now(spark, f"{tmp_dir}/in", f"{tmp_dir}/b", f"{tmp_dir}/ckb", shards={})
     read = lambda x: sorted(map(str, fraud_stream.read_output(spark, f"{tmp_dir}/{x}", "scored").drop("batch_id").collect()))
     assert read("a") == read("b") and len(read("a")) == records.count()
+
+
+def test_a_large_row_group_is_streamed(tmp_dir):
+    """A task holds some batches of a file, not its columns."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    n = 150_000
+    noise = os.urandom(n * 200).hex()
+    table = pa.table({
+        "sequence_number": [f"{i:09d}" for i in range(n)], "data": [noise[400 * i : 400 * i + 400] for i in range(n)],
+        "arrival_ts": pa.array(range(n), pa.timestamp("us", tz="UTC")),
+    })
+    os.makedirs(f"{tmp_dir}/in")
+    pq.write_table(table, f"{tmp_dir}/in/f.parquet", row_group_size=n, use_dictionary=False, compression="none")
+    del table, noise
+    reader = shards.ShardReader({"path": f"{tmp_dir}/in"})
+    before, most, seen = pa.total_allocated_bytes(), 0, []
+    for b in reader.read(shards.Slice(2, f"{tmp_dir}/in/f.parquet", 1000, 10, n - 10)):
+        most = max(most, pa.total_allocated_bytes() - before)
+        seen.append((b.num_rows, b.column(1)[0].as_py(), b.column(0)[0].as_py(), b.column(2)[0].as_py()))
+    assert sum(r[0] for r in seen) == n - 20 and seen[0][1:] == (1010, 2, "000000010") and most < 30 << 20
