@@ -242,14 +242,15 @@ def with_account_state(parsed: DataFrame, watermark: str = "10 minutes", typed:
     good = parsed.where(F.col("reject_reason").isNull()).select(*STATEFUL_FIELDS)
     good = good.withWatermark("created_at", watermark)
     kw.setdefault("watermark_s", int(pd.Timedelta(watermark).total_seconds()))
+    schema = _state_output_schema(good.schema)
+    good = good.withColumn("account_group", F.pmod(F.xxhash64("account_id"), F.lit(groups)).cast("int"))
     if typed:
-        return good.groupBy("account_id").transformWithStateInPandas(
-            AccountProcessor(STATEFUL_FIELDS, **kw), _state_output_schema(good.schema), "Append", "ProcessingTime"
+        return good.groupBy("account_group").transformWithStateInPandas(
+            AccountProcessor(STATEFUL_FIELDS, **kw), schema, "Append", "ProcessingTime"
         )
-    good = good.withColumn("account_group", F.pmod(F.xxhash64("account_id"), F.lit(groups)).cast("int"))
     return good.groupBy("account_group").applyInPandasWithState(
         make_state_fn(grouped=True, **kw),
-        _state_output_schema(good.schema),
+        schema,
         STATE_SCHEMA,
         "append",
         GroupStateTimeout.ProcessingTimeTimeout,
